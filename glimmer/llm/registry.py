@@ -2,7 +2,7 @@
 
 import importlib
 
-_MODULES = ("token_counts",)
+_MODULES = ("token_counts", "token_store", "packing")
 
 
 def _all(name: str) -> dict:
