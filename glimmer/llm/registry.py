@@ -2,7 +2,7 @@
 
 import importlib
 
-_MODULES = ("token_counts", "token_store", "packing")
+_MODULES = ("token_counts", "token_store", "packing", "quality_rules", "quality_classifier")
 
 
 def _all(name: str) -> dict:
