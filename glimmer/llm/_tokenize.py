@@ -10,7 +10,7 @@ import pyarrow.compute
 #: Unicode's White_Space characters, which ``\s`` of the tokenizers' patterns means.
 WHITE_SPACE = "\t\n\x0b\x0c\r \x85\xa0  -     　"
 #: Units of text kept with their ids in a Python worker; all are dropped when there are more.
-MOST_UNITS = 600_000
+MOST_UNITS = 1_500_000
 #: Longer units are not kept.
 LONGEST_UNIT = 48
 
