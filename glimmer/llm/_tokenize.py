@@ -14,6 +14,9 @@ MOST_UNITS = 1_500_000
 #: Longer units are not kept.
 LONGEST_UNIT = 48
 
+#: A unit whose letters, with what follows them, need no normaliser but lower case: (space, Latin-1 letters, ASCII marks).
+_PLAIN = re.compile("( ?)([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-@\\[-`{-~][!-~]*)?")
+
 _encoders: dict[str, "Encoder"] = {}
 
 
@@ -34,7 +37,8 @@ class Encoder:
       white space. Unit: what stands between spaces and line feeds.
     * *led*: byte-level pieces led by white space, no normaliser. Unit: white space with the word that follows.
 
-    Texts of other tokenizers go to the library whole.
+    A plain unit (letters, then perhaps marks) goes to the library's model without its normaliser and patterns, which
+    take most of the time: the patterns end a piece where letters end. Texts of other tokenizers go to the library whole.
     """
 
     def __init__(self, path: str):
@@ -48,6 +52,10 @@ class Encoder:
             self.form = _form(f.read())
         self.led = re.compile(f"[{WHITE_SPACE}]*[^{WHITE_SPACE}]+|[{WHITE_SPACE}]+")
         self.kept: dict[str, bytes] = {}
+        self.model = self.tokenizer.model
+        # byte-level form: printable bytes stand for themselves, the others for the characters from 256 on
+        own = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or b >= 174]
+        self.bytes_as = {b: 256 + k for k, b in enumerate(sorted(set(range(256)) - set(own)))}
 
     def units(self, text: str) -> list[str]:
         if self.form == "dropped":
@@ -57,20 +65,30 @@ class Encoder:
     def ids(self, texts: list[str]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
         units = [self.units(t) for t in texts]
-        new = list(set().union(*units) - self.kept.keys())
-        kept = self.kept
-        for at in range(0, len(new), 4096):
-            some = new[at : at + 4096]
+        kept, new = self.kept, set().union(*units) - self.kept.keys()
+        plain = [] if self.form == "whole" else [m for m in map(_PLAIN.fullmatch, new) if m and (self.form == "led" or not m[1])]
+        new.difference_update([m[0] for m in plain])
+        ends = {m[3] for m in plain if m[3]} - kept.keys() - new
+        rest = [*new, *ends]
+        for at in range(0, len(rest), 4096):
+            some = rest[at : at + 4096]
             for unit, e in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False), strict=True):
                 kept[unit] = array("I", e.ids).tobytes()
+        for m in plain:
+            kept[m[0]] = self.word(m[1] + m[2]) + (kept[m[3]] if m[3] else b"")
         got = [b"".join(map(kept.__getitem__, u)) for u in units]
-        for unit in new:
+        for unit in (*rest, *[m[0] for m in plain]):
             if len(unit) > LONGEST_UNIT:
                 del kept[unit]
         if len(kept) > MOST_UNITS:
             kept.clear()
         return got
 
+    def word(self, word: str) -> bytes:
+        word = word.lower() if self.form == "dropped" else word
+        mapped = word.encode().decode("latin-1").translate(self.bytes_as)
+        return array("I", [t.id for t in self.model.tokenize(mapped)]).tobytes()
+
 
 def _form(text: str) -> str:
     import json
