@@ -178,8 +178,10 @@ class Join:
         numbered = self.docs.filter("doc_id is not null").withColumn("place", place)
         return stage(numbered.mapInArrow(read, "doc_id long, shingles binary"))
 
-    def _verified(self, pairs: DataFrame, sets: DataFrame) -> DataFrame:
-        percent = self.percent
+    def _verified(self, candidates: DataFrame) -> DataFrame:
+        """The linked pairs of ``candidates`` (``a, b``), staged. Sets are read only of documents that pass the filters."""
+        pairs, percent = stage(self._near(candidates)), self.percent
+        sets = self._needed(pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id"))))
 
         def verify(batches):
             for batch in batches:
@@ -192,13 +194,12 @@ class Join:
 
         left = sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("set_a"))
         right = sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("set_b"))
-        return pairs.join(right, "b").join(left, "a").mapInArrow(verify, "a long, b long").distinct()
+        return stage(pairs.join(right, "b").join(left, "a").mapInArrow(verify, "a long, b long").distinct())
 
     def links(self) -> DataFrame:
         """``a, b`` of all linked pairs of classes, each once. Their number may grow with the square of a group's size;
         :meth:`components` needs only some of them."""
-        p = self.postings
-        return self._verified(self._near(self._pairs(p.select("token", "doc", "n", "pos"), F.col("doc_a") < F.col("doc_b"))), self._needed(p.select(F.col("doc").alias("doc_id"))))
+        return self._verified(self._pairs(self.postings.select("token", "doc", "n", "pos"), F.col("doc_a") < F.col("doc_b")))
 
     def _pairs(self, postings: DataFrame, different: Column) -> DataFrame:
         left, right = (postings.select("token", *[F.col(c).alias(f"{c}_{s}") for c in postings.columns if c != "token"]) for s in "ab")
@@ -213,15 +214,14 @@ class Join:
         still in different components is compared, so no link is lost.
         """
         p = self.postings
-        sets = self._needed(p.select(F.col("doc").alias("doc_id")))
         met = p.filter((F.col("doc") != F.col("hub")) & self._reaches("n", "hub_n", "pos", "hub_pos")).groupBy("doc", "hub").count()
         hubs = met.groupBy("doc").agg(F.max(F.struct("count", (-F.col("hub")).alias("less"))).alias("best"))
-        first = stage(self._verified(self._near(hubs.select(F.col("doc").alias("a"), (-F.col("best.less")).alias("b"))), sets))
+        first = self._verified(hubs.select(F.col("doc").alias("a"), (-F.col("best.less")).alias("b")))
         of = components(first)
         marked = p.select("token", "doc", "n", "pos").join(of, F.col("doc") == F.col("node"), "left").select("token", "doc", "n", "pos", F.coalesce("component", "doc").alias("c"))
         mixed = marked.groupBy("token").agg((F.min("c") < F.max("c")).alias("mixed")).filter("mixed").select("token")
         rest = stage(marked.join(mixed, "token"))
-        second = self._verified(self._near(self._pairs(rest, (F.col("doc_a") < F.col("doc_b")) & (F.col("c_a") != F.col("c_b")))), sets)
+        second = self._verified(self._pairs(rest, (F.col("doc_a") < F.col("doc_b")) & (F.col("c_a") != F.col("c_b"))))
         return components(first.unionByName(second))
 
 
