@@ -15,7 +15,7 @@ MOST_UNITS = 1_500_000
 LONGEST_UNIT = 48
 
 #: A unit whose letters, with what follows them, need no normaliser but lower case: (space, Latin-1 letters, ASCII marks).
-_PLAIN = re.compile("( ?)([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-@\\[-`{-~][!-~]*)?")
+_PLAIN = re.compile("([ \n]?)([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-@\\[-`{-~][!-~]*)?")
 
 _encoders: dict[str, "Encoder"] = {}
 
@@ -56,6 +56,7 @@ class Encoder:
         # byte-level form: printable bytes stand for themselves, the others for the characters from 256 on
         own = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or b >= 174]
         self.bytes_as = {b: 256 + k for k, b in enumerate(sorted(set(range(256)) - set(own)))}
+        self.space = chr(self.bytes_as[32])
 
     def units(self, text: str) -> list[str]:
         if self.form == "dropped":
@@ -68,16 +69,20 @@ class Encoder:
         kept, new = self.kept, set().union(*units) - self.kept.keys()
         plain = [] if self.form == "whole" else [m for m in map(_PLAIN.fullmatch, new) if m and (self.form == "led" or not m[1])]
         new.difference_update([m[0] for m in plain])
-        ends = {m[3] for m in plain if m[3]} - kept.keys() - new
-        rest = [*new, *ends]
+        words = [" " + m[2] if m[1] == " " else m[2] for m in plain]
+        new.update({m[3] for m in plain if m[3]} - kept.keys(), [] if "\n" in kept else ["\n"])
+        rest = list(new)
         for at in range(0, len(rest), 4096):
             some = rest[at : at + 4096]
             for unit, e in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False), strict=True):
                 kept[unit] = array("I", e.ids).tobytes()
-        for m in plain:
-            kept[m[0]] = self.word(m[1] + m[2]) + (kept[m[3]] if m[3] else b"")
+        for word in set(words) - kept.keys():
+            kept[word] = self.word(word)
+        for m, word in zip(plain, words, strict=True):
+            if m[0] not in kept:
+                kept[m[0]] = (kept["\n"] if m[1] == "\n" else b"") + kept[word] + (kept[m[3]] if m[3] else b"")
         got = [b"".join(map(kept.__getitem__, u)) for u in units]
-        for unit in (*rest, *[m[0] for m in plain]):
+        for unit in {*rest, *words, *[m[0] for m in plain]}:
             if len(unit) > LONGEST_UNIT:
                 del kept[unit]
         if len(kept) > MOST_UNITS:
@@ -86,7 +91,7 @@ class Encoder:
 
     def word(self, word: str) -> bytes:
         word = word.lower() if self.form == "dropped" else word
-        mapped = word.encode().decode("latin-1").translate(self.bytes_as)
+        mapped = word.replace(" ", self.space) if word.isascii() else word.encode().decode("latin-1").translate(self.bytes_as)
         return array("I", [t.id for t in self.model.tokenize(mapped)]).tobytes()
 
 

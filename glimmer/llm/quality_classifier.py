@@ -5,7 +5,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from glimmer.llm._common import documents, stage, table
-from glimmer.llm.text_stats import ratios, with_stats
+from glimmer.llm.text_stats import keyed, only, ratios, with_stats
 
 #: A rule: (statistic, "<=" or ">", value) conditions that must all hold.
 Rule = tuple[tuple[str, str, float], ...]
@@ -106,27 +106,42 @@ def compiled(rules: list[tuple[Rule, float]], intercept: float) -> Column:
     return 1 / (1 + F.exp(-logit))
 
 
-def classify(df: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", most_rows: int = 20_000, threshold: float = 0.3, **options) -> DataFrame:
-    """``doc_id, held_out, score, predicted`` of each row of ``df``.
-
-    Rules are learned from at most ``most_rows`` labelled rows that are not held out (those with the smallest hash of
-    the id, a bound on the driver's memory); all statistics and scores cover all rows. A row of ``labels`` with a null
-    id or label is ignored; of repeated ids all labels count. Without labels every score is 0.5.
+def learn(stats: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", label_col: str = "quality", most_rows: int = 20_000, **options) -> Column:
+    """The score, as a column over the statistics, learned from labelled rows of ``stats`` that are not held out.
 
-    Null text is empty and scored. A null id is held out. Repeated rows are rows of their own. An empty table gives an
-    empty result. Other columns, labels among them, are never inputs of a score.
+    At most ``most_rows`` rows are used, those with the smallest hash of the id: a bound on the driver's memory. A row of
+    ``labels`` with a null id or label is ignored; of repeated ids all labels count.
     """
-    stats = with_stats(documents(df, id_col, text_col))
-    counts = stage(stats.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), *[c.alias(k) for k, c in ratios().items()]))
     names = list(ratios())
     truth = labels.select(F.col(id_col).cast("long").alias("doc_id"), F.col(label_col).cast("double").alias("_label")).dropna()
-    known = counts.filter(~F.col("held_out")).join(truth, "doc_id")
+    known = stats.filter(~F.col("held_out")).join(truth, "doc_id")
     rows = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most_rows).select("_label", *names).toPandas()
-    rules, intercept = fit(rows[names].to_numpy(float), (rows["_label"].to_numpy(float) > 0).astype(float), names, **options)
-    scored = counts.select("doc_id", "held_out", compiled(rules, intercept).alias("score"))
+    return compiled(*fit(rows[names].to_numpy(float), (rows["_label"].to_numpy(float) > 0).astype(float), names, **options))
+
+
+def _stats(counts: DataFrame, *keep: str) -> DataFrame:
+    return counts.select("doc_id", *keep, held_out(F.col("doc_id")).alias("held_out"), *[c.alias(k) for k, c in ratios().items()])
+
+
+def classify(df: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.3, **options) -> DataFrame:
+    """``doc_id, held_out, score, predicted`` of each row of ``df``.
+
+    Rules are learned from labelled rows that are not held out (see :func:`learn`); all rows are scored. Without labels
+    every score is 0.5. Null text is empty and scored. A null id is held out. Repeated rows are rows of their own. An
+    empty table gives an empty result. Other columns, labels among them, are never inputs of a score.
+    """
+    stats = stage(_stats(with_stats(documents(df, id_col, text_col))))
+    scored = stats.select("doc_id", "held_out", learn(stats, labels, id_col=id_col, **options).alias("score"))
     return scored.withColumn("predicted", (F.col("score") >= threshold).cast("int"))
 
 
+def keep_predicted(df: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.3, **options) -> DataFrame:
+    """The rows of ``df`` that :func:`classify` predicts as 1, all columns as they were."""
+    stats = stage(_stats(with_stats(keyed(df, id_col, text_col), "th"), "th"))
+    score = learn(stats, labels, id_col=id_col, **options)
+    return only(df, stats.filter(score >= threshold), id_col, text_col)
+
+
 def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 

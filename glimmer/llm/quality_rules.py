@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from glimmer.llm._common import documents, stage, table
-from glimmer.llm.text_stats import ratios, with_stats
+from glimmer.llm.text_stats import keyed, only, ratios, with_stats
 
 #: name: (statistic, votes "bad" below, votes "bad" above, votes "good" from, votes "good" to). Elsewhere it abstains.
 #: Each looks at another fault, since the estimate takes votes within a class as independent.
@@ -75,35 +75,45 @@ def _weight(vote: int, chance: tuple[float, float]) -> float:
     return math.log(good / (1 - bad)) if vote == 1 else math.log((1 - good) / bad) if vote == -1 else 0.0
 
 
-def quality_rules(
-    df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", rules: dict = RULES, least_words: int = 50, most_repeats: float = 0.5, threshold: float = 0.5
-) -> DataFrame:
+class Judge:
+    """The rules with their accuracies, estimated over the votes of all rows of ``counts`` (see ``with_stats``).
+
+    Only the counts of vote patterns, at most 3 ** rules however many rows there are, come to the driver.
+    """
+
+    def __init__(self, counts: DataFrame, rules: dict = RULES, least_words: int = 50, most_repeats: float = 0.5, threshold: float = 0.5):
+        self.votes, self.least_words, self.most_repeats, self.threshold = votes(rules), least_words, most_repeats, threshold
+        voted = counts.select(*[v.alias(k) for k, v in self.votes.items()]).groupBy(*self.votes).count().collect()
+        self.share, self.chances = estimate({tuple(r[k] for k in self.votes): r["count"] for r in voted})
+
+    def verdict(self, counts: DataFrame) -> DataFrame:
+        """``counts`` with ``posterior``, ``base_failed`` and ``kept``."""
+        logit = F.lit(math.log(self.share / (1 - self.share)))
+        for vote, chance in zip(self.votes.values(), self.chances, strict=True):
+            logit = logit + F.when(vote == 1, _weight(1, chance)).when(vote == -1, _weight(-1, chance)).otherwise(0.0)
+        failed = (F.col("n_words") < self.least_words) | (F.col("n_repeat_words") > self.most_repeats * F.col("n_words"))
+        judged = counts.withColumn("posterior", 1 / (1 + F.exp(-logit))).withColumn("base_failed", failed)
+        return judged.withColumn("kept", ~F.col("base_failed") & (F.col("posterior") >= self.threshold))
+
+
+def quality_rules(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """``doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept, posterior`` of each row.
 
     ``base_failed``: fewer than ``least_words`` words, or more than the share ``most_repeats`` of words in repeated
-    3-word windows. The other rules vote or abstain; their accuracies are estimated over the votes of all rows, from
-    the counts of vote patterns (at most 3 ** rules, however many rows). ``posterior`` is the probability of good;
+    3-word windows. The other rules vote or abstain (see :class:`Judge`). ``posterior`` is the probability of good;
     ``kept`` needs at least ``threshold`` and no ``base_failed``.
 
     Null text is empty, has no words, and so fails. Null ids and repeated rows are rows of their own. An empty table
     gives an empty result. Other columns are ignored.
     """
     counts = stage(with_stats(documents(df, id_col, text_col)))
-    vote = votes(rules)
-    voted = counts.select("doc_id", *BASE, *[v.alias(f"_vote_{k}") for k, v in vote.items()])
-    names = [f"_vote_{k}" for k in vote]
-    found = {tuple(r[c] for c in names): r["count"] for r in voted.groupBy(*names).count().collect()}
-    share, chances = estimate(found)
-    logit = F.lit(math.log(share / (1 - share)))
-    for name, chance in zip(names, chances, strict=True):
-        logit = logit + F.when(F.col(name) == 1, _weight(1, chance)).when(F.col(name) == -1, _weight(-1, chance)).otherwise(0.0)
-    failed = (F.col("n_words") < least_words) | (F.col("n_repeat_words") > most_repeats * F.col("n_words"))
-    return (
-        voted.withColumn("posterior", 1 / (1 + F.exp(-logit)))
-        .withColumn("base_failed", failed)
-        .withColumn("kept", ~failed & (F.col("posterior") >= threshold))
-        .select("doc_id", *BASE, "base_failed", "kept", "posterior")
-    )
+    return Judge(counts, **options).verdict(counts).select("doc_id", *BASE, "base_failed", "kept", "posterior")
+
+
+def keep_good(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """The rows of ``df`` that :func:`quality_rules` keeps, all columns as they were."""
+    counts = stage(with_stats(keyed(df, id_col, text_col), "th"))
+    return only(df, Judge(counts, **options).verdict(counts).filter("kept"), id_col, text_col)
 
 
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
