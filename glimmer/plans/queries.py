@@ -1,4 +1,7 @@
 """Registered queries over the driver's tables and their SQL equivalents."""
 
-QUERIES: dict = {}
-ORACLE_SQL: dict = {}
+from glimmer.plans import decoding
+
+_GROUPS = (decoding,)
+QUERIES: dict = {k: f for g in _GROUPS for k, f in g.QUERIES.items()}
+ORACLE_SQL: dict = {k: q for g in _GROUPS for k, q in g.ORACLE_SQL.items()}
