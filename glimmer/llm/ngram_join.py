@@ -13,8 +13,10 @@ from glimmer.llm.components import components
 
 #: Buckets of the table of shingle frequencies, whatever the number of shingles; a power of two.
 _BUCKETS = 1 << 16
-#: Counters of a document's signature.
+#: Counters of a document's signature: one byte each, eight to a long.
 _COUNTERS = 32
+#: Ids up to this many are broadcast; more are joined by a shuffle.
+_MOST_IDS = 2_000_000
 #: Bits of the table of documents whose sets are needed.
 _BITS = 1 << 26
 _LOW = np.uint64((1 << 48) - 1)
@@ -97,9 +99,12 @@ class Join:
         self.spark = df.sparkSession
         self.rank = self.spark.sparkContext.broadcast(frequencies(self.docs, width))
         self.sets = self._described()
-        same = self.sets.filter("n_shingles > 0").groupBy("digest").agg(F.min("doc_id").alias("rep"))
-        self.classes = stage(same)
-        own = self.sets.join(self.classes, "digest").filter("doc_id = rep")
+        full = self.sets.filter("n_shingles > 0")
+        self.classes = stage(full.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.count("*").alias("n_rows")))
+        others = stage(full.select("doc_id", "digest").join(self.classes.filter("n_rows > 1"), "digest").filter("doc_id <> rep or doc_id is null").select("digest", "doc_id"))
+        copies = others.select("doc_id", "digest").dropna().distinct()
+        copies = F.broadcast(copies) if copies.count() <= _MOST_IDS else copies
+        own = full.filter("doc_id is not null").join(copies, ["doc_id", "digest"], "left_anti")
         self.signatures = own.select("doc_id", "n_shingles", "signature").dropDuplicates(["doc_id"])
         self.postings = self._postings(own)
 
@@ -112,14 +117,15 @@ class Join:
                 heads = [s[: len(s) - -(-percent * len(s) // 100) + 1] if len(s) else s for s in sets]
                 offsets = np.concatenate([[0], np.cumsum([len(h) for h in heads])])
                 prefix = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(np.concatenate([*heads, np.zeros(0, np.uint64)]).view(np.int64)))
-                marks = [np.minimum(np.bincount((s & np.uint64(_COUNTERS - 1)).astype(np.int64), minlength=_COUNTERS), 65535).astype("<u2").tobytes() for s in sets]
+                marks = [np.bincount((s & np.uint64(_COUNTERS - 1)).astype(np.int64), minlength=_COUNTERS).astype(np.uint8).view(np.int64) for s in sets]
+                marks = pa.ListArray.from_arrays(pa.array(np.arange(len(sets) + 1) * (_COUNTERS // 8), pa.int32()), pa.array(np.concatenate(marks)))
                 digests = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets]
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()), pa.array(digests, pa.binary()), pa.array(marks, pa.binary()), prefix],
+                    [part.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()), pa.array(digests, pa.binary()), marks, prefix],
                     ["doc_id", "n_shingles", "digest", "signature", "prefix"],
                 )
 
-        return stage(self.docs.mapInArrow(describe, "doc_id long, n_shingles long, digest binary, signature binary, prefix array<long>"))
+        return stage(self.docs.mapInArrow(describe, "doc_id long, n_shingles long, digest binary, signature array<long>, prefix array<long>"))
 
     def _postings(self, own: DataFrame) -> DataFrame:
         """``token, doc, n, pos, hub, hub_n, hub_pos`` of the prefix shingles that more than one class may have.
@@ -133,27 +139,31 @@ class Join:
         dealt = rows.select("token", "n", "doc", "pos").repartitionByRange(n, "token", "n", "doc").sortWithinPartitions("token", "n", "doc")
         return stage(dealt.mapInArrow(_shared, "token long, n long, doc long, pos int, hub long, hub_n long, hub_pos int"))
 
-    def _reaches(self, n_a: str, n_b: str, pos_a: str, pos_b: str) -> Column:
-        """Length and positional filters in integers: overlap >= percent * (n_a + n_b) / (100 + percent)."""
-        a, b, i, j, t = F.col(n_a), F.col(n_b), F.col(pos_a), F.col(pos_b), self.percent
-        most = F.least(i, j) + 1 + F.least(a - i - 1, b - j - 1)
-        return (100 * F.least(a, b) >= t * F.greatest(a, b)) & ((100 + t) * most >= t * (a + b))
-
-    def _near(self, pairs: DataFrame) -> DataFrame:
+    def _reaches(self, n: str, pos: str, m: str, pos_m: str) -> Column:
+        """Length and positional filters in integers: overlap >= percent * (n + m) / (100 + percent). The shingles before
+        the first common one are in one set only, so there can be no more of them than shingles may differ."""
+        a, b, i, j, t = F.col(n), F.col(m), F.col(pos), F.col(pos_m), self.percent
+        most = 1 + F.least(a - i - 1, b - j - 1)
+        first = ((100 + t) * (i + j) <= (100 - t) * (a + b)) & ((100 + t) * (F.least(i, j) + most) >= t * (a + b))
+        return (100 * F.least(a, b) >= t * F.greatest(a, b)) & first
+
+    def _near(self, x: str, y: str, n: str, m: str) -> Column:
+        """Suffix filter: counters differ in all by at most the number of shingles in one set only. A counter is a byte,
+        so the difference is taken round the circle of 256, which is never too large."""
+        apart = F.lit(0)
+        for k in range(_COUNTERS):
+            byte = lambda c: F.shiftrightunsigned(F.get(c, F.lit(k // 8)), 8 * (k % 8)).bitwiseAND(255)  # noqa: B023, E731
+            d = F.abs(byte(x) - byte(y))
+            apart = apart + F.least(d, 256 - d)
+        total = F.col(n) + F.col(m)
+        return 100 * (total - apart) >= self.percent * (total + apart)
+
+    def _signed(self, pairs: DataFrame) -> DataFrame:
         """Pairs (``a, b``) that pass the suffix filter."""
-        percent = self.percent
-
-        def near(batches):
-            for batch in batches:
-                x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), "<u2").reshape(-1, _COUNTERS).astype(np.int64) for c in ("signature_a", "signature_b"))
-                apart, n = np.abs(x - y).sum(1), batch.column("n_a").to_numpy() + batch.column("n_b").to_numpy()
-                # union - intersection >= apart, union + intersection = n
-                yield batch.select(["a", "b"]).filter(pa.array(100 * (n - apart) >= percent * (n + apart)))
-
         s = self.signatures
-        left = s.select(F.col("doc_id").alias("a"), F.col("n_shingles").alias("n_a"), F.col("signature").alias("signature_a"))
-        right = s.select(F.col("doc_id").alias("b"), F.col("n_shingles").alias("n_b"), F.col("signature").alias("signature_b"))
-        return pairs.join(left, "a").join(right, "b").mapInArrow(near, "a long, b long")
+        left = s.select(F.col("doc_id").alias("a"), F.col("n_shingles").alias("n"), F.col("signature").alias("x"))
+        right = s.select(F.col("doc_id").alias("b"), F.col("n_shingles").alias("m"), F.col("signature").alias("y"))
+        return pairs.join(left, "a").join(right, "b").filter(self._near("x", "y", "n", "m")).select("a", "b")
 
     def _needed(self, ids: DataFrame) -> DataFrame:
         """``doc_id, shingles`` (their set as bytes) of the classes in ``ids`` (``doc_id``), from another pass over all texts.
@@ -179,8 +189,8 @@ class Join:
         return stage(numbered.mapInArrow(read, "doc_id long, shingles binary"))
 
     def _verified(self, candidates: DataFrame) -> DataFrame:
-        """The linked pairs of ``candidates`` (``a, b``), staged. Sets are read only of documents that pass the filters."""
-        pairs, percent = stage(self._near(candidates)), self.percent
+        """The linked pairs of ``candidates`` (``a, b``), staged. Sets are read only of documents that are in one."""
+        pairs, percent = stage(candidates), self.percent
         sets = self._needed(pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id"))))
 
         def verify(batches):
@@ -199,11 +209,13 @@ class Join:
     def links(self) -> DataFrame:
         """``a, b`` of all linked pairs of classes, each once. Their number may grow with the square of a group's size;
         :meth:`components` needs only some of them."""
-        return self._verified(self._pairs(self.postings.select("token", "doc", "n", "pos"), F.col("doc_a") < F.col("doc_b")))
+        p = self.postings.select("token", "doc", "n", "pos").join(self.signatures.select(F.col("doc_id").alias("doc"), "signature"), "doc")
+        return self._verified(self._pairs(p, F.col("doc_a") < F.col("doc_b")))
 
     def _pairs(self, postings: DataFrame, different: Column) -> DataFrame:
         left, right = (postings.select("token", *[F.col(c).alias(f"{c}_{s}") for c in postings.columns if c != "token"]) for s in "ab")
-        meet = left.join(right, "token").filter(different & self._reaches("n_a", "n_b", "pos_a", "pos_b"))
+        may = self._reaches("n_a", "pos_a", "n_b", "pos_b") & self._near("signature_a", "signature_b", "n_a", "n_b")
+        meet = left.join(right, (left["token"] == right["token"]) & different & may)
         return meet.select(F.col("doc_a").alias("a"), F.col("doc_b").alias("b")).distinct()
 
     def components(self) -> DataFrame:
@@ -214,13 +226,14 @@ class Join:
         still in different components is compared, so no link is lost.
         """
         p = self.postings
-        met = p.filter((F.col("doc") != F.col("hub")) & self._reaches("n", "hub_n", "pos", "hub_pos")).groupBy("doc", "hub").count()
+        met = p.filter((F.col("doc") != F.col("hub")) & self._reaches("n", "pos", "hub_n", "hub_pos")).groupBy("doc", "hub").count()
         hubs = met.groupBy("doc").agg(F.max(F.struct("count", (-F.col("hub")).alias("less"))).alias("best"))
-        first = self._verified(hubs.select(F.col("doc").alias("a"), (-F.col("best.less")).alias("b")))
+        first = self._verified(self._signed(hubs.select(F.col("doc").alias("a"), (-F.col("best.less")).alias("b"))))
         of = components(first)
         marked = p.select("token", "doc", "n", "pos").join(of, F.col("doc") == F.col("node"), "left").select("token", "doc", "n", "pos", F.coalesce("component", "doc").alias("c"))
         mixed = marked.groupBy("token").agg((F.min("c") < F.max("c")).alias("mixed")).filter("mixed").select("token")
-        rest = stage(marked.join(mixed, "token"))
+        rest = marked.join(mixed, "token").join(self.signatures.select(F.col("doc_id").alias("doc"), "signature"), "doc")
+        rest = stage(rest)
         second = self._verified(self._pairs(rest, (F.col("doc_a") < F.col("doc_b")) & (F.col("c_a") != F.col("c_b"))))
         return components(first.unionByName(second))
 
