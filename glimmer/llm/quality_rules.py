@@ -84,7 +84,8 @@ class Judge:
     def __init__(self, counts: DataFrame, rules: dict = RULES, least_words: int = 50, most_repeats: float = 0.5, threshold: float = 0.5):
         self.votes, self.least_words, self.most_repeats, self.threshold = votes(rules), least_words, most_repeats, threshold
         voted = counts.select(*[v.alias(k) for k, v in self.votes.items()]).groupBy(*self.votes).count().collect()
-        self.share, self.chances = estimate({tuple(r[k] for k in self.votes): r["count"] for r in voted})
+        none = {tuple([0] * len(self.votes)): 0}
+        self.share, self.chances = estimate(none | {tuple(r[k] for k in self.votes): r["count"] for r in voted})
 
     def verdict(self, counts: DataFrame) -> DataFrame:
         """``counts`` with ``posterior``, ``base_failed`` and ``kept``."""

@@ -95,7 +95,8 @@ def chunks(text: str, size: int, overlap: int):
             return
         stop = min(end + width, len(text))
         yield lead, cut.start() - start, False, text[start:stop]
-        start, lead = end, cut.start() - end
+        start = max(end, cut.start() - overlap)
+        lead = cut.start() - start
 
 
 def between(tokenizer, text: str, lead: int, core: int, last: bool) -> int:
