@@ -178,7 +178,7 @@ def reconstruction(marker: DataFrame, mask: DataFrame, rounds: int = 200) -> Dat
     now = marker.join(mask.withColumnRenamed("v", "top"), VOXEL).withColumn("v", F.least("v", "top"))
     spark = marker.sparkSession
     for _ in range(rounds):
-        grown = st.box_maximum(now, 1, "xy", "m").withColumn("m", F.least("m", "top"))
+        grown = st.box_maximum(now, 1, "xy", "m", dense=True).withColumn("m", F.least("m", "top"))
         grown = grown.checkpoint() if spark.sparkContext.getCheckpointDir() else grown
         changed = grown.filter("m > v").isEmpty()
         now = grown.withColumn("v", F.col("m")).drop("m")

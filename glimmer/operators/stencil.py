@@ -31,12 +31,23 @@ def along(axis: str, low: int, high: int, *planes: str):
     return Window.partitionBy(*IMAGE, *rest, *planes).orderBy(axis).rangeBetween(low, high)
 
 
-def box_maximum(voxels: DataFrame, radius: int = 1, axes: str = "xyz", name: str = "m") -> DataFrame:
-    """``name``: the largest value within ``radius`` on each axis; right for sparse data of values from 0."""
-    out = laid_out(voxels).withColumn(name, F.col("v"))
+def box_maximum(voxels: DataFrame, radius: int = 1, axes: str = "xyz", name: str = "m", dense: bool = False) -> DataFrame:
+    """``voxels`` with ``name``: the largest value within ``radius`` on each axis.
+
+    Dense data take a window an axis. In sparse data (values from 0) a window would miss a neighbour whose row or column
+    has no voxel of its own, so each pass tells a voxel's value to its targets, present or not, and aggregates there; the
+    partial aggregation merges most of them before the exchange.
+    """
+    if dense:
+        out = laid_out(voxels).withColumn(name, F.col("v"))
+        for a in axes:
+            out = out.withColumn(name, F.max(name).over(along(a, -radius, radius)))
+        return out
+    told = voxels.select(*VOXEL, F.col("v").alias("_m"))
     for a in axes:
-        out = out.withColumn(name, F.max(name).over(along(a, -radius, radius)))
-    return out
+        near = F.explode(F.sequence(F.col(a) - radius, F.col(a) + radius))
+        told = told.select(*[c for c in VOXEL if c != a], near.alias(a), "_m").groupBy(*VOXEL).agg(F.max("_m").alias("_m"))
+    return voxels.join(told, VOXEL).withColumnRenamed("_m", name)
 
 
 def mirrored(c: Column, size: int) -> Column:
