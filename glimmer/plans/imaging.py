@@ -208,8 +208,8 @@ _SPOT = "so AS (SELECT CAST(sk % 4 AS INT) fov, ok * 100000 + pk * 10 + ln spot_
 
 
 def some_spots(spark, d):
-    """Spots at places from keys, for line items of every tenth order: a derived table, not a limit on a query."""
-    li = fx.spots_li(spark, d).filter("ok % 10 = 0")
+    """Spots at places from keys: one of each distinct line item. The SQL twin _SPOT still keeps orders divisible by ten only."""
+    li = fx.spots_li(spark, d)
     ok, pk = F.col("ok"), F.col("pk")
     return li.select((F.col("sk") % 4).cast("int").alias("fov"), (ok * 100000 + pk * 10 + F.col("ln")).alias("spot_id"), ((pk * 7) % 60 / 10.0).alias("z"), ((ok * 3) % 490 / 10.0).alias("y"), ((ok + pk) % 630 / 10.0).alias("x"), (ok % 3).cast("int").alias("channel"), F.when(pk % 2 == 0, "a").otherwise("b").alias("algo"))
 
