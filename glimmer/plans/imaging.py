@@ -91,9 +91,9 @@ _step("dilate", lambda v: preprocess.dilation(v, SHAPE, 2), f"{_morph('o', 'dn',
 _step("white_tophat", lambda v: preprocess.white_tophat(v, SHAPE, 2), f"{_morph('e', 'dn', 'min')}, {_morph('p', 'e', 'max')}, o AS (SELECT dn.* EXCLUDE v, dn.v - p.v v FROM dn JOIN p USING ({_VX})) SELECT {OUT} FROM o")
 _step("black_tophat", lambda v: preprocess.black_tophat(v, SHAPE, 2), f"{_morph('e', 'dn', 'max')}, {_morph('p', 'e', 'min')}, o AS (SELECT dn.* EXCLUDE v, p.v - dn.v v FROM dn JOIN p USING ({_VX})) SELECT {OUT} FROM o")
 _step("downsample", lambda v: preprocess.downsampled(v, 4), f"o AS (SELECT fov, round, channel, z, y // 4 y, x // 4 x, avg(v) v FROM dn GROUP BY fov, round, channel, z, y // 4, x // 4) SELECT {OUT} FROM o")
-query("reconstruct")(lambda spark, d: r6(preprocess.reconstruction(preprocess.erosion(plane(spark, d).filter("round = 1 and channel = 0"), SHAPE, 2), plane(spark, d).filter("round = 1 and channel = 0"))))
+query("reconstruct")(lambda spark, d: r6(preprocess.reconstruction(preprocess.erosion(plane(spark, d), SHAPE, 2), plane(spark, d))))
 query("clahe")(lambda spark, d: r6(preprocess.clahe(plane(spark, d), SHAPE, 0.05, 64, 4)))
-query("morpho_contrast")(lambda spark, d: r6(preprocess.morpho_reconstruction_contrast(plane(spark, d).filter("round = 1 and channel < 2"), SHAPE, 4, 0.5)))
+query("morpho_contrast")(lambda spark, d: r6(preprocess.morpho_reconstruction_contrast(plane(spark, d), SHAPE, 4, 0.5)))
 query("clean_pipeline")(lambda spark, d: r6(preprocess.cleaned(plane(spark, d), [("clip_percentile", {"min_percentile": 1.0, "max_percentile": 99.0}), ("histogram_match", {"scope": "inter_round"}), ("gaussian_blur", {"sigma": 0.8}), ("min_max_normalize", {})], SHAPE)))
 
 VOL = fx.volume_sql(4)

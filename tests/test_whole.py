@@ -83,3 +83,65 @@ def test_each_line_item_is_compared(spark, items):
     assert {(r.algo, r.on_plane): r.n for r in QUERIES["detector_compare"](spark, d).collect()} == n
     inside = {(f, i) for f, i, z, y, x, *_ in spots if 15 <= y < 35 and 20 <= x < 40 and abs(z - 3) <= 1}
     assert {(r.fov, r.spot_id) for r in QUERIES["roi_spots"](spark, d).collect()} == inside and inside
+
+
+@pytest.fixture(scope="module")
+def events(spark, tmp_path_factory):
+    """A folder with events of two types in three rounds: six images."""
+    from datetime import datetime
+
+    rng = np.random.default_rng(7)
+    rows = [(int(u), datetime(2024, 1, 1 + int(day), int(hour)), ["click", "view"][int(t)]) for u, day, hour, t in zip(rng.integers(0, 60, 9000), rng.integers(4, 24, 9000), rng.integers(3, 20, 9000), rng.integers(0, 2, 9000))]
+    d = str(tmp_path_factory.mktemp("events"))
+    spark.createDataFrame(rows, "user_id long, ts timestamp, event_type string").write.parquet(f"{d}/events.parquet")
+    images = defaultdict(lambda: np.zeros((24, 31)))
+    for u, ts, t in rows:
+        images[1 + u % 3, 0 if t == "click" else 4][ts.hour, ts.day - 1] += 1 / 40
+    return d, {k: np.minimum(v, 1.0) for k, v in images.items()}
+
+
+def over_disk(img, radius, f):
+    h, w = img.shape
+    inside = [(a, b) for a in range(-radius, radius + 1) for b in range(-radius, radius + 1) if a * a + b * b <= radius * radius]
+    return np.array([[f([img[y + a, x + b] for a, b in inside if 0 <= y + a < h and 0 <= x + b < w]) for x in range(w)] for y in range(h)])
+
+
+def reconstructed(marker, mask):
+    now = np.minimum(marker, mask)
+    while True:
+        p = np.pad(now, 1, constant_values=-np.inf)
+        grown = np.minimum(np.max([p[a : a + now.shape[0], b : b + now.shape[1]] for a in range(3) for b in range(3)], axis=0), mask)
+        if (grown == now).all():
+            return now
+        now = grown
+
+
+def halves(img):
+    h, w = -(-img.shape[0] // 2), -(-img.shape[1] // 2)
+    return np.array([[img[2 * y : 2 * y + 2, 2 * x : 2 * x + 2].mean() for x in range(w)] for y in range(h)])
+
+
+def doubled(small, shape):
+    at = lambda n, m: (lambda p: (np.floor(p).astype(int), p - np.floor(p), m))((np.arange(n) + 0.5) / 2 - 0.5)
+    (y0, fy, h), (x0, fx, w) = at(shape[0], small.shape[0]), at(shape[1], small.shape[1])
+    get = lambda i, j: small[np.clip(y0 + i, 0, h - 1)][:, np.clip(x0 + j, 0, w - 1)] * np.outer(fy if i else 1 - fy, fx if j else 1 - fx)
+    return get(0, 0) + get(0, 1) + get(1, 0) + get(1, 1)
+
+
+def contrasted(img):
+    small = halves(img)
+    d = img - doubled(reconstructed(over_disk(small, 2, min), small), img.shape)
+    white = d - over_disk(over_disk(d, 4, min), 4, max)
+    black = over_disk(over_disk(d, 4, max), 4, min) - d
+    return np.clip(d + white - black, 0.0, 1.0)
+
+
+@pytest.mark.parametrize(("name", "f"), [("reconstruct", lambda v: reconstructed(over_disk(v, 2, min), v)), ("morpho_contrast", contrasted)])
+def test_each_image_is_reconstructed(spark, events, name, f):
+    d, images = events
+    got = {k: np.full((24, 31), np.nan) for k in images}
+    for r in QUERIES[name](spark, d).collect():
+        got[r["round"], r.channel][r.y, r.x] = r.v
+    assert len(images) == 6
+    for k, v in images.items():
+        np.testing.assert_allclose(got[k], f(v), atol=2e-6, err_msg=str(k))
