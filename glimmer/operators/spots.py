@@ -54,22 +54,34 @@ def maxima_spots(voxels: DataFrame, threshold_rel: float = 0.1, full_scale: floa
 
 
 def separated_peaks(voxels: DataFrame, min_distance: int, height: int, width: int, depth: int, threshold_rel: float = 0.0) -> DataFrame:
-    """Local maxima over ``min_distance``, at least that far from the border; of equal neighbours the first stays."""
+    """Local maxima over ``min_distance``, at least that far from the border; of equal ones, in order of
+    place, each stays that has none that stays within the distance before it."""
     d = min_distance
     m = local_maxima(voxels, threshold_rel, None, d)
     inside = F.lit(True)
     for c, size in (("z", depth), ("y", height), ("x", width)):
         inside = inside & (F.col(c).between(d, size - 1 - d) if size > 2 * d else F.lit(c == "z" and size == 1))
-    m = m.filter(inside)
-    # ties: a peak stays unless an equal one before it, in its own cell or a neighbouring one, lies within the distance
+    # ties: pairs of an earlier and a later equal peak within the distance, found in their own or neighbouring cells
+    m = st.staged(m.filter(inside))
     cell = lambda c: F.floor(F.col(c) / (d + 1)).cast("int")
     keyed = m.withColumns({f"c{c}": cell(c) for c in "zyx"})
     near = F.array(*[F.struct((cell("z") + a).alias("cz"), (cell("y") + b).alias("cy"), (cell("x") + e).alias("cx")) for a in (-1, 0, 1) for b in (-1, 0, 1) for e in (-1, 0, 1)])
     other = m.select(*IMAGE, *[F.col(c).alias(f"o{c}") for c in "zyx"], F.col("v").alias("ov"), F.inline(near))
     close = reduce(lambda a, b: a & b, [F.abs(F.col(c) - F.col(f"o{c}")) <= d for c in "zyx"])
     earlier = (F.col("ov") == F.col("v")) & (F.struct("oz", "oy", "ox") < F.struct(F.col("z").alias("oz"), F.col("y").alias("oy"), F.col("x").alias("ox")))
-    beaten = keyed.join(other, [*IMAGE, "cz", "cy", "cx"]).filter(close & earlier).select(*VOXEL).distinct()
-    return m.join(beaten, VOXEL, "left_anti").withColumn("algo", F.lit("peak"))
+    first = [*IMAGE, "oz", "oy", "ox"]
+    pairs = st.staged(keyed.join(other, [*IMAGE, "cz", "cy", "cx"]).filter(close & earlier).select(*VOXEL, "oz", "oy", "ox"))
+    as_first = {c: f"o{c}" for c in "zyx"}
+    # a peak that is later in no pair stays and beats the later ones of its pairs; pairs with a beaten peak no longer count
+    beaten: list[DataFrame] = []
+    while not pairs.isEmpty():
+        stay = pairs.select(*first).distinct().join(pairs.select(*VOXEL).withColumnsRenamed(as_first), first, "left_anti")
+        lost = st.staged(pairs.join(stay, first, "left_semi").select(*VOXEL).distinct())
+        beaten.append(lost)
+        pairs = st.staged(pairs.join(lost, VOXEL, "left_anti").join(lost.withColumnsRenamed(as_first), first, "left_anti").select(*VOXEL, "oz", "oy", "ox"))
+    if beaten:
+        m = m.join(reduce(DataFrame.unionByName, beaten), VOXEL, "left_anti")
+    return m.withColumn("algo", F.lit("peak"))
 
 
 def blob_dog(voxels: DataFrame, sigmas: list[float], threshold: float, height: int, width: int, overlap: float = 0.5) -> DataFrame:

@@ -16,6 +16,11 @@ def densified(voxels: DataFrame, height: int, width: int, depth: int | None = No
     return grid.join(voxels, VOXEL, "left").withColumn("v", F.coalesce("v", F.lit(0.0)))
 
 
+def staged(df: DataFrame) -> DataFrame:
+    """``df`` computed once, its lineage cut: in the checkpoint folder, if one is set."""
+    return df.checkpoint() if df.sparkSession.sparkContext.getCheckpointDir() else df.localCheckpoint()
+
+
 def sparsified(voxels: DataFrame) -> DataFrame:
     return voxels.filter("v > 0")
 

@@ -156,3 +156,18 @@ def test_spots_and_intensities_must_match(spark):
     i = spark.createDataFrame([(0, 2, 0, 0, 1.0)], "fov int, spot_id long, round_idx int, chan_idx int, v double")
     with pytest.raises(ValueError):
         tables.checked_intensities(s, i)
+
+
+def test_peaks_on_plateaus_equal_a_greedy_search(spark):
+    rng = np.random.default_rng(9)
+    a = np.where(rng.random((16, 40)) < 0.5, 5.0, 0.0)
+    a[8, 4:30] = 9
+    a[3, 20:26:2] = 9
+    top = lambda y, x: a[max(y - 2, 0) : y + 3, max(x - 2, 0) : x + 3].max()
+    kept = []
+    for v, y, x in sorted((-a[y, x], y, x) for y in range(2, 14) for x in range(2, 38) if 0 < a[y, x] == top(y, x)):
+        if all(max(abs(y - p), abs(x - q)) > 2 for _, p, q in kept):
+            kept.append((v, y, x))
+    assert len([k for k in kept if k[0] == -9]) > 9
+    got = spots.separated_peaks(image(spark, a), 2, 16, 40, 1)
+    assert sorted((-r.v, r.y, r.x) for r in got.collect()) == kept
