@@ -170,21 +170,20 @@ def black_tophat(voxels: DataFrame, shape: Shape, radius: int) -> DataFrame:
     return st.minus(erosion(dilation(voxels, shape, radius), shape, radius), voxels)
 
 
-def reconstruction(marker: DataFrame, mask: DataFrame, rounds: int = 200) -> DataFrame:
-    """The marker dilated by 3 x 3 again and again under the mask, until nothing changes (or ``rounds``).
+def reconstruction(marker: DataFrame, mask: DataFrame, steps: int = 8) -> DataFrame:
+    """The marker dilated by 3 x 3 again and again under the mask, until nothing changes; ``steps`` dilations a round.
 
-    Lineage is cut by checkpoints of the session's checkpoint folder, if one is set.
+    Each round is staged, so lineage does not grow (see ``stencil.staged``).
     """
     now = marker.join(mask.withColumnRenamed("v", "top"), VOXEL).withColumn("v", F.least("v", "top"))
-    spark = marker.sparkSession
-    for _ in range(rounds):
-        grown = st.box_maximum(now, 1, "xy", "m", dense=True).withColumn("m", F.least("m", "top"))
-        grown = grown.checkpoint() if spark.sparkContext.getCheckpointDir() else grown
-        changed = grown.filter("m > v").isEmpty()
+    while True:
+        grown = now.withColumn("m", F.col("v"))
+        for _ in range(steps):
+            grown = st.box_maximum(grown.withColumnRenamed("v", "_v").withColumnRenamed("m", "v"), 1, "xy", "m", dense=True).drop("v").withColumnRenamed("_v", "v").withColumn("m", F.least("m", "top"))
+        grown = st.staged(grown)
         now = grown.withColumn("v", F.col("m")).drop("m")
-        if changed:
-            break
-    return now.select(*VOXEL, "v")
+        if grown.filter("m > v").isEmpty():
+            return now.select(*VOXEL, "v")
 
 
 def downsampled(voxels: DataFrame, factor: int) -> DataFrame:

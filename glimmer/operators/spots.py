@@ -38,8 +38,8 @@ def components(mask: DataFrame, rounds: int = 60) -> DataFrame:
         still = moved.filter("next <> label").isEmpty()
         now = moved.select(*VOXEL, "v", F.col("next").alias("label"))
         if still:
-            break
-    return now
+            return now
+    raise RuntimeError(f"labels still change after {rounds} rounds")
 
 
 def component_spots(labelled: DataFrame) -> DataFrame:

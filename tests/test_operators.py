@@ -171,3 +171,15 @@ def test_peaks_on_plateaus_equal_a_greedy_search(spark):
     assert len([k for k in kept if k[0] == -9]) > 9
     got = spots.separated_peaks(image(spark, a), 2, 16, 40, 1)
     assert sorted((-r.v, r.y, r.x) for r in got.collect()) == kept
+
+
+def test_reconstruction_of_a_long_path(spark):
+    marker = np.zeros((1, 240))
+    marker[0, 0] = 0.5
+    got = preprocess.reconstruction(image(spark, marker), image(spark, np.ones((1, 240))))
+    assert (array(got, marker.shape) == 0.5).all()
+
+
+def test_unfinished_components_are_an_error(spark):
+    with pytest.raises(RuntimeError):
+        spots.components(image(spark, np.ones((1, 12))), rounds=1)
