@@ -1,6 +1,7 @@
 """Jaccard similarity join of documents on word n-grams."""
 
 import hashlib
+import zlib
 
 import numpy as np
 import pyarrow as pa
@@ -11,15 +12,18 @@ from glimmer.llm._common import documents, stage, table
 from glimmer.llm._tokenize import slices
 from glimmer.llm.components import components
 
-#: Buckets of the table of shingle frequencies, whatever the number of shingles; a power of two.
-_BUCKETS = 1 << 16
-#: Counters of a document's signature: one byte each, eight to a long.
-_COUNTERS = 32
+#: Least and most bits of a bucket's number in the table of shingle frequencies; two bytes a bucket are broadcast.
+_LEAST_BITS, _MOST_BITS = 12, 22
+#: Buckets that one row of partial counts holds.
+_BLOCK = 1 << 12
+#: Bits of the sketch that goes with postings, 64 to a long; a wide sketch has at least as many bits as its set has shingles.
+_SKETCH = 256
+#: Neighbours in a token's order with which a document is compared before the join.
+_NEIGHBOURS = 16
 #: Ids up to this many are broadcast; more are joined by a shuffle.
 _MOST_IDS = 2_000_000
-#: Bits of the table of documents whose sets are needed.
-_BITS = 1 << 26
-_LOW = np.uint64((1 << 48) - 1)
+#: Bits of the table of documents whose sets are needed: so many an id, up to so many in all.
+_BITS_AN_ID, _MOST_TABLE = 16, 1 << 29
 _ONE_BYTE = bytes(c + 32 if 65 <= c <= 90 else 32 if 9 <= c <= 13 else c for c in range(256))
 _VALUES = np.random.default_rng(20).integers(1, 1 << 63, 256, dtype=np.uint64) | np.uint64(1)
 
@@ -61,137 +65,202 @@ def _mixed(h: np.ndarray) -> np.ndarray:
 
 
 def frequencies(docs: DataFrame, width: int) -> np.ndarray:
-    """The rank of each bucket of shingle hashes by its number of shingles over all documents, the rarest first."""
+    """For each bucket of shingle hashes a level that rises with the number of its shingles over all documents.
+
+    There are about as many buckets as shingles, between ``2 ** _LEAST_BITS`` and ``2 ** _MOST_BITS``, so that rare
+    shingles are told from middling ones at any size of the corpus. A task counts its texts in an array of that length and
+    hands on the buckets it has met in blocks, which are added up block by block.
+    """
+    size = docs.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
+    bits = min(_MOST_BITS, max(_LEAST_BITS, (size // 6).bit_length()))
 
     def count(batches):
-        total = np.zeros(_BUCKETS, np.int64)
+        total = np.zeros(1 << bits, np.uint32)
         for _, texts in slices(batches):
-            for s in shingle_sets(texts, width):
-                np.add.at(total, (s >> np.uint64(48)).astype(np.int64), 1)
-        at = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(total[at], pa.int64())], ["bucket", "n"])
+            found = np.concatenate([np.zeros(0, np.uint64), *shingle_sets(texts, width)]) >> np.uint64(64 - bits)
+            np.add.at(total, found.astype(np.int64), np.uint32(1))
+        for k, own in enumerate(total.reshape(-1, _BLOCK)):
+            if own.any():
+                size = next(b for b in (1, 2, 4) if own.max() < 1 << 8 * b)
+                yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([zlib.compress(own.astype(f"<u{size}").tobytes(), 1)], pa.binary())], ["block", "data"])
+
+    def add(batches):
+        sums: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for k, data in zip(batch.column("block").to_pylist(), batch.column("data").to_pylist(), strict=True):
+                raw = zlib.decompress(data)
+                sums.setdefault(k, np.zeros(_BLOCK, np.int64))[:] += np.frombuffer(raw, f"<u{len(raw) // _BLOCK}")
+        for k, total in sums.items():
+            levels = np.rint(16 * np.log2(np.maximum(total, 1))).astype("<u2")
+            yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([zlib.compress(levels.tobytes(), 1)], pa.binary())], ["block", "data"])
+
+    parts = docs.select("text").mapInArrow(count, "block int, data binary").repartition("block").mapInArrow(add, "block int, data binary")
+    levels = np.zeros(1 << bits, np.uint16)
+    for r in parts.toLocalIterator():
+        levels[r["block"] * _BLOCK : (r["block"] + 1) * _BLOCK] = np.frombuffer(zlib.decompress(r["data"]), "<u2")
+    return levels
+
+
+def rarest_first(s: np.ndarray, levels: np.ndarray) -> np.ndarray:
+    """A sorted set in the order that all sets share: by the level of a shingle's bucket, then by its hash."""
+    bits = len(levels).bit_length() - 1
+    return s[np.argsort(levels[(s >> np.uint64(64 - bits)).astype(np.int64)], kind="stable")]
+
+
+def wide_sketch(s: np.ndarray) -> np.ndarray:
+    """Bits (in 64-bit words), each the parity of the number of shingles that hash to it; about as many as shingles."""
+    bits = 1 << (max(_SKETCH, len(s)) - 1).bit_length()
+    return np.packbits(np.bincount((s >> np.uint64(3) & np.uint64(bits - 1)).astype(np.int64), minlength=bits).astype(np.uint8) & 1).view(np.uint64)
+
 
-    counts = np.zeros(_BUCKETS, np.int64)
-    for r in docs.select("text").mapInArrow(count, "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n")).collect():
-        counts[r["bucket"]] = r["n"]
-    rank = np.empty(_BUCKETS, np.uint64)
-    rank[np.lexsort((np.arange(_BUCKETS), counts))] = np.arange(_BUCKETS, dtype=np.uint64)
-    return rank
+def folded(sketch: np.ndarray, words: int) -> np.ndarray:
+    """A sketch of fewer bits of the same set: its halves are laid over each other."""
+    while len(sketch) > words:
+        sketch = sketch[: len(sketch) // 2] ^ sketch[len(sketch) // 2 :]
+    return sketch
 
 
-def _ranked(sets: list[np.ndarray], rank: np.ndarray) -> list[np.ndarray]:
-    """Hashes with their bucket replaced by its rank, sorted: the order of all sets is rare shingles first."""
-    return [np.sort(rank[(s >> np.uint64(48)).astype(np.int64)] << np.uint64(48) | (s & _LOW)) for s in sets]
+def _reaches(t: int, n, pos, m, pos_m, least=F.least, greatest=F.greatest):
+    """Length and positional filters in integers: overlap >= t * (n + m) / (100 + t). The shingles before the first
+    common one are in one set only, so there can be no more of them than shingles may differ."""
+    most = 1 + least(n - pos - 1, m - pos_m - 1)
+    first = ((100 + t) * (pos + pos_m) <= (100 - t) * (n + m)) & ((100 + t) * (least(pos, pos_m) + most) >= t * (n + m))
+    return (100 * least(n, m) >= t * greatest(n, m)) & first
 
 
 class Join:
     """Documents linked when ``100 * intersection >= percent * union`` of their shingle sets.
 
-    Documents with equal sets form a class, which the smallest id stands for; only these are joined. A shingle's place
-    in the common order comes from a table of ``_BUCKETS`` counts over all documents: frequent shingles come last. Any
-    common order gives exact results. Two sets can only reach the threshold if they share a shingle of their prefixes.
-    Candidates then pass the length filter, the positional filter, and a suffix filter (the sum of the differences of
-    ``_COUNTERS`` counters is at most the number of shingles in one set only); what is left is verified once a pair.
+    Documents with equal sets form a class, which the smallest id stands for; only these are joined. All sets have one
+    order, in which frequent shingles come last (see :func:`frequencies`); any common order gives exact results. Two sets
+    can only reach the threshold if they share a shingle of their prefixes. Candidates then pass the length filter, the
+    positional filter, and a suffix filter on sketches; what is left is verified once a pair. A bit of a sketch is the
+    parity of the number of shingles that hash to it: a shingle in one set only turns one bit over, so no more bits differ
+    than there are such shingles. Short sketches go with postings, wide ones are compared once a pair.
     """
 
     def __init__(self, df: DataFrame, width: int = 3, percent: int = 90, id_col: str = "doc_id", text_col: str = "text"):
         self.docs, self.width, self.percent = documents(df, id_col, text_col), width, percent
         self.spark = df.sparkSession
-        self.rank = self.spark.sparkContext.broadcast(frequencies(self.docs, width))
         self.sets = self._described()
         full = self.sets.filter("n_shingles > 0")
         self.classes = stage(full.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.count("*").alias("n_rows")))
         others = stage(full.select("doc_id", "digest").join(self.classes.filter("n_rows > 1"), "digest").filter("doc_id <> rep or doc_id is null").select("digest", "doc_id"))
         copies = others.select("doc_id", "digest").dropna().distinct()
         copies = F.broadcast(copies) if copies.count() <= _MOST_IDS else copies
-        own = full.filter("doc_id is not null").join(copies, ["doc_id", "digest"], "left_anti")
-        self.signatures = own.select("doc_id", "n_shingles", "signature").dropDuplicates(["doc_id"])
-        self.postings = self._postings(own)
+        self.own = full.filter("doc_id is not null").join(copies, ["doc_id", "digest"], "left_anti")
+        self.postings = self._postings()
 
     def _described(self) -> DataFrame:
-        rank, width, percent = self.rank, self.width, self.percent
+        levels, width, percent = self.spark.sparkContext.broadcast(frequencies(self.docs, self.width)), self.width, self.percent
 
         def describe(batches):
             for part, texts in slices(batches):
-                sets = _ranked(shingle_sets(texts, width), rank.value)
-                heads = [s[: len(s) - -(-percent * len(s) // 100) + 1] if len(s) else s for s in sets]
+                sets = shingle_sets(texts, width)
+                heads = [rarest_first(s, levels.value)[: len(s) - -(-percent * len(s) // 100) + 1] if len(s) else s for s in sets]
                 offsets = np.concatenate([[0], np.cumsum([len(h) for h in heads])])
                 prefix = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(np.concatenate([*heads, np.zeros(0, np.uint64)]).view(np.int64)))
-                marks = [np.bincount((s & np.uint64(_COUNTERS - 1)).astype(np.int64), minlength=_COUNTERS).astype(np.uint8).view(np.int64) for s in sets]
-                marks = pa.ListArray.from_arrays(pa.array(np.arange(len(sets) + 1) * (_COUNTERS // 8), pa.int32()), pa.array(np.concatenate(marks)))
+                wide = [wide_sketch(s) for s in sets]
+                short = np.concatenate([np.zeros(0, np.uint64), *[folded(w, _SKETCH // 64) for w in wide]]).view(np.int64)
+                short = pa.ListArray.from_arrays(pa.array(np.arange(len(sets) + 1) * (_SKETCH // 64), pa.int32()), pa.array(short))
                 digests = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets]
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()), pa.array(digests, pa.binary()), marks, prefix],
-                    ["doc_id", "n_shingles", "digest", "signature", "prefix"],
+                    [part.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()), pa.array(digests, pa.binary()), short, pa.array([w.tobytes() for w in wide], pa.binary()), prefix],
+                    ["doc_id", "n_shingles", "digest", "sketch", "wide", "prefix"],
                 )
 
-        return stage(self.docs.mapInArrow(describe, "doc_id long, n_shingles long, digest binary, signature array<long>, prefix array<long>"))
+        return stage(self.docs.mapInArrow(describe, "doc_id long, n_shingles long, digest binary, sketch array<long>, wide binary, prefix array<long>"))
 
-    def _postings(self, own: DataFrame) -> DataFrame:
-        """``token, doc, n, pos, hub, hub_n, hub_pos`` of the prefix shingles that more than one class may have.
+    def _postings(self) -> DataFrame:
+        """``token, n, pos, doc`` of the prefix shingles that more than one class may have.
 
         Postings are dealt out by ranges of (token, n, doc), so a token that a third of all classes have fills many
-        tasks. Each task reads its postings once in order and keeps the first of a token as its hub. A token whose
-        postings lie in several ranges is kept in each of them.
+        tasks. Each task reads its postings once in order and leaves out tokens that occur once. The range's first and
+        last token may go on in other ranges and stay.
         """
         n = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
-        rows = own.select(F.posexplode("prefix").alias("pos", "token"), F.col("doc_id").alias("doc"), F.col("n_shingles").alias("n"))
-        dealt = rows.select("token", "n", "doc", "pos").repartitionByRange(n, "token", "n", "doc").sortWithinPartitions("token", "n", "doc")
-        return stage(dealt.mapInArrow(_shared, "token long, n long, doc long, pos int, hub long, hub_n long, hub_pos int"))
-
-    def _reaches(self, n: str, pos: str, m: str, pos_m: str) -> Column:
-        """Length and positional filters in integers: overlap >= percent * (n + m) / (100 + percent). The shingles before
-        the first common one are in one set only, so there can be no more of them than shingles may differ."""
-        a, b, i, j, t = F.col(n), F.col(m), F.col(pos), F.col(pos_m), self.percent
-        most = 1 + F.least(a - i - 1, b - j - 1)
-        first = ((100 + t) * (i + j) <= (100 - t) * (a + b)) & ((100 + t) * (F.least(i, j) + most) >= t * (a + b))
-        return (100 * F.least(a, b) >= t * F.greatest(a, b)) & first
-
-    def _near(self, x: str, y: str, n: str, m: str) -> Column:
-        """Suffix filter: counters differ in all by at most the number of shingles in one set only. A counter is a byte,
-        so the difference is taken round the circle of 256, which is never too large."""
-        apart = F.lit(0)
-        for k in range(_COUNTERS):
-            byte = lambda c: F.shiftrightunsigned(F.get(c, F.lit(k // 8)), 8 * (k % 8)).bitwiseAND(255)  # noqa: B023, E731
-            d = F.abs(byte(x) - byte(y))
-            apart = apart + F.least(d, 256 - d)
-        total = F.col(n) + F.col(m)
-        return 100 * (total - apart) >= self.percent * (total + apart)
-
-    def _signed(self, pairs: DataFrame) -> DataFrame:
-        """Pairs (``a, b``) that pass the suffix filter."""
-        s = self.signatures
-        left = s.select(F.col("doc_id").alias("a"), F.col("n_shingles").alias("n"), F.col("signature").alias("x"))
-        right = s.select(F.col("doc_id").alias("b"), F.col("n_shingles").alias("m"), F.col("signature").alias("y"))
-        return pairs.join(left, "a").join(right, "b").filter(self._near("x", "y", "n", "m")).select("a", "b")
-
-    def _needed(self, ids: DataFrame) -> DataFrame:
+        size = F.shiftleft(F.col("n_shingles"), 32)
+        rows = self.own.select(size.alias("size"), F.col("doc_id").alias("doc"), F.posexplode("prefix").alias("pos", "token"))
+        dealt = rows.select("token", F.col("size").bitwiseOR(F.col("pos").cast("long")).alias("size_pos"), "doc").repartitionByRange(n, "token", "size_pos", "doc").sortWithinPartitions("token", "size_pos", "doc")
+        kept = stage(dealt.mapInArrow(_shared, "token long, size_pos long, doc long"))
+        return kept.select("token", F.shiftright("size_pos", 32).alias("n"), F.col("size_pos").bitwiseAND((1 << 32) - 1).alias("pos"), "doc")
+
+    def _sketched(self, postings: DataFrame) -> DataFrame:
+        sketches = self.own.select(F.col("doc_id").alias("doc"), F.col("n_shingles").alias("n"), "sketch").distinct()
+        return postings.join(sketches, ["doc", "n"])
+
+    def _neighbours(self) -> DataFrame:
+        """Pairs (``a, b``) of documents that pass all filters and stand at most ``_NEIGHBOURS`` apart in the order of a
+        token they share: at most so many a posting, however many documents share the token."""
+        n, percent, longs = int(self.spark.conf.get("spark.sql.shuffle.partitions")), self.percent, _SKETCH // 64
+
+        def meet(batches):
+            for batch in batches:
+                token, size, pos, doc = (batch.column(c).to_numpy() for c in ("token", "n", "pos", "doc"))
+                sketch = batch.column("sketch").flatten().to_numpy().view(np.uint64).reshape(-1, longs)
+                found = []
+                for k in range(1, min(_NEIGHBOURS, len(token) - 1) + 1):
+                    i = np.flatnonzero((token[k:] == token[:-k]) & (doc[k:] != doc[:-k]))
+                    i = i[_reaches(percent, size[i], pos[i], size[i + k], pos[i + k], np.minimum, np.maximum)]
+                    apart = np.bitwise_count(sketch[i] ^ sketch[i + k]).sum(1, dtype=np.int64)
+                    total = size[i] + size[i + k]
+                    i = i[100 * (total - apart) >= percent * (total + apart)]
+                    found.append(np.stack([np.minimum(doc[i], doc[i + k]), np.maximum(doc[i], doc[i + k])], 1))
+                if found:
+                    pairs = np.unique(np.concatenate(found), axis=0)
+                    yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
+
+        dealt = stage(self._sketched(self.postings)).repartitionByRange(n, "token", "n", "doc").sortWithinPartitions("token", "n", "doc")
+        return dealt.mapInArrow(meet, "a long, b long").distinct()
+
+    def _needed(self, ids: DataFrame, n_ids: int) -> DataFrame:
         """``doc_id, shingles`` (their set as bytes) of the classes in ``ids`` (``doc_id``), from another pass over all texts.
 
-        A table of ``_BITS`` bits lets most other documents pass by before their words are read.
+        A table of ``_BITS_AN_ID`` bits an id lets most other documents pass by before their words are read.
         """
-        place = F.pmod(F.xxhash64("doc_id"), F.lit(_BITS)).cast("int")
+        size = min(_MOST_TABLE, max(1 << 16, 1 << (n_ids * _BITS_AN_ID).bit_length()))
+        place = F.pmod(F.xxhash64("doc_id"), F.lit(size)).cast("int")
         parts = ids.select(F.floor(place / 32768).alias("k"), (place % 32768).cast("long").alias("bit")).groupBy("k").agg(F.expr("bitmap_construct_agg(bit)").alias("bits"))
-        bits = np.zeros(_BITS // 8, np.uint8)
-        for r in parts.collect():
+        bits = np.zeros(size // 8, np.uint8)
+        for r in parts.toLocalIterator():
             bits[r["k"] * 4096 : (r["k"] + 1) * 4096] = np.frombuffer(r["bits"], np.uint8)
-        found, rank, width = self.spark.sparkContext.broadcast(bits), self.rank, self.width
+        found, width = self.spark.sparkContext.broadcast(bits), self.width
 
         def read(batches):
             for batch in batches:
                 p = batch.column("place").to_numpy()
                 batch = batch.filter(pa.array(found.value[p >> 3] >> (p & 7).astype(np.uint8) & 1 > 0))
                 for part, texts in slices([batch]):
-                    sets = _ranked(shingle_sets(texts, width), rank.value)
+                    sets = shingle_sets(texts, width)
                     yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array([s.tobytes() for s in sets], pa.binary())], ["doc_id", "shingles"])
 
         numbered = self.docs.filter("doc_id is not null").withColumn("place", place)
         return stage(numbered.mapInArrow(read, "doc_id long, shingles binary"))
 
+    def _likely(self, pairs: DataFrame) -> DataFrame:
+        """The pairs of ``pairs`` (staged) whose wide sketches allow a link, staged."""
+        ids, percent = _ends(pairs), self.percent
+        ids = F.broadcast(ids) if 2 * pairs.count() <= _MOST_IDS else ids
+        wide = self.own.select("doc_id", "n_shingles", "wide").join(ids, "doc_id", "left_semi")
+
+        def sift(batches):
+            for batch in batches:
+                keep = []
+                for n, m, *both in zip(*(batch.column(c).to_pylist() for c in ("n", "m", "x", "y")), strict=True):
+                    x, y = (np.frombuffer(v, np.uint64) for v in both)
+                    words = min(len(x), len(y))
+                    apart = int(np.bitwise_count(folded(x, words) ^ folded(y, words)).sum())
+                    keep.append(100 * (n + m - apart) >= percent * (n + m + apart))
+                yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+        left = wide.select(F.col("doc_id").alias("a"), F.col("n_shingles").alias("n"), F.col("wide").alias("x"))
+        right = wide.select(F.col("doc_id").alias("b"), F.col("n_shingles").alias("m"), F.col("wide").alias("y"))
+        return stage(pairs.join(right, "b").join(left, "a").mapInArrow(sift, "a long, b long").distinct())
+
     def _verified(self, candidates: DataFrame) -> DataFrame:
         """The linked pairs of ``candidates`` (``a, b``), staged. Sets are read only of documents that are in one."""
-        pairs, percent = stage(candidates), self.percent
-        sets = self._needed(pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id"))))
+        pairs, percent = self._likely(stage(candidates)), self.percent
+        sets = self._needed(_ends(pairs), 2 * pairs.count())
 
         def verify(batches):
             for batch in batches:
@@ -209,65 +278,55 @@ class Join:
     def links(self) -> DataFrame:
         """``a, b`` of all linked pairs of classes, each once. Their number may grow with the square of a group's size;
         :meth:`components` needs only some of them."""
-        p = self.postings.select("token", "doc", "n", "pos").join(self.signatures.select(F.col("doc_id").alias("doc"), "signature"), "doc")
-        return self._verified(self._pairs(p, F.col("doc_a") < F.col("doc_b")))
+        return self._verified(self._pairs(self._sketched(self.postings), F.col("doc_a") < F.col("doc_b")))
 
     def _pairs(self, postings: DataFrame, different: Column) -> DataFrame:
         left, right = (postings.select("token", *[F.col(c).alias(f"{c}_{s}") for c in postings.columns if c != "token"]) for s in "ab")
-        may = self._reaches("n_a", "pos_a", "n_b", "pos_b") & self._near("signature_a", "signature_b", "n_a", "n_b")
+        n, m = F.col("n_a"), F.col("n_b")
+        apart = sum((F.bit_count(F.get("sketch_a", F.lit(k)).bitwiseXOR(F.get("sketch_b", F.lit(k)))) for k in range(_SKETCH // 64)), F.lit(0))
+        near = 100 * (n + m - apart) >= self.percent * (n + m + apart)
+        may = _reaches(self.percent, n, F.col("pos_a"), m, F.col("pos_b")) & near
         meet = left.join(right, (left["token"] == right["token"]) & different & may)
         return meet.select(F.col("doc_a").alias("a"), F.col("doc_b").alias("b")).distinct()
 
     def components(self) -> DataFrame:
         """``node, component`` of the classes that have links.
 
-        First each class is compared with one hub, the first class of the token they share most often; this joins
-        most groups of near copies with as many pairs as there are classes. Then every pair that shares a token and is
-        still in different components is compared, so no link is lost.
+        First classes are compared with their neighbours in the order of each token (see :meth:`_neighbours`), which
+        joins most groups of near copies with a number of pairs in proportion to their size. Then every pair that shares
+        a token and is still in different components is compared, so no link is lost.
         """
-        p = self.postings
-        met = p.filter((F.col("doc") != F.col("hub")) & self._reaches("n", "pos", "hub_n", "hub_pos")).groupBy("doc", "hub").count()
-        hubs = met.groupBy("doc").agg(F.max(F.struct("count", (-F.col("hub")).alias("less"))).alias("best"))
-        first = self._verified(self._signed(hubs.select(F.col("doc").alias("a"), (-F.col("best.less")).alias("b"))))
+        first = self._verified(self._neighbours())
         of = components(first)
-        marked = p.select("token", "doc", "n", "pos").join(of, F.col("doc") == F.col("node"), "left").select("token", "doc", "n", "pos", F.coalesce("component", "doc").alias("c"))
+        marked = self.postings.join(of, F.col("doc") == F.col("node"), "left").select(*self.postings.columns, F.coalesce("component", "doc").alias("c"))
         mixed = marked.groupBy("token").agg((F.min("c") < F.max("c")).alias("mixed")).filter("mixed").select("token")
-        rest = marked.join(mixed, "token").join(self.signatures.select(F.col("doc_id").alias("doc"), "signature"), "doc")
-        rest = stage(rest)
+        rest = stage(self._sketched(marked.join(mixed, "token")))
         second = self._verified(self._pairs(rest, (F.col("doc_a") < F.col("doc_b")) & (F.col("c_a") != F.col("c_b"))))
         return components(first.unionByName(second))
 
 
+def _ends(pairs: DataFrame) -> DataFrame:
+    """``doc_id`` of all documents that are in a pair."""
+    return pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id"))).distinct()
+
+
 def _shared(batches):
     """Of postings sorted by token: those of tokens with more than one, and of the task's first and last token."""
-    names = ["token", "n", "doc", "pos"]
-    hub = last = begin = None  # the running token's hub; its last posting, held back until another follows; the first token
-    out_of = lambda rows, hubs: pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip([*rows, *hubs], _KINDS, strict=True)], [*names, "hub", "hub_n", "hub_pos"])
+    held, seen, first = None, False, None  # the last posting, held back until another follows; whether its token came before it
     for batch in batches:
-        token, n, doc, pos = (batch.column(c).to_numpy() for c in names)
-        if not len(token):
+        if not batch.num_rows:
             continue
-        if last is not None:
-            token, n, doc, pos = (np.concatenate([[a], b]) for a, b in zip(last, (token, n, doc, pos), strict=True))
-        change = np.concatenate([[True], token[1:] != token[:-1]])
-        first = np.maximum.accumulate(np.where(change, np.arange(len(token)), 0))
-        hubs = [n[first], doc[first], pos[first]]
-        if hub is not None and hub[0] == token[0]:
-            hubs = [np.where(first == 0, h, x) for h, x in zip(hub[1:], hubs, strict=True)]
-        after = np.concatenate([token[1:] == token[:-1], [False]])
-        keep = ~change | after
-        begin = token[0] if begin is None else begin
-        keep |= token == begin
-        keep[0] |= hub is not None and hub[2] != doc[0]
-        hub = (token[-1], hubs[0][-1], hubs[1][-1], hubs[2][-1])
-        last = (token[-1], n[-1], doc[-1], pos[-1])
-        keep[-1] = False
-        yield out_of([c[keep] for c in (token, n, doc, pos)], [hubs[1][keep], hubs[0][keep], hubs[2][keep]])
-    if last is not None:
-        yield out_of([[x] for x in last], [[hub[2]], [hub[1]], [hub[3]]])
-
-
-_KINDS = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int32()]
+        if held is not None:
+            batch = pa.Table.from_batches([held, batch]).combine_chunks().to_batches()[0]
+        token = batch.column("token").to_numpy()
+        first = token[0] if first is None else first
+        same = token[1:] == token[:-1]
+        before, after = np.concatenate([[seen], same]), np.concatenate([same, [False]])
+        keep = before | after | (token == first)
+        held, seen, keep[-1] = batch.slice(len(token) - 1), bool(before[-1]), False
+        yield batch.filter(pa.array(keep))
+    if held is not None:
+        yield held
 
 
 def near_duplicates(df: DataFrame, *, width: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -286,6 +345,7 @@ def near_duplicates(df: DataFrame, *, width: int = 5, percent: int = 80, id_col:
 
 
 def op5_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents by 3-word shingles and a similarity of 0.9; rows without an id as in :func:`near_duplicates`."""
     return near_duplicates(table(spark, sf_dir, "documents"), width=3, percent=90).select("doc_id", "n_shingles", "component_id")
 
 
