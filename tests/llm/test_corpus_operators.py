@@ -12,6 +12,7 @@ from pathlib import Path
 import numpy as np
 import public_tokenizers
 import pytest
+import regex
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
@@ -254,6 +255,21 @@ def test_sentence_pieces(docs, odd, spark):
         assert Counter((r.doc_id, r.back) for r in coded) == Counter((r.doc_id, r.text or "") for r in df.collect())
 
 
+def test_op7_equals_the_library(spark):
+    import sentencepiece
+
+    sp = sentencepiece.SentencePieceProcessor(model_file=PIECES)
+    rows = texts(spark.read.parquet(f"{SF}/documents.parquet"))
+    units_of = regex.compile(sentence_pieces.Pieces.of_model(PIECES).pattern())
+    drop = len(sp.encode("\n"))
+    for most in (400_000, 300):
+        got = {r.doc_id: r for r in sentence_pieces.op7_sentence_pieces(spark, str(SF), most).collect()}
+        for i, t in rows:
+            own = [m[0] for m in units_of.finditer("▁" + t.replace(" ", "▁"))] if t else []
+            check = sum((p + 1) * sum((k + 1) * (x + 1) for k, x in enumerate(sp.encode("\n" + u)[drop:])) for p, u in enumerate(own)) % 1_000_000_007
+            assert (got[i].n_units, got[i].n_pieces, got[i].ids_check, got[i].decodes) == (len(own), len(sp.encode(t)), check, True)
+
+
 def test_viterbi(spark):
     import math
 
