@@ -42,13 +42,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def ordered(df: DataFrame, keys: list[str], path: str | None = None) -> DataFrame:
-    """Stage ``df`` dealt out by ranges of ``keys``, with the range's number as ``range_no``.
+    """Stage ``df`` dealt out by ranges of ``keys`` and sorted within each, with the range's number as ``range_no``.
 
     ``repartitionByRange`` splits at sampled quantiles, so no range holds more than its share of rows unless
     rows tie in every key.
     """
     n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    parted = df.repartitionByRange(n, *[F.col(k).asc_nulls_first() for k in keys])
+    order = [F.col(k).asc_nulls_first() for k in keys]
+    parted = df.repartitionByRange(n, *order).sortWithinPartitions(*order)
     return stage(parted.withColumn("range_no", F.spark_partition_id()), path)
 
 

@@ -109,13 +109,17 @@ def compiled(rules: list[tuple[Rule, float]], intercept: float) -> Column:
 def learn(stats: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", label_col: str = "quality", most_rows: int = 20_000, **options) -> Column:
     """The score, as a column over the statistics, learned from labelled rows of ``stats`` that are not held out.
 
-    At most ``most_rows`` rows are used, those with the smallest hash of the id: a bound on the driver's memory. A row of
-    ``labels`` with a null id or label is ignored; of repeated ids all labels count.
+    At most ``most_rows`` rows are used, those with the smallest hash of the id: a bound on the driver's memory. Their
+    number is counted first, so that tasks hand on little more than these. A row of ``labels`` with a null id or label is
+    ignored; of repeated ids all labels count.
     """
     names = list(ratios())
     truth = labels.select(F.col(id_col).cast("long").alias("doc_id"), F.col(label_col).cast("double").alias("_label")).dropna()
     known = stats.filter(~F.col("held_out")).join(truth, "doc_id")
-    rows = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most_rows).select("_label", *names).toPandas()
+    place = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 31))
+    share = 1.1 * most_rows / max(known.count(), 1) + 0.001
+    near = known.filter(place < int(share * (1 << 31))) if share < 1 else known
+    rows = near.orderBy(place, "doc_id").limit(most_rows).select("_label", *names).toPandas()
     return compiled(*fit(rows[names].to_numpy(float), (rows["_label"].to_numpy(float) > 0).astype(float), names, **options))
 
 

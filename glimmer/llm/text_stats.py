@@ -68,8 +68,9 @@ def keyed(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
 def only(df: DataFrame, chosen: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """The rows of ``df`` whose id and text are those of a row of ``chosen`` (``doc_id, th``), all columns as they were."""
     wanted = chosen.select(F.col("doc_id").alias("_doc"), F.col("th").alias("_th")).distinct()
-    rows = df.withColumns({"_id": F.col(id_col).cast("long"), "_hash": F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))})
-    return rows.join(wanted, rows["_id"].eqNullSafe(wanted["_doc"]) & (rows["_hash"] == wanted["_th"]), "left_semi").select(*df.columns)
+    rows = df.select(F.struct("*").alias("row"), F.col(id_col).cast("long").alias("id"), F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("hash"))
+    kept = rows.join(wanted, rows["id"].eqNullSafe(wanted["_doc"]) & (rows["hash"] == wanted["_th"]), "left_semi")
+    return kept.select(*[F.col("row").getField(c).alias(c) for c in df.columns])
 
 
 def _times_in(text: str, mark: str) -> Column:

@@ -11,6 +11,7 @@ from pathlib import Path
 
 import numpy as np
 import public_tokenizers
+import pyarrow.parquet as pq
 import pytest
 import regex
 from pyspark.sql import functions as F
@@ -72,30 +73,43 @@ def test_chunks_widen_until_a_boundary():
     assert sum(token_counts.between(lib, t, a, b, last) for a, b, last, t in parts) == len(lib.encode(text, add_special_tokens=False).ids)
 
 
-def test_line_dedup(docs, odd, spark):
-    def brute(rows, least=40):
-        seen, gone, lines = set(), defaultdict(set), {}
-        for k, (_, t) in enumerate(rows):
-            lines[k] = [(n, x.strip(" \t\n\x0b\x0c\r")) for n, x in enumerate(t.split("\n"))]
-            lines[k] = [x for x in lines[k] if x[1]]
-        size = 1
-        while size <= max(map(len, lines.values())):
-            seen = set()
-            for k, own in lines.items():
-                for p in range(len(own) - size + 1):
-                    run = tuple(x[1] for x in own[p : p + size])
-                    if run in seen and sum(map(len, run)) >= least:
-                        gone[k] |= {x[0] for x in own[p : p + size]}
-                    seen.add(run)
-            size *= 2
-        return [(i, "\n".join(x for n, x in enumerate(t.split("\n")) if n not in gone[k]), len(gone[k])) for k, (i, t) in enumerate(rows)]
+def without_repeats(rows, least=40):
+    """(id, text, lines removed) by looking at every run of lines of every length."""
+    lines, gone, seen = {}, defaultdict(set), set()
+    for k, (_, t) in enumerate(rows):
+        lines[k] = [(n, x.strip(" \t\n\x0b\x0c\r")) for n, x in enumerate(t.split("\n"))]
+        lines[k] = [x for x in lines[k] if x[1]]
+    often = Counter(x for own in lines.values() for _, x in own)
+    for k, own in lines.items():
+        for p in range(len(own)):
+            for q in range(p + 1, len(own) + 1):
+                if often[own[q - 1][1]] < 2:
+                    break
+                run = tuple(x for _, x in own[p:q])
+                if run in seen and sum(map(len, run)) >= least:
+                    gone[k] |= {n for n, _ in own[p:q]}
+                seen.add(run)
+    return [(i, "\n".join(x for n, x in enumerate(t.split("\n")) if n not in gone[k]), len(gone[k])) for k, (i, t) in enumerate(rows)]
+
 
+def test_line_dedup(docs, odd, spark):
     got = sorted((r.doc_id, r.text, r.n_removed) for r in line_dedup.dedup_lines(docs).collect())
-    assert got == sorted(brute(texts(docs)))
+    assert got == sorted(without_repeats(texts(docs)))
     out = {(r.doc_id, r.text, r.n_lines, r.n_removed, r.component_id) for r in line_dedup.dedup_lines(odd).collect()}
     assert (2, "other", 3, 2, "x") in out and (4, None, 0, 0, "y") in out and len([r for r in out if r[0] == 1 and r[3] == 0]) == 1
-    rep = spark.createDataFrame([(1, "\n".join(["same long line of more than forty characters!"] * 5)), (2, "tail\n" * 3)], "doc_id long, text string")
-    assert {r.doc_id: r.n_removed for r in line_dedup.dedup_lines(rep).collect()} == {1: 4, 2: 0}
+
+
+def test_line_runs_of_all_lengths(spark):
+    rng = random.Random(8)
+    words = ["a fifteen chars", "b fifteen chars", "ten chars!", "x", "one line that alone has more than forty characters"]
+    rows = [(1, "\n".join(["a fifteen chars", "b fifteen chars", "c fifteen chars"])), (2, "z\na fifteen chars\n\n b fifteen chars\nc fifteen chars\ntail"), (3, "x\n" * 3)]
+    rows += [(k, "\n".join(rng.choice(words) for _ in range(rng.randint(0, 12)))) for k in range(4, 24)]
+    rows.append((30, "\n".join(["same long line of more than forty characters!"] * 5)))
+    named = spark.createDataFrame([(i, t, "mine", "too", "also") for i, t in rows], "doc_id long, text string, _gone string, _id string, row string")
+    got = line_dedup.dedup_lines(named).collect()
+    assert sorted((r.doc_id, r.text, r.n_removed) for r in got) == sorted(without_repeats(rows))
+    by = {r.doc_id: r for r in got}
+    assert by[2].n_removed == 3 and by[30].n_removed == 4 and {(r._gone, r._id, r.row) for r in got} == {("mine", "too", "also")}
 
 
 def test_token_store(docs, odd, spark):
@@ -111,6 +125,7 @@ def test_token_store(docs, odd, spark):
             assert (a.start, a.n_tokens, a.ids_crc32) == (start, len(b.ids), crc(b.ids))
             start += a.n_tokens
         assert Counter((r.doc_id, tuple(r.ids)) for r in whole) == Counter((r.doc_id, tuple(lib(r.text or ""))) for r in df.collect())
+        assert [r.doc_id for p in sorted(Path(path.removeprefix("file://")).glob("recipes/part-*")) for r in pq.read_table(p).select(["doc_id"]).to_pandas().itertuples()] == [r.doc_id for r in got] or df is odd
         assert spark.read.parquet(f"{path}/chunks").count() < sum(r.n_chunks for r in got)
 
 
@@ -321,6 +336,15 @@ def test_quality_rules(docs, odd):
         assert got == want
 
 
+def test_kept_rows_keep_all_columns(spark, docs, odd):
+    named = odd.withColumns({"_id": F.lit("mine"), "_hash": F.lit(2), "row": F.lit("too"), "id": F.lit(0)})
+    for kept in (quality_rules.keep_good(named, least_words=1), quality_classifier.keep_predicted(named, spark.createDataFrame([], "doc_id long, quality int"))):
+        assert kept.columns == named.columns and kept.count() and {(r._id, r._hash, r.row, r.id) for r in kept.collect()} == {("mine", 2, "too", 0)}
+    labels = spark.read.parquet(f"{SF}/labels.parquet")
+    stats = quality_classifier._stats(quality_classifier.with_stats(quality_classifier.documents(docs)))
+    assert quality_classifier.learn(stats, labels, most_rows=5) is not None
+
+
 def test_estimate_finds_the_accuracies():
     rng = random.Random(4)
     patterns = Counter()
