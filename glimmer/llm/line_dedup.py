@@ -128,7 +128,9 @@ def dedup_lines(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text"
     so_far = Window.partitionBy("doc_id", "th").orderBy("line")
     covered = places.join(runs, "p", "left").withColumn("reach", F.max("stop").over(so_far)).filter("reach > p")
     gone = covered.groupBy(F.col("doc_id").alias("doc"), "th").agg(F.collect_list("line").alias("gone"))
-    rows = df.select(F.struct("*").alias("row"), F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("hash"))
+    others = [c for c in df.columns if c not in (text_col, "n_lines", "n_removed")]
+    row = F.struct(F.lit(0).alias("none"), *[F.col(f"`{c}`").alias(f"c{k}") for k, c in enumerate(others)])
+    rows = df.select(row.alias("row"), F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("hash"))
     joined = rows.join(gone, rows["id"].eqNullSafe(gone["doc"]) & (rows["hash"] == gone["th"]), "left")
     lines = F.split("text", "\n")
     ends = F.when(F.col("gone").isNotNull(), F.concat(F.array(F.lit(-1)), F.sort_array("gone"), F.array(F.size(lines))))
@@ -137,7 +139,7 @@ def dedup_lines(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text"
     parts = F.transform(F.filter(gaps, lambda g: g["n"] > 0), lambda g: F.slice("lines", g["at"], g["n"]))
     left = F.coalesce(F.array_join(F.flatten(parts), "\n"), F.col("text"))
     return cut.select(
-        *[(left if c == text_col else F.col("row").getField(c)).alias(c) for c in df.columns if c not in ("n_lines", "n_removed")],
+        *[(left if c == text_col else F.col(f"row.c{others.index(c)}")).alias(c) for c in df.columns if c not in ("n_lines", "n_removed")],
         F.coalesce(F.size("lines"), F.lit(0)).cast("long").alias("n_lines"),
         F.coalesce("n", F.lit(0)).cast("long").alias("n_removed"),
     )
