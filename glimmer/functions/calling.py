@@ -10,10 +10,15 @@ def _total(a: Column) -> Column:
     return F.aggregate(a, F.lit(0.0), lambda s, x: s + x)
 
 
+def let(value: Column, f) -> Column:
+    """``f`` of a value that is computed once, however often ``f`` uses it."""
+    return F.get(F.transform(F.array(value), f), F.lit(0))
+
+
 def l2_normalised(matrix: Column) -> Column:
     """Each round divided by its Euclidean norm plus 1e-6."""
     norm = lambda r: F.sqrt(_total(F.transform(r, lambda x: x * x))) + EPSILON
-    return F.transform(matrix, lambda r: F.transform(F.arrays_zip(r.alias("x"), F.array_repeat(norm(r), F.size(r)).alias("n")), lambda p: p["x"] / p["n"]))
+    return F.transform(matrix, lambda r: let(norm(r), lambda n: F.transform(r, lambda x: x / n)))
 
 
 def biased(matrix: Column, bias: dict[int, list[float]], n_channels: int) -> Column:
@@ -36,16 +41,27 @@ def softmax(matrix: Column, temperature: float = 1.0) -> Column:
     return F.transform(matrix, lambda r: F.zip_with(raised(r), F.array_repeat(_total(raised(r)), F.size(r)), lambda x, s: x / s))
 
 
+def rounds(matrix: Column) -> Column:
+    """``call, score, margin`` of each round. ``call``: the channel (from 0) of the largest value, -1 for a tie; ``score``: -ln of
+    that value, null (not valid) for a tie or a largest value of 0; ``margin``: the largest value less the second."""
+    def of(r, ranked):
+        top, second = F.get(ranked, F.lit(0)), F.get(ranked, F.lit(1))
+        single = F.coalesce(top != second, top.isNotNull())
+        return F.struct(
+            F.when(single, F.array_position(r, top).cast("int") - 1).otherwise(-1).alias("call"),
+            F.when(single & (top > 0), -F.ln(top)).alias("score"),
+            (top - F.coalesce(second, F.lit(0.0))).alias("margin"),
+        )
+
+    return F.transform(matrix, lambda r: let(F.sort_array(r, asc=False), lambda ranked: of(r, ranked)))
+
+
 def calls(matrix: Column) -> Column:
-    """The channel (from 0) of each round's largest value; -1 for a tie."""
-    best = lambda r: F.size(F.filter(r, lambda x: x == F.array_max(r)))
-    return F.transform(matrix, lambda r: F.when(best(r) == 1, F.array_position(r, F.array_max(r)).cast("int") - 1).otherwise(-1))
+    return F.transform(rounds(matrix), lambda x: x["call"])
 
 
 def scores(matrix: Column) -> Column:
-    """-ln of each round's largest value; null (not valid) for a tie or a largest value of 0."""
-    best = lambda r: F.size(F.filter(r, lambda x: x == F.array_max(r)))
-    return F.transform(matrix, lambda r: F.when((best(r) == 1) & (F.array_max(r) > 0), -F.ln(F.array_max(r))))
+    return F.transform(rounds(matrix), lambda x: x["score"])
 
 
 def all_valid(score: Column) -> Column:
@@ -58,9 +74,7 @@ def mean(values: Column) -> Column:
 
 
 def margins(matrix: Column) -> Column:
-    """The largest value less the second of each round."""
-    ranked = lambda r: F.sort_array(r, asc=False)
-    return F.transform(matrix, lambda r: ranked(r)[0] - F.coalesce(F.get(ranked(r), F.lit(1)), F.lit(0.0)))
+    return F.transform(rounds(matrix), lambda x: x["margin"])
 
 
 def barcode(call: Column) -> Column:

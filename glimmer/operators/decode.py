@@ -21,11 +21,18 @@ def called(spots: DataFrame, bias: dict | None = None, n_channels: int = 4) -> D
     """``spots`` (with ``v``) and ``normal, call, score, valid, quality, margin, intensity``. No shuffle.
 
     ``intensity`` is the largest raw value and replaces a column of that name; ``quality`` is the mean score, null if a
-    round has no single largest channel.
+    round has no single largest channel. All are computed in one pass behind a generator: a later filter on them is not
+    pushed below it, which would compute them again.
     """
-    normal = spots.withColumn("normal", calling.biased(calling.l2_normalised(F.col("v")), bias or {}, n_channels))
-    scored = normal.withColumns({"call": calling.calls(F.col("normal")), "score": calling.scores(F.col("normal"))})
-    return scored.withColumns({"valid": calling.all_valid(F.col("score")), "quality": calling.mean(F.col("score")), "margin": calling.mean(calling.margins(F.col("normal"))), "intensity": calling.largest(F.col("v"))})
+    def every(normal, rounds, score):
+        margin = F.transform(rounds, lambda x: x["margin"])
+        call = F.transform(rounds, lambda x: x["call"])
+        return F.struct(normal.alias("normal"), call.alias("call"), score.alias("score"), calling.all_valid(score).alias("valid"), calling.mean(score).alias("quality"), calling.mean(margin).alias("margin"))
+
+    normal = calling.biased(calling.l2_normalised(F.col("v")), bias or {}, n_channels)
+    of = lambda m: calling.let(calling.rounds(m), lambda r: calling.let(F.transform(r, lambda x: x["score"]), lambda score: every(m, r, score)))
+    kept = [c for c in spots.columns if c not in ("normal", "call", "score", "valid", "quality", "margin", "intensity")]
+    return spots.select(*kept, F.inline(F.transform(F.array(normal), of))).withColumn("intensity", calling.largest(F.col("v")))
 
 
 def quality_filtered(spots: DataFrame, threshold: float = 0.5) -> DataFrame:
@@ -76,10 +83,15 @@ def rescue_table(barcodes: DataFrame, codebook: DataFrame, max_distance: float,
     seen = barcodes.select("barcode").distinct().filter((F.length("barcode") == length) & F.col("barcode").rlike("^[0-9]+$"))
     codes = codebook.select("code_ix", F.col("barcode").alias("code"), F.col("gene").alias("new_gene"))
     differs = sum([F.when(F.substring("barcode", k + 1, 1) != F.substring("code", k + 1, 1), w).otherwise(0.0) for k, w in enumerate(weights or [1.0] * length)], F.lit(0.0))
-    ranked = seen.join(F.broadcast(codes), F.lit(True)).withColumn("d", differs)
-    best = ranked.groupBy("barcode").agg(F.min_by(F.struct("new_gene", "d"), F.struct("d", "code_ix")).alias("b"), F.sort_array(F.collect_list("d")).alias("ds"))
-    gap = F.coalesce(F.get("ds", F.lit(1)), F.get("ds", F.lit(0))) - F.get("ds", F.lit(0))
-    return best.select("barcode", F.col("b.new_gene").alias("new_gene"), F.col("b.d").alias("distance"), gap.alias("gap")).filter((F.col("distance") <= max_distance) & (F.col("gap") >= min_gap))
+    codes = F.broadcast(codes) if codes.count() <= MOST_CODES else codes
+    ranked = seen.join(codes, F.lit(True)).withColumn("d", differs)
+    # a barcode has few distances: counts of them are combined before the shuffle, not lists of all
+    near = ranked.groupBy("barcode", "d").agg(F.count("*").alias("n"), F.min_by("new_gene", "code_ix").alias("new_gene"))
+    ds = near.groupBy("barcode").agg(F.array_sort(F.collect_list(F.struct("d", "n", "new_gene"))).alias("ds"))
+    first, second = F.get("ds", F.lit(0)), F.get("ds", F.lit(1))["d"]
+    gap = F.when(first["n"] > 1, 0.0).otherwise(F.coalesce(second, first["d"]) - first["d"])
+    best = ds.select("barcode", first["new_gene"].alias("new_gene"), first["d"].alias("distance"), gap.alias("gap"))
+    return best.filter((F.col("distance") <= max_distance) & (F.col("gap") >= min_gap))
 
 
 def rescued(spots: DataFrame, codebook: DataFrame, max_distance: float = 1.0, min_gap: float = 1.0, weights: list[float] | None = None, target: str = BACKGROUND) -> DataFrame:
@@ -87,7 +99,7 @@ def rescued(spots: DataFrame, codebook: DataFrame, max_distance: float = 1.0, mi
     ``rescue_prev_gene``, ``rescue_distance``, ``rescue_gap``. ``target``: background spots only, or "all"."""
     wanted = F.col("gene") == BACKGROUND if target == BACKGROUND else F.lit(True)
     table = rescue_table(spots.filter(wanted), codebook, max_distance, min_gap, weights)
-    joined = spots.join(F.broadcast(table), "barcode", "left")
+    joined = spots.join(table, "barcode", "left")
     hit = F.coalesce(wanted & (F.col("new_gene") != F.col("gene")), F.lit(False))
     out = joined.withColumn("rescue_applied", hit)
     hit = F.col("rescue_applied")

@@ -187,9 +187,11 @@ def reconstruction(marker: DataFrame, mask: DataFrame, steps: int = 8) -> DataFr
 
 
 def downsampled(voxels: DataFrame, factor: int) -> DataFrame:
-    """Means of factor x factor blocks."""
+    """Means of factor x factor blocks, in units of 2 ** -40: sums of whole numbers do not depend on the order of rows."""
     at = lambda c: F.floor(F.col(c) / factor).cast("int").alias(c)
-    return voxels.groupBy(*IMAGE, "z", at("y"), at("x")).agg(F.avg("v").alias("v")).select(*VOXEL, "v")
+    whole = F.rint(F.col("v") * float(1 << 40)).cast("decimal(38,0)")
+    mean = F.sum(whole).cast("double") / F.count("*") / float(1 << 40)
+    return voxels.groupBy(*IMAGE, "z", at("y"), at("x")).agg(mean.alias("v")).select(*VOXEL, "v")
 
 
 def upsampled(small: DataFrame, grid: DataFrame, factor: int, shape: Shape) -> DataFrame:

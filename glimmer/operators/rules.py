@@ -42,10 +42,11 @@ def quality_mean_lt(params: dict) -> Built:
 
 @rule("channel_margin_mean_gt", "spot")
 def channel_margin_mean_gt(params: dict) -> Built:
-    """Mean margin between the two largest channels of at least ``threshold``; the penalty is what lacks."""
+    """Valid spots with a mean margin between the two largest channels of at least ``threshold``; the penalty is what
+    lacks. A spot that is not valid is not kept and has no penalty."""
     t = float(params.get("threshold", 0.0))
-    m = F.col("margin")
-    return m >= t, F.greatest(t - m, F.lit(0.0))
+    m, valid = F.col("margin"), F.col("valid")
+    return valid & (m >= t), F.when(valid, F.greatest(t - m, F.lit(0.0))).otherwise(0.0)
 
 
 @rule("end_base_pattern", "barcode")

@@ -85,7 +85,7 @@ def _(spark, d):
     return _decoded(spark, d).select(*K, "fov", "barcode", "gene", "intensity")
 
 
-_RULED = fx.SPOTS + """, ru AS (SELECT *, CASE WHEN valid THEN greatest(quality - 0.5, 0) ELSE 0 END p1, greatest(0.3 - margin, 0) p2, coalesce(valid AND quality < 0.5, false) k1, margin >= 0.3 k2 FROM sp)"""
+_RULED = fx.SPOTS + """, ru AS (SELECT *, CASE WHEN valid THEN greatest(quality - 0.5, 0) ELSE 0 END p1, CASE WHEN valid THEN greatest(0.3 - margin, 0) ELSE 0 END p2, coalesce(valid AND quality < 0.5, false) k1, valid AND margin >= 0.3 k2 FROM sp)"""
 _RULES = [rules.Rule("quality_mean_lt", "spot", params={"threshold": 0.5}), rules.Rule("channel_margin_mean_gt", "spot", hard=False, weight=2.0, params={"threshold": 0.3})]
 
 
@@ -156,29 +156,29 @@ def _(spark, d):
     return fx.read(spark, d, "part").select("p_partkey", codebook.oriented(n, "reverse_string").alias("o"), codebook.sliced(n, 3, 12).alias("s"))
 
 
-_RESCUE = fx.DECODED + """, few AS (SELECT * FROM book WHERE code_ix % 3 = 0), d2 AS (SELECT sp.*, coalesce(few.gene, 'background') gene FROM sp LEFT JOIN few USING (barcode) WHERE valid AND quality < 0.5),
+_RESCUE = fx.DECODED + """, d2 AS (SELECT sp.*, coalesce(book.gene, 'background') gene FROM sp LEFT JOIN book USING (barcode) WHERE valid AND quality < 0.5),
 un AS (SELECT DISTINCT barcode FROM d2 WHERE gene = 'background'),
-ds AS (SELECT un.barcode, few.gene, few.code_ix, list_sum([CASE WHEN substr(un.barcode, i, 1) <> substr(few.barcode, i, 1) THEN [1.0, 0.5, 1.0, 0.5][i] ELSE 0.0 END FOR i IN [1, 2, 3, 4]]) d FROM un, few),
+ds AS (SELECT un.barcode, book.gene, book.code_ix, list_sum([CASE WHEN substr(un.barcode, i, 1) <> substr(book.barcode, i, 1) THEN [1.0, 0.5, 1.0, 0.5][i] ELSE 0.0 END FOR i IN [1, 2, 3, 4]]) d FROM un, book),
 rk AS (SELECT *, row_number() OVER (PARTITION BY barcode ORDER BY d, code_ix) k, lead(d) OVER (PARTITION BY barcode ORDER BY d, code_ix) d2 FROM ds),
 res AS (SELECT barcode, gene new_gene, CAST(d AS DOUBLE) d, CAST(coalesce(d2, d) - d AS DOUBLE) gap FROM rk WHERE k = 1 AND d <= 1.0 AND coalesce(d2, d) - d >= 0.5)"""
 
 
-def _few(spark, d):
-    few = fx.codebook_part(spark, d).filter("code_ix % 3 = 0")
-    return decode.mapped(decode.quality_filtered(decode.called(fx.spots_li(spark, d))), few), few
+def _with_book(spark, d):
+    book = fx.codebook_part(spark, d)
+    return decode.mapped(decode.quality_filtered(decode.called(fx.spots_li(spark, d))), book), book
 
 
 @query("weighted_rescue", f"WITH {_RESCUE} SELECT ok, pk, sk, ln, barcode, CASE WHEN d2.gene = 'background' AND new_gene IS NOT NULL THEN new_gene ELSE d2.gene END gene, coalesce(d2.gene = 'background' AND new_gene IS NOT NULL, false) rescue_applied, CASE WHEN d2.gene = 'background' THEN d END rescue_distance, CASE WHEN d2.gene = 'background' THEN gap END rescue_gap FROM d2 LEFT JOIN res USING (barcode)")
 def _(spark, d):
-    spots, few = _few(spark, d)
-    out = decode.rescued(spots, few, 1.0, 0.5, [1.0, 0.5, 1.0, 0.5])
+    spots, book = _with_book(spark, d)
+    out = decode.rescued(spots, book, 1.0, 0.5, [1.0, 0.5, 1.0, 0.5])
     return out.select(*K, "barcode", "gene", "rescue_applied", "rescue_distance", "rescue_gap")
 
 
 @query("rescue_report", f"WITH {_RESCUE.replace('[1.0, 0.5, 1.0, 0.5]', '[1.0, 1.0, 1.0, 1.0]')} SELECT (SELECT count(*) FROM d2 WHERE gene = 'background') n_candidates, (SELECT count(*) FROM un) n_unique_barcodes, (SELECT count(*) FROM res) n_rescue_rules, (SELECT count(*) FROM d2 JOIN res USING (barcode) WHERE d2.gene = 'background') n_rescued_spots")
 def _(spark, d):
-    spots, few = _few(spark, d)
-    return decode.rescue_report(spots, decode.rescued(spots, few, 1.0, 0.5), few, 1.0, 0.5)
+    spots, book = _with_book(spark, d)
+    return decode.rescue_report(spots, decode.rescued(spots, book, 1.0, 0.5), book, 1.0, 0.5)
 
 
 @query("round_quality", f"WITH {fx.SPOTS}, q AS (SELECT rs.fov, CAST(r AS INT) round_idx, avg(score) quality FROM rs JOIN sp USING (ok, pk, sk, ln) WHERE valid AND sp.quality < 0.5 GROUP BY ALL) SELECT fov, round_idx, round(quality, 6) quality, quality < 0.5 AS passed FROM q")

@@ -90,7 +90,7 @@ _step("erode", lambda v: preprocess.erosion(v, SHAPE, 2), f"{_morph('o', 'dn', '
 _step("dilate", lambda v: preprocess.dilation(v, SHAPE, 2), f"{_morph('o', 'dn', 'max')} SELECT {OUT} FROM o")
 _step("white_tophat", lambda v: preprocess.white_tophat(v, SHAPE, 2), f"{_morph('e', 'dn', 'min')}, {_morph('p', 'e', 'max')}, o AS (SELECT dn.* EXCLUDE v, dn.v - p.v v FROM dn JOIN p USING ({_VX})) SELECT {OUT} FROM o")
 _step("black_tophat", lambda v: preprocess.black_tophat(v, SHAPE, 2), f"{_morph('e', 'dn', 'max')}, {_morph('p', 'e', 'min')}, o AS (SELECT dn.* EXCLUDE v, p.v - dn.v v FROM dn JOIN p USING ({_VX})) SELECT {OUT} FROM o")
-_step("downsample", lambda v: preprocess.downsampled(v, 4), f"o AS (SELECT fov, round, channel, z, y // 4 y, x // 4 x, avg(v) v FROM dn GROUP BY fov, round, channel, z, y // 4, x // 4) SELECT {OUT} FROM o")
+_step("downsample", lambda v: preprocess.downsampled(v, 4), f"o AS (SELECT fov, round, channel, z, y // 4 y, x // 4 x, CAST(sum(CAST(round_even(v * 1099511627776.0, 0) AS HUGEINT)) AS DOUBLE) / count(*) / 1099511627776.0 v FROM dn GROUP BY fov, round, channel, z, y // 4, x // 4) SELECT {OUT} FROM o")
 query("reconstruct")(lambda spark, d: r6(preprocess.reconstruction(preprocess.erosion(plane(spark, d), SHAPE, 2), plane(spark, d))))
 query("clahe")(lambda spark, d: r6(preprocess.clahe(plane(spark, d), SHAPE, 0.05, 64, 4)))
 query("morpho_contrast")(lambda spark, d: r6(preprocess.morpho_reconstruction_contrast(plane(spark, d), SHAPE, 4, 0.5)))
@@ -204,14 +204,14 @@ def _(spark, d):
     return r6(spots.profile(fx.volume_li(spark, d, 4), 22400), "mean", "std")
 
 
-_SPOT = "so AS (SELECT CAST(sk % 4 AS INT) fov, ok * 100000 + pk * 10 + ln spot_id, CAST((pk * 7) % 60 AS DOUBLE) / 10 z, CAST((ok * 3) % 490 AS DOUBLE) / 10 y, CAST((ok + pk) % 630 AS DOUBLE) / 10 x, CAST(ok % 3 AS INT) channel, CASE WHEN pk % 2 = 0 THEN 'a' ELSE 'b' END algo FROM (SELECT DISTINCT l_orderkey ok, l_partkey pk, l_suppkey sk, l_linenumber ln FROM lineitem WHERE l_orderkey % 10 = 0))"
+_SPOT = "so AS (SELECT CAST(sk % 4 AS INT) fov, ((ok * 1000000 + pk) * 100000 + sk) * 10 + ln spot_id, CAST((pk * 7) % 60 AS DOUBLE) / 10 z, CAST((ok * 3) % 490 AS DOUBLE) / 10 y, CAST((ok + pk) % 630 AS DOUBLE) / 10 x, CAST(ok % 3 AS INT) channel, CASE WHEN pk % 2 = 0 THEN 'a' ELSE 'b' END algo FROM (SELECT DISTINCT l_orderkey ok, l_partkey pk, l_suppkey sk, l_linenumber ln FROM lineitem))"
 
 
 def some_spots(spark, d):
-    """Spots at places from keys: one of each distinct line item. The SQL twin _SPOT still keeps orders divisible by ten only."""
+    """Spots at places from keys: one of each distinct line item, numbered by its four keys."""
     li = fx.spots_li(spark, d)
     ok, pk = F.col("ok"), F.col("pk")
-    return li.select((F.col("sk") % 4).cast("int").alias("fov"), (ok * 100000 + pk * 10 + F.col("ln")).alias("spot_id"), ((pk * 7) % 60 / 10.0).alias("z"), ((ok * 3) % 490 / 10.0).alias("y"), ((ok + pk) % 630 / 10.0).alias("x"), (ok % 3).cast("int").alias("channel"), F.when(pk % 2 == 0, "a").otherwise("b").alias("algo"))
+    return li.select((F.col("sk") % 4).cast("int").alias("fov"), (((ok * 1000000 + pk) * 100000 + F.col("sk")) * 10 + F.col("ln")).alias("spot_id"), ((pk * 7) % 60 / 10.0).alias("z"), ((ok * 3) % 490 / 10.0).alias("y"), ((ok + pk) % 630 / 10.0).alias("x"), (ok % 3).cast("int").alias("channel"), F.when(pk % 2 == 0, "a").otherwise("b").alias("algo"))
 
 
 def _points(spark, d):
@@ -221,7 +221,7 @@ def _points(spark, d):
 
 
 _POINT = f"{_SPOT}, pt AS (SELECT so.*, CAST(r AS INT) AS round, z pz, y - CASE r WHEN 2 THEN 1.5 ELSE 0 END py, x + CASE r WHEN 2 THEN 0.75 ELSE 0 END px FROM so CROSS JOIN (VALUES (1), (2)) t(r))"
-_BOX = f"{_POINT}, {VOL}, bx AS (SELECT pt.fov, spot_id, pt.round, vol.channel, sum(v) v FROM pt JOIN vol ON vol.fov = pt.fov AND vol.round = pt.round AND abs(vol.z - round_even(pz, 0)) <= 1 AND abs(vol.y - round_even(py, 0)) <= 1 AND abs(vol.x - round_even(px, 0)) <= 1 GROUP BY ALL), it AS (SELECT so.fov, so.spot_id, CAST(r - 1 AS INT) round_idx, CAST(c AS INT) chan_idx, coalesce(v, 0) v FROM so CROSS JOIN (VALUES (1), (2)) t(r) CROSS JOIN range(3) u(c) LEFT JOIN bx ON bx.fov = so.fov AND bx.spot_id = so.spot_id AND bx.round = r AND bx.channel = c)"
+_BOX = f"{_POINT}, {VOL}, bx AS (SELECT pt.fov, spot_id, pt.round, vol.channel, sum(v) v FROM pt CROSS JOIN range(-1, 2) oa(i) CROSS JOIN range(-1, 2) ob(j) CROSS JOIN range(-1, 2) oc(k) JOIN vol ON vol.fov = pt.fov AND vol.round = pt.round AND vol.z = CAST(round_even(pz, 0) AS INT) + i AND vol.y = CAST(round_even(py, 0) AS INT) + j AND vol.x = CAST(round_even(px, 0) AS INT) + k GROUP BY ALL), it AS (SELECT so.fov, so.spot_id, CAST(r - 1 AS INT) round_idx, CAST(c AS INT) chan_idx, coalesce(v, 0) v FROM so CROSS JOIN (VALUES (1), (2)) t(r) CROSS JOIN range(3) u(c) LEFT JOIN bx ON bx.fov = so.fov AND bx.spot_id = so.spot_id AND bx.round = r AND bx.channel = c)"
 
 
 @query("map_coords", f"WITH {_POINT} SELECT fov, spot_id, round, round(pz, 6) pz, round(py, 6) py, round(px, 6) px FROM pt")
@@ -282,7 +282,7 @@ def _(spark, d):
     return spots.compared(some_spots(spark, d), 3)
 
 
-@query("spot_crop", f"WITH {_POINT}, {VOL} SELECT pt.fov, spot_id, pt.round, vol.channel, CAST(vol.y - round_even(py, 0) AS INT) oy, CAST(vol.x - round_even(px, 0) AS INT) ox, max(v) v FROM pt JOIN vol ON vol.fov = pt.fov AND vol.round = pt.round AND abs(vol.z - round_even(pz, 0)) <= 1 AND abs(vol.y - round_even(py, 0)) <= 2 AND abs(vol.x - round_even(px, 0)) <= 2 GROUP BY ALL")
+@query("spot_crop", f"WITH {_POINT}, {VOL} SELECT pt.fov, spot_id, pt.round, vol.channel, CAST(vol.y - round_even(py, 0) AS INT) oy, CAST(vol.x - round_even(px, 0) AS INT) ox, max(v) v FROM pt CROSS JOIN range(-1, 2) oa(i) CROSS JOIN range(-2, 3) ob(j) CROSS JOIN range(-2, 3) oc(k) JOIN vol ON vol.fov = pt.fov AND vol.round = pt.round AND vol.z = CAST(round_even(pz, 0) AS INT) + i AND vol.y = CAST(round_even(py, 0) AS INT) + j AND vol.x = CAST(round_even(px, 0) AS INT) + k GROUP BY ALL")
 def _(spark, d):
     return extract.spot_crop(_points(spark, d), fx.volume_li(spark, d, 4), 2)
 

@@ -183,3 +183,18 @@ def test_reconstruction_of_a_long_path(spark):
 def test_unfinished_components_are_an_error(spark):
     with pytest.raises(RuntimeError):
         spots.components(image(spark, np.ones((1, 12))), rounds=1)
+
+
+def test_margin_rule_drops_spots_that_are_not_valid(spark):
+    tied, clear = [[5.0, 5.0, 0.0], [9.0, 0.0, 0.0]], [[9.0, 1.0, 0.0], [9.0, 0.0, 0.0]]
+    spots = decode.called(spark.createDataFrame([(1, tied), (2, clear)], "id int, v array<array<double>>"), n_channels=3)
+    of = rules.with_rules(spots, [rules.Rule("channel_margin_mean_gt", "spot", params={"threshold": 0.9})], "spot")
+    assert {r.id: (r.valid, r.keep, round(r.penalty, 3)) for r in of.collect()} == {1: (False, False, 0.0), 2: (True, True, 0.0)}
+    low = rules.with_rules(spots, [rules.Rule("channel_margin_mean_gt", "spot", params={"threshold": 0.3})], "spot")
+    assert {r.id: (r.keep, r.penalty) for r in low.collect()} == {1: (False, 0.0), 2: (True, 0.0)}
+
+
+def test_calls_are_computed_once(spark):
+    spots = spark.createDataFrame([(1, [[9.0, 1.0], [2.0, 3.0]])], "id int, v array<array<double>>")
+    plan = decode.quality_filtered(decode.called(spots, n_channels=2))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.upper().count("SQRT") == 1
