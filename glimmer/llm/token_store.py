@@ -5,6 +5,7 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -124,27 +125,24 @@ def merkle(nodes: list[bytes]) -> bytes:
     return nodes[0] if nodes else b""
 
 
-def _times(a: int, b: int) -> int:
-    """Product of two polynomials over GF(2) modulo the CRC polynomial (highest power in the lowest bit)."""
-    p = 0
+def _product(a: np.ndarray, b: int) -> np.ndarray:
+    """Products of polynomials over GF(2) with ``b`` modulo the CRC polynomial (highest power in the lowest bit)."""
+    p = np.zeros_like(a)
     for k in range(31, -1, -1):
-        if a >> k & 1:
-            p ^= b
+        p ^= (a >> np.uint32(k) & np.uint32(1)) * np.uint32(b)
         b = b >> 1 ^ (_POLYNOMIAL if b & 1 else 0)
     return p
 
 
-_shifts: dict[int, int] = {}
-
-
-def crc_joined(first: int, second: int, n_bytes: int) -> int:
-    """CRC-32 of two byte strings together, from that of each and the length of the second."""
-    if n_bytes not in _shifts:
-        power, square, n = 1 << 31, 1 << 23, n_bytes  # x**0 and x**8
-        while n:
-            power, square, n = _times(power, square) if n & 1 else power, _times(square, square), n >> 1
-        _shifts[n_bytes] = power
-    return _times(_shifts[n_bytes], first) ^ second
+def crc_shifted(crcs: np.ndarray, n_bytes: np.ndarray) -> np.ndarray:
+    """What CRC-32 values (uint32) add to that of a longer string in which so many bytes follow: the CRC of parts put
+    together is the exclusive or of what they add."""
+    out, power = crcs.copy(), 1 << 23  # x ** 8: one byte
+    for bit in range(int(n_bytes.max(initial=0)).bit_length()):
+        own = np.flatnonzero(n_bytes >> bit & 1)
+        out[own] = _product(out[own], power)
+        power = int(_product(np.array([power], np.uint32), power)[0])
+    return out
 
 
 def read_digests(spark: SparkSession, path: str) -> DataFrame:
@@ -172,17 +170,19 @@ def read_digests(spark: SparkSession, path: str) -> DataFrame:
 
     def fold(batches):
         for batch in batches:
-            crcs, counts = [], []
-            for n, root, parts in zip(*(batch.column(c).to_pylist() for c in ("n_tokens", "root", "parts")), strict=True):
-                parts = [p for p in parts if p["seq"] is not None]
-                if sum(p["n"] or 0 for p in parts) != n or merkle([p["hash"] for p in parts]) != root:
-                    raise ValueError("a recipe does not give its document's root")
-                crc = 0
-                for p in parts:
-                    crc = crc_joined(crc, p["crc"], 4 * p["n"])
-                crcs.append(crc)
-                counts.append(len(parts))
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("doc_id", "start", "n_tokens")), pa.array(crcs, pa.int64()), pa.array(counts, pa.int64())], ["doc_id", "start", "n_tokens", "ids_crc32", "n_chunks"])
+            rows, size = batch.column("parts").flatten(), pa.compute.list_value_length(batch.column("parts")).to_numpy()
+            doc, real = np.repeat(np.arange(len(size)), size), rows.field("seq").is_valid().to_numpy(zero_copy_only=False)
+            doc, hashes = doc[real], rows.field("hash").filter(pa.array(real)).to_pylist()
+            n, crc = (rows.field(c).fill_null(0).to_numpy().astype(np.int64)[real] for c in ("n", "crc"))
+            counts, lengths = np.bincount(doc, minlength=len(size)), np.zeros(len(size), np.int64)
+            np.add.at(lengths, doc, n)
+            ends = np.cumsum(counts)
+            if (lengths != batch.column("n_tokens").to_numpy()).any() or any(merkle(hashes[e - k : e]) != r for e, k, r in zip(ends.tolist(), counts.tolist(), batch.column("root").to_pylist(), strict=True)):
+                raise ValueError("a recipe does not give its document's root")
+            after = np.cumsum(lengths)[doc] - np.cumsum(n)
+            crcs = np.zeros(len(size), np.uint32)
+            np.bitwise_xor.at(crcs, doc, crc_shifted(crc.astype(np.uint32), 4 * after))
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("doc_id", "start", "n_tokens")), pa.array(crcs.astype(np.int64)), pa.array(counts, pa.int64())], ["doc_id", "start", "n_tokens", "ids_crc32", "n_chunks"])
 
     return lists.mapInArrow(fold, "doc_id long, start long, n_tokens long, ids_crc32 long, n_chunks long")
 
