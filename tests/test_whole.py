@@ -21,7 +21,7 @@ def items(spark, tmp_path_factory):
 
 def spots_of(rows):
     """(fov, spot_id, z, y, x, channel, algo) of each line item."""
-    return [(s % 4, o * 100000 + p * 10 + n, p * 7 % 60 / 10, o * 3 % 490 / 10, (o + p) % 630 / 10, o % 3, "ab"[p % 2]) for o, p, s, n, *_ in rows]
+    return [(s % 4, ((o * 1000000 + p) * 100000 + s) * 10 + n, p * 7 % 60 / 10, o * 3 % 490 / 10, (o + p) % 630 / 10, o % 3, "ab"[p % 2]) for o, p, s, n, *_ in rows]
 
 
 def places_of(rows):
@@ -58,7 +58,7 @@ def test_each_line_item_has_sums_and_crops(spark, items):
                 sums[f, i, r, ch] += v
             if abs(dz) <= 1 and max(abs(dy), abs(dx)) <= 2:
                 crops[f, i, r, ch, dy, dx] = max(v, crops.get((f, i, r, ch, dy, dx), 0.0))
-    assert any(i // 100000 % 10 for _, i, _, _ in sums)
+    assert any(i // 10**12 % 10 for _, i, _, _ in sums)
     assert {tuple(x)[:4]: x.v for x in QUERIES["box_sum"](spark, d).select("fov", "spot_id", "round", "channel", "v").collect()} == sums
     assert {tuple(x)[:6]: x.v for x in QUERIES["spot_crop"](spark, d).select("fov", "spot_id", "round", "channel", "oy", "ox", "v").collect()} == crops
     table = {tuple(x)[:4]: x.v for x in QUERIES["intensity_table"](spark, d).select("fov", "spot_id", "round_idx", "chan_idx", "v").collect()}
