@@ -66,17 +66,17 @@ class Encoder:
     def ids(self, texts: list[str]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
         units = [self.units(t) for t in texts]
-        kept, new = self.kept, set().union(*units) - self.kept.keys()
+        kept, new = self.kept, set().union(*units).difference(self.kept)
         plain = [] if self.form == "whole" else [m for m in map(_PLAIN.fullmatch, new) if m and (self.form == "led" or not m[1])]
         new.difference_update([m[0] for m in plain])
         words = [" " + m[2] if m[1] == " " else m[2] for m in plain]
-        new.update({m[3] for m in plain if m[3]} - kept.keys(), [] if "\n" in kept else ["\n"])
+        new.update({m[3] for m in plain if m[3]}.difference(kept), [] if "\n" in kept else ["\n"])
         rest = list(new)
         for at in range(0, len(rest), 4096):
             some = rest[at : at + 4096]
             for unit, e in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False), strict=True):
                 kept[unit] = array("I", e.ids).tobytes()
-        for word in set(words) - kept.keys():
+        for word in set(words).difference(kept):
             kept[word] = self.word(word)
         for m, word in zip(plain, words, strict=True):
             if m[0] not in kept:
