@@ -2,7 +2,7 @@
 
 import importlib
 
-_MODULES = ("token_counts", "token_store", "packing", "quality_rules", "quality_classifier", "ngram_join", "line_dedup", "fingerprints", "chat_format", "sentence_pieces")
+_MODULES = ("token_counts", "token_store", "packing", "quality_rules", "quality_classifier", "ngram_join", "line_dedup", "fingerprints", "chat_format", "sentence_pieces", "turn_repair", "token_alignment", "factor_dedup")
 
 
 def _all(name: str) -> dict:
