@@ -12,13 +12,13 @@ from pyspark.sql import functions as F
 from glimmer.llm._common import stage, table
 
 #: Bytes of text that are hashed at once.
-_CHUNK = 1 << 20
+_CHUNK = 1 << 18
 #: The low bits of an ordered hash hold the place in a chunk.
-_PLACE = np.uint64((1 << 22) - 1)
+_PLACE = np.uint64((1 << 20) - 1)
 #: Odd multipliers of the two rolling hashes, and the seed of their byte tables.
 _BASES, _SEED = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F), 20240607
 #: Windows of the suffix order that are sorted at once.
-_WINDOWS = 200_000
+_WINDOWS = 50_000
 
 _KEY = ["id", "th"]
 _REGION = "id long, th long, lo int, n int, core long, region long"
@@ -175,11 +175,12 @@ def nearest(place: np.ndarray, lcp: np.ndarray, least: int) -> np.ndarray:
 def factors(data: np.ndarray, starts: np.ndarray, place: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
     """For the suffixes of ``data`` at ``starts`` whether the longest previous factor, and whether the longest one from a later
     place, has ``least`` bytes. Suffixes are sorted by that many bytes, so longer factors count as ``least``."""
-    text = data[starts[:, None] + np.arange(least)]
+    text = np.lib.stride_tricks.sliding_window_view(data, least)[starts]
     order = np.argsort(text.view(f"S{least}").ravel(), kind="stable")
-    text, place = text[order], place[order]
-    unlike = text[1:] != text[:-1]
-    lcp = np.r_[0, np.where(unlike.any(axis=1), unlike.argmax(axis=1), least)]
+    lcp, place = np.zeros(len(starts), np.int64), place[order]
+    for k in range(1, len(starts), 10_000):
+        unlike = text[order[k : k + 10_000]] != text[order[k - 1 : k - 1 + 10_000][: len(order[k : k + 10_000])]]
+        lcp[k : k + 10_000] = np.where(unlike.any(axis=1), unlike.argmax(axis=1), least)
     found = []
     for p in (place, -place):
         flags = np.zeros(len(starts), bool)
@@ -306,7 +307,7 @@ def hot_spans(texts: DataFrame, least: int, first_stays: bool) -> DataFrame:
     return gone.select("id", "th", F.col("at").alias("start"), (F.col("at") + least).alias("stop"))
 
 
-def dedup_factors(df: DataFrame, *, least_bytes: int = 200, keep: str = "first", id_col: str = "doc_id", text_col: str = "text", most_in_task: int = 4096) -> DataFrame:
+def dedup_factors(df: DataFrame, *, least_bytes: int = 200, keep: str = "first", id_col: str = "doc_id", text_col: str = "text", most_in_task: int = 1024) -> DataFrame:
     """``doc_id, n_bytes, kept, spans`` of each row of ``df``: ``kept`` (binary) is its text as UTF-8 without the bytes of
     ``spans`` (``begin``, ``end``; in order, apart from each other).
 
@@ -329,7 +330,7 @@ def dedup_factors(df: DataFrame, *, least_bytes: int = 200, keep: str = "first",
     first_stays = keep == "first"
     docs = df.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     found = stage(regions(docs, least_bytes))
-    often = found.groupBy("core").count().filter("count > 1").select("core")
+    often = stage(found.groupBy("core").count().filter("count > 1").select("core"))  # written, so that the join splits hot anchors
     shared = stage(found.join(often, "core"))
     place = F.struct("id", "th", "lo", "n")
     groups = stage(shared.groupBy("core", "region").agg(F.count("*").alias("same"), F.min(place).alias("first")))
