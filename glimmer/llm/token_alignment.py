@@ -14,13 +14,13 @@ from glimmer.llm._common import documents, stage, table
 from glimmer.llm._tokenize import WHITE_SPACE, Encoder, slices
 
 #: Units of text kept with the ids of both sides in a Python worker; all are dropped when there are more.
-_MOST_UNITS = 500_000
+_MOST_UNITS = 300_000
 #: Longer units are not kept.
 _LONGEST_UNIT = 64
 #: Links of a group that are listed one by one; larger groups go by their distinct ids.
 _MOST_LISTED = 4096
 #: Characters of text aligned at once.
-_SLICE = 2_000_000
+_SLICE = 1_000_000
 
 _twins: dict[tuple[str, str], "Twin"] = {}
 
