@@ -6,18 +6,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: Colours (from 1) of two-base keys.
-STANDARD_3COLOR = "AT3 GT1 TT2 AG1 GG2 TG3 AA2 GA3 TA1"
-STANDARD_4COLOR = "AA1 CA2 GA3 TA4 AC2 CC1 GC4 TC3 AG3 CG4 GG1 TG2 AT4 CT3 GT2 TT1"
-OMICS_SPECIAL = "GC1 GT2"
+STANDARD_3COLOR = {"AT": 3, "GT": 1, "TT": 2, "AG": 1, "GG": 2, "TG": 3, "AA": 2, "GA": 3, "TA": 1}
+STANDARD_4COLOR = {
+    "AA": 1, "CA": 2, "GA": 3, "TA": 4, "AC": 2, "CC": 1, "GC": 4, "TC": 3,
+    "AG": 3, "CG": 4, "GG": 1, "TG": 2, "AT": 4, "CT": 3, "GT": 2, "TT": 1,
+}
+OMICS_SPECIAL = {"GC": 1, "GT": 2}
 
 ERROR_LENGTH = "ERROR_LEN"
 
 
-def encoding(text: str) -> dict[str, int]:
-    """``{"AA": 1, ...}`` from ``"AA1 ..."``."""
-    return {x[:-1]: int(x[-1]) for x in text.split()}
-
-
 @dataclass(frozen=True)
 class Segment:
     """A part of the sequence (1-based, inclusive) that one encoding table turns into colours of some rounds."""

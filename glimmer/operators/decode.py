@@ -4,6 +4,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from glimmer.functions import calling
+from glimmer.operators.stencil import staged
 
 BACKGROUND = "background"
 #: Codebooks up to this many rows are broadcast.
@@ -71,37 +72,78 @@ def top_genes(spots: DataFrame, n: int = 10) -> DataFrame:
     return spots.filter(F.col("gene") != BACKGROUND).groupBy("gene").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "gene").limit(n)
 
 
+def masks_within(weights: list[float], radius: float) -> list[tuple[int, ...]]:
+    """Sets of positions of a total weight up to ``radius``, without those inside another one: codes whose distance is within
+    the radius are alike outside of one of them."""
+    found: list[tuple[int, ...]] = []
+
+    def grow(at: int, chosen: tuple[int, ...], left: float) -> None:
+        if at == len(weights):
+            if all(k in chosen or w > left + 1e-9 for k, w in enumerate(weights)):
+                found.append(chosen)
+            return
+        if weights[at] <= left + 1e-9:
+            grow(at + 1, (*chosen, at), left - weights[at])
+        grow(at + 1, chosen, left)
+
+    grow(0, (), radius)
+    return found
+
+
+def codes_within(seen: DataFrame, codes: DataFrame, weights: list[float], radius: float) -> DataFrame:
+    """``barcode, d, n, new_gene`` for each barcode of ``seen`` and each distance up to ``radius`` at which it has codes: how
+    many, and the gene of the first. ``codes``: ``code_ix, code, new_gene``.
+
+    The index: barcodes and codes with the positions of each mask left out meet by equality with the mask, so a barcode
+    meets only the codes that are alike in all other digits. A code that is nearer meets it under several masks and counts once.
+    """
+    masks = masks_within(weights, radius)
+    rest = lambda c: F.array(*[F.struct(F.lit(m).alias("mask"), F.concat(F.lit(""), *[F.substring(c, k + 1, 1) for k in range(len(weights)) if k not in out]).alias("rest")) for m, out in enumerate(masks)])
+    met = seen.select("barcode", F.inline(rest("barcode"))).join(codes.select("code_ix", "code", "new_gene", F.inline(rest("code"))), ["mask", "rest"])
+    differs = sum([F.when(F.substring("barcode", k + 1, 1) != F.substring("code", k + 1, 1), w).otherwise(0.0) for k, w in enumerate(weights)], F.lit(0.0))
+    pairs = met.select("barcode", "code_ix", "new_gene", differs.alias("d")).dropDuplicates(["barcode", "code_ix"])
+    return pairs.groupBy("barcode", "d").agg(F.count("*").alias("n"), F.min_by("new_gene", "code_ix").alias("new_gene"))
+
+
 def rescue_table(barcodes: DataFrame, codebook: DataFrame, max_distance: float, min_gap: float, weights: list[float] | None = None) -> DataFrame:
     """``barcode, new_gene, distance, gap`` of distinct ``barcodes`` with a near enough and clear enough code.
 
-    The distance is the weighted number of differing digits. Barcodes repeat over spots but there are at most as many as
-    codes of their length, so each is compared once with every code of the (digit) codebook.
+    The distance is the weighted number of differing digits, the gap what the second nearest code is farther away. Codes are
+    looked up by masked digits (see :func:`codes_within`), first up to ``max_distance``; barcodes that have one there, but
+    less than two codes so far, are looked up again with a wider radius until the second is found. Wider rounds have
+    more masks but fewer barcodes; no barcode is compared with all codes unless the codes leave no other way.
     """
     length = codebook.select(F.max(F.length("barcode"))).first()[0] or 0
     if weights is not None and len(weights) != length:
         raise ValueError("one weight for each digit is needed")
+    weights = [float(w) for w in weights or [1.0] * length]
+    if any(w < 0 for w in weights):
+        raise ValueError("weights are not negative")
     seen = barcodes.select("barcode").distinct().filter((F.length("barcode") == length) & F.col("barcode").rlike("^[0-9]+$"))
-    codes = codebook.select("code_ix", F.col("barcode").alias("code"), F.col("gene").alias("new_gene"))
-    differs = sum([F.when(F.substring("barcode", k + 1, 1) != F.substring("code", k + 1, 1), w).otherwise(0.0) for k, w in enumerate(weights or [1.0] * length)], F.lit(0.0))
-    codes = F.broadcast(codes) if codes.count() <= MOST_CODES else codes
-    ranked = seen.join(codes, F.lit(True)).withColumn("d", differs)
-    # a barcode has few distances: counts of them are combined before the shuffle, not lists of all
-    near = ranked.groupBy("barcode", "d").agg(F.count("*").alias("n"), F.min_by("new_gene", "code_ix").alias("new_gene"))
-    ds = near.groupBy("barcode").agg(F.array_sort(F.collect_list(F.struct("d", "n", "new_gene"))).alias("ds"))
-    first, second = F.get("ds", F.lit(0)), F.get("ds", F.lit(1))["d"]
-    gap = F.when(first["n"] > 1, 0.0).otherwise(F.coalesce(second, first["d"]) - first["d"])
-    best = ds.select("barcode", first["new_gene"].alias("new_gene"), first["d"].alias("distance"), gap.alias("gap"))
-    return best.filter((F.col("distance") <= max_distance) & (F.col("gap") >= min_gap))
+    codes = codebook.filter(F.length("barcode") == length).select("code_ix", F.col("barcode").alias("code"), F.col("gene").alias("new_gene"))
+    total, step, radius, found = sum(weights), max(weights, default=0.0), max_distance, None
+    while True:
+        near = codes_within(seen, codes, weights, min(radius, total)).groupBy("barcode").agg(F.array_sort(F.collect_list(F.struct("d", "n", "new_gene"))).alias("ds"))
+        first, second = F.get("ds", F.lit(0)), F.get("ds", F.lit(1))["d"]
+        gap = F.when(first["n"] > 1, 0.0).otherwise(second - first["d"])
+        near = staged(near.select("barcode", first["new_gene"].alias("new_gene"), first["d"].alias("distance"), gap.alias("gap")).filter(F.col("distance") <= max_distance))
+        last = radius >= total
+        known = near.withColumn("gap", F.coalesce("gap", F.lit(0.0))) if last else near.filter("gap is not null")
+        found = known if found is None else found.unionByName(known)
+        seen = near.filter("gap is null").select("barcode")
+        if last or seen.isEmpty():
+            return found.filter(F.col("gap") >= min_gap)
+        radius += step
 
 
 def rescued(spots: DataFrame, codebook: DataFrame, max_distance: float = 1.0, min_gap: float = 1.0, weights: list[float] | None = None, target: str = BACKGROUND) -> DataFrame:
-    """``spots`` with genes replaced from :func:`rescue_table` where they change, and ``rescue_applied``,
-    ``rescue_prev_gene``, ``rescue_distance``, ``rescue_gap``. ``target``: background spots only, or "all"."""
+    """``spots`` with genes replaced from :func:`rescue_table` where they change, and ``rescue_applied``, ``rescue_rule`` (whether
+    there is one for the barcode), ``rescue_prev_gene``, ``rescue_distance``, ``rescue_gap``. ``target``: background spots only, or "all"."""
     wanted = F.col("gene") == BACKGROUND if target == BACKGROUND else F.lit(True)
     table = rescue_table(spots.filter(wanted), codebook, max_distance, min_gap, weights)
     joined = spots.join(table, "barcode", "left")
     hit = F.coalesce(wanted & (F.col("new_gene") != F.col("gene")), F.lit(False))
-    out = joined.withColumn("rescue_applied", hit)
+    out = joined.withColumns({"rescue_applied": hit, "rescue_rule": F.coalesce(wanted & F.col("new_gene").isNotNull(), F.lit(False))})
     hit = F.col("rescue_applied")
     return out.withColumns({"rescue_prev_gene": F.when(hit, F.col("gene")), "rescue_distance": F.when(hit, F.col("distance")), "rescue_gap": F.when(hit, F.col("gap")), "gene": F.when(hit, F.col("new_gene")).otherwise(F.col("gene"))}).drop("new_gene", "distance", "gap")
 

@@ -72,17 +72,21 @@ def gamma_correction(voxels: DataFrame, shape: Shape | None = None, gamma: float
 
 @step
 def median_filter(voxels: DataFrame, shape: Shape, kernel_size: int = 3) -> DataFrame:
-    """Median over a square on truncated bytes, borders repeated. An even size grows by one; under 3 nothing happens."""
+    """Median over a square on truncated bytes, borders repeated. An even size grows by one; under 3 nothing happens.
+
+    Lines of the dense grid are arrays; a line meets its ``kernel_size`` neighbours, so lines are shuffled and never voxels.
+    """
     k = kernel_size + (kernel_size % 2 == 0)
     if k < 3:
         return voxels
-    r = k // 2
-    bytes_of = voxels.select(*VOXEL, F.floor(F.least(F.greatest("v", F.lit(0.0)), F.lit(1.0)) * 255).alias("b"))
-    near = F.array(*[F.struct(st.clamped(F.col("y") + a, shape.height).alias("sy"), st.clamped(F.col("x") + b, shape.width).alias("sx")) for a in range(-r, r + 1) for b in range(-r, r + 1)])
-    asked = voxels.select(*VOXEL, F.inline(near))
-    source = bytes_of.withColumnsRenamed({"y": "sy", "x": "sx"})
-    met = asked.join(source, [*IMAGE, "z", "sy", "sx"]).groupBy(*VOXEL).agg(F.array_sort(F.collect_list("b")).alias("bs"))
-    return met.select(*VOXEL, (F.get("bs", F.lit(k * k // 2)) / 255.0).alias("v"))
+    r, line = k // 2, [*IMAGE, "z"]
+    byte = F.floor(F.least(F.greatest("v", F.lit(0.0)), F.lit(1.0)) * 255)
+    rows = voxels.groupBy(*line, "y").agg(F.transform(F.array_sort(F.collect_list(F.struct("x", byte.alias("b")))), lambda p: p["b"]).alias("bs"))
+    asked = rows.select(*line, "y", F.explode(F.array(*[st.clamped(F.col("y") + a, shape.height) for a in range(-r, r + 1)])).alias("sy"))
+    near = asked.join(rows.withColumnRenamed("y", "sy"), [*line, "sy"]).groupBy(*line, "y").agg(F.collect_list("bs").alias("ls"))
+    window = lambda i: F.flatten(F.transform("ls", lambda bs: F.array(*[F.get(bs, st.clamped(i + b, shape.width)) for b in range(-r, r + 1)])))
+    medians = F.transform(F.get("ls", F.lit(0)), lambda _, i: F.get(F.sort_array(window(i)), F.lit(k * k // 2)) / 255.0)
+    return near.select(*line, "y", F.posexplode(medians).alias("x", "v")).select(*VOXEL, "v")
 
 
 @step
@@ -107,15 +111,20 @@ def histogram_matched(voxels: DataFrame, reference: DataFrame, keys: list[str])
     """Values replaced by those of ``reference`` (with ``keys``) at the same quantile, linear between its values.
 
     Quantiles of source and reference are bracketed by a union in order of q: the last reference value up to a source's
-    quantile and the first from it on. A source without a reference stays as it is.
+    quantile and the first from it on, so an image's distinct values are sorted once and meet no range of others. Below the
+    least reference quantile its value counts. A source without a reference stays as it is.
     """
-    source = quantiles(voxels, IMAGE)
-    ref = quantiles(reference, keys).withColumns({"q1": F.lead("q").over(Window.partitionBy(*keys).orderBy("q")), "v1": F.lead("v").over(Window.partitionBy(*keys).orderBy("q")), "k": F.row_number().over(Window.partitionBy(*keys).orderBy("q"))})
-    r = ref.select(*keys, F.col("q").alias("q0"), F.col("v").alias("v0"), "q1", "v1", "k")
-    inside = ((F.col("q") >= F.col("q0")) & (F.col("q1").isNull() | (F.col("q") < F.col("q1")))) | ((F.col("k") == 1) & (F.col("q") < F.col("q0")))
-    met = source.join(r, keys).filter(inside)
-    value = F.when(F.col("q1").isNull() | (F.col("q") < F.col("q0")), F.col("v0")).otherwise(F.col("v0") + (F.col("v1") - F.col("v0")) * (F.col("q") - F.col("q0")) / F.nullif(F.col("q1") - F.col("q0"), F.lit(0.0)))
-    table = met.groupBy(*IMAGE, "v").agg(F.min(value).alias("_to"))
+    images = voxels.select(*IMAGE).distinct()
+    source = quantiles(voxels, IMAGE).select(*IMAGE, "q", "v", F.lit(None).cast("double").alias("rv"))
+    ref = quantiles(reference, keys).withColumn("rv", F.col("v").cast("double")).drop("v").join(images, keys)
+    both = source.unionByName(ref.select(*IMAGE, "q", F.lit(None).cast("double").alias("v"), "rv"))
+    point = F.when(F.col("rv").isNotNull(), F.struct("q", F.col("rv").alias("v")))
+    # of rows with one quantile the reference comes first, either way, and is both ends of the bracket
+    up, down = (Window.partitionBy(*IMAGE).orderBy(q, F.col("rv").isNull()) for q in (F.asc("q"), F.desc("q")))
+    low, high = (F.last(point, ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0)) for w in (up, down))
+    met = both.withColumns({"low": low, "high": high}).filter("rv is null")
+    between = F.col("low.v") + (F.col("high.v") - F.col("low.v")) * (F.col("q") - F.col("low.q")) / F.nullif(F.col("high.q") - F.col("low.q"), F.lit(0.0))
+    table = met.select(*IMAGE, "v", F.coalesce(between, "low.v", "high.v").alias("_to"))
     return voxels.join(table, [*IMAGE, "v"], "left").select(*VOXEL, F.coalesce("_to", "v").alias("v"))
 
 
@@ -132,24 +141,38 @@ def histogram_match(voxels: DataFrame, calibrated: DataFrame, scope: str, refere
 @step
 def clahe(voxels: DataFrame, shape: Shape, clip_limit: float = 0.01, nbins: int = 256, tiles: int = 8) -> DataFrame:
     """Contrast-limited adaptive equalisation: per tile a histogram, clipped, its excess spread over all bins, and summed;
-    a value takes the bilinear blend of its four nearest tiles' maps. Tiles divide the image evenly."""
+    a value takes the bilinear blend of its four nearest tiles' sums at its bin. Tiles divide the image evenly.
+
+    The sums of the four tiles about each quadrangle of tile centres are one row a bin, so a voxel finds all it needs in one
+    row, by equality.
+    """
     th, tw = -(-shape.height // tiles), -(-shape.width // tiles)
     nt_y, nt_x = -(-shape.height // th), -(-shape.width // tw)
-    binned = voxels.withColumn("b", F.least(F.floor(F.least(F.greatest("v", F.lit(0.0)), F.lit(1.0)) * nbins), F.lit(nbins - 1)).cast("int"))
-    key = [*IMAGE, "z", "ty", "tx"]
-    counts = binned.withColumns({"ty": F.floor(F.col("y") / th).cast("int"), "tx": F.floor(F.col("x") / tw).cast("int")}).groupBy(*key, "b").count()
-    own = Window.partitionBy(*key)
-    n = F.sum("count").over(own)
-    limit = F.greatest(F.lit(1.0), clip_limit * n)
-    cut = counts.withColumns({"n": n, "kept": F.least(F.col("count").cast("double"), limit)}).withColumn("excess", F.col("n") - F.sum("kept").over(own))
-    curve = cut.withColumn("cdf", (F.sum("kept").over(own.orderBy("b")) + F.col("excess") * (F.col("b") + 1) / nbins) / F.col("n")).select(*key, "b", "cdf")
     py, px = (F.col("y") + 0.5) / th - 0.5, (F.col("x") + 0.5) / tw - 0.5
-    y0, x0 = F.floor(py), F.floor(px)
-    corners = F.array(*[F.struct(st.clamped(y0 + i, nt_y).cast("int").alias("ty"), st.clamped(x0 + j, nt_x).cast("int").alias("tx"), ((py - y0 if i else 1 - (py - y0)) * (px - x0 if j else 1 - (px - x0))).alias("w")) for i in (0, 1) for j in (0, 1)])
-    asked = binned.select(*VOXEL, "b", F.inline(corners))
-    near = asked.join(curve.withColumnRenamed("b", "cb"), key).filter("cb <= b").groupBy(*VOXEL, "ty", "tx", "w").agg(F.max_by("cdf", "cb").alias("cdf"))
-    blended = near.groupBy(*VOXEL).agg(F.sum(F.col("w") * F.col("cdf")).alias("v"))
-    return voxels.select(*VOXEL).join(blended, VOXEL, "left").withColumn("v", F.coalesce("v", F.lit(0.0)))
+    bin_of = F.least(F.floor(F.least(F.greatest("v", F.lit(0.0)), F.lit(1.0)) * nbins), F.lit(nbins - 1)).cast("int")
+    binned = voxels.select(*VOXEL, bin_of.alias("b"), F.floor(py).cast("int").alias("qy"), F.floor(px).cast("int").alias("qx"))
+    tile = [*IMAGE, "z", "ty", "tx"]
+    counts = binned.groupBy(*IMAGE, "z", F.floor(F.col("y") / th).cast("int").alias("ty"), F.floor(F.col("x") / tw).cast("int").alias("tx"), "b").count()
+    own = Window.partitionBy(*tile)
+    n = F.sum("count").over(own)
+    kept = counts.withColumns({"n": n, "kept": F.least(F.col("count").cast("double"), F.greatest(F.lit(1.0), clip_limit * n))})
+    totals = kept.groupBy(*tile).agg(F.max("n").alias("n"), F.sum("kept").alias("_kept"))
+    every = totals.withColumn("b", F.explode(F.sequence(F.lit(0), F.lit(nbins - 1)))).join(kept.select(*tile, "b", "kept"), [*tile, "b"], "left")
+    run = F.sum(F.coalesce("kept", F.lit(0.0))).over(own.orderBy("b"))
+    curve = every.select(*tile, "b", ((run + (F.col("n") - F.col("_kept")) * (F.col("b") + 1) / nbins) / F.col("n")).alias("cdf"))
+
+    def sides(t: str, last: int) -> Column:
+        """Quadrangles that a tile is the lower (0) or upper (1) end of, on one axis; at the border it is both."""
+        at = lambda q, end: F.struct(q.cast("int").alias("q"), F.lit(end).alias("end"))
+        inner = F.array(at(F.col(t), 0), at(F.col(t) - 1, 1))
+        return F.concat(inner, F.when(F.col(t) == 0, F.array(at(F.lit(-1), 0))).otherwise(F.array().cast("array<struct<q:int,end:int>>")), F.when(F.col(t) == last, F.array(at(F.lit(last), 1))).otherwise(F.array().cast("array<struct<q:int,end:int>>")))
+
+    told = curve.select(*tile, "b", "cdf", F.explode(sides("ty", nt_y - 1)).alias("a")).select("*", F.explode(sides("tx", nt_x - 1)).alias("c"))
+    corner = 2 * F.col("a.end") + F.col("c.end")
+    quads = told.groupBy(*IMAGE, "z", F.col("a.q").alias("qy"), F.col("c.q").alias("qx"), "b").agg(*[F.max(F.when(corner == k, F.col("cdf"))).alias(f"c{k}") for k in range(4)])
+    fy, fx = py - F.col("qy"), px - F.col("qx")
+    blend = (1 - fy) * ((1 - fx) * F.col("c0") + fx * F.col("c1")) + fy * ((1 - fx) * F.col("c2") + fx * F.col("c3"))
+    return binned.join(quads, [*IMAGE, "z", "qy", "qx", "b"]).select(*VOXEL, blend.alias("v"))
 
 
 def erosion(voxels: DataFrame, shape: Shape, radius: int) -> DataFrame:
@@ -254,5 +277,7 @@ def cleaned(voxels: DataFrame, steps: list[Step], shape: Shape, reference_round:
                 part = part if done is None else histogram_match(part, done, params["scope"], reference_round, first_channel)
             else:
                 part = run_steps(part, [(name, params)], shape)
+        # later layers read this one as reference: it is computed once
+        part = st.staged(part) if any(n == "histogram_match" for n, _ in before) else part
         done = part if done is None else done.unionByName(part)
     return run_steps(done, after, shape)

@@ -1,7 +1,11 @@
 """Neighbourhoods of voxels as windows, shifted keys and weighted sums."""
 
 import math
+import re
+import tempfile
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -17,8 +21,18 @@ def densified(voxels: DataFrame, height: int, width: int, depth: int | None = No
 
 
 def staged(df: DataFrame) -> DataFrame:
-    """``df`` computed once, its lineage cut: in the checkpoint folder, if one is set."""
-    return df.checkpoint() if df.sparkSession.sparkContext.getCheckpointDir() else df.localCheckpoint()
+    """``df`` computed once, its lineage cut: written to the checkpoint folder, which all executors share.
+
+    The folder is ``spark.checkpoint.dir``. Where that is not set, a local session gets a temporary folder of its own; on a
+    cluster, where no other executor would see it, that is an error.
+    """
+    sc = df.sparkSession.sparkContext
+    if not sc.getCheckpointDir():
+        root = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        if not root and not re.match(r"local(\[|$)", sc.master):
+            raise RuntimeError("spark.checkpoint.dir has to name a folder that all executors share")
+        sc.setCheckpointDir(root or tempfile.mkdtemp(prefix="spark-"))
+    return df.checkpoint()
 
 
 def sparsified(voxels: DataFrame) -> DataFrame:
@@ -56,8 +70,11 @@ def box_maximum(voxels: DataFrame, radius: int = 1, axes: str = "xyz", name: str
 
 
 def mirrored(c: Column, size: int) -> Column:
-    """A coordinate outside the axis reflected at the border, which is not repeated."""
-    return F.when(c < 0, -c).when(c > size - 1, 2 * (size - 1) - c).otherwise(c)
+    """A coordinate outside the axis reflected at the borders, which are not repeated, as often as it takes."""
+    if size == 1:
+        return c * 0
+    m = F.pmod(c, F.lit(2 * (size - 1)))
+    return F.least(m, 2 * (size - 1) - m)
 
 
 def clamped(c: Column, size: int) -> Column:
@@ -71,21 +88,47 @@ def gaussian_weights(sigma: float, radius: int | None = None) -> list[float]:
     return [x / sum(w) for x in w]
 
 
-def weighted(voxels: DataFrame, axis: str, weights: list[float], size: int) -> DataFrame:
-    """One pass of a separable blur over dense data: each target sums its neighbours, mirrored at the borders.
-
-    A line of the dense grid becomes an array, whose length the image bounds, and the sum is an array expression.
-    """
-    r = len(weights) // 2
-    if size <= r:
-        raise ValueError("the axis is shorter than the kernel's half")
+def lines(voxels: DataFrame, axis: str, value: str, f) -> DataFrame:
+    """Dense data with each value replaced by ``f(line, i)``: the line of values through it along ``axis``, an array whose length
+    the image bounds, and its place there. One shuffle by line, no window."""
     rest = [c for c in ("z", "y", "x") if c != axis]
-    line = F.transform(F.array_sort(F.collect_list(F.struct(axis, "v"))), lambda p: p["v"])
+    line = F.transform(F.array_sort(F.collect_list(F.struct(axis, value))), lambda p: p[value])
     rows = voxels.groupBy(*IMAGE, *rest).agg(line.alias("_line"))
-    at = lambda i, k: F.get("_line", mirrored(i + (k - r), size))
-    total = lambda i: sum([at(i, k) * wt for k, wt in enumerate(weights)], F.lit(0.0))
-    blurred = F.transform("_line", lambda v, i: total(i))
-    return rows.select(*IMAGE, *rest, F.posexplode(blurred).alias(axis, "v")).select(*VOXEL, "v")
+    out = F.transform("_line", lambda _, i: f(F.col("_line"), i))
+    return rows.select(*IMAGE, *rest, F.posexplode(out).alias(axis, value)).select(*VOXEL, value)
+
+
+def mapped_lines(voxels: DataFrame, axis: str, f) -> DataFrame:
+    """Dense data whose ``v`` is an array of numbers, with ``f`` applied to lines along ``axis``: it takes and gives a NumPy array
+    (lines, places, numbers). For many numbers a voxel, where an expression for each would be slow; one shuffle by line."""
+    rest = [c for c in ("z", "y", "x") if c != axis]
+    cells = F.array_sort(F.collect_list(F.struct(axis, "v")))
+    rows = voxels.groupBy(*IMAGE, *rest).agg(cells.alias("cells")).select(*IMAGE, *rest, F.transform("cells", lambda p: p[axis]).alias("at"), F.flatten(F.transform("cells", lambda p: p["v"])).alias("v"))
+    keys = [*IMAGE, *rest]
+
+    def apply(batches):
+        for batch in batches:
+            size = np.diff(np.asarray(batch.column("at").offsets))
+            for n in np.unique(size):
+                own = batch.filter(pa.array(size == n))
+                values = own.column("v").flatten().to_numpy().reshape(own.num_rows, n, -1)
+                for k in range(0, own.num_rows, 256):
+                    out = f(values[k : k + 256])
+                    part, width = own.slice(k, 256), out.shape[2]
+                    which = pa.array(np.repeat(np.arange(part.num_rows), n))
+                    ends = pa.array(np.arange(0, out.size + 1, width, dtype=np.int32))
+                    columns = [*[part.column(c).take(which) for c in keys], part.column("at").flatten(), pa.ListArray.from_arrays(ends, pa.array(out.ravel()))]
+                    yield pa.RecordBatch.from_arrays(columns, [*keys, axis, "v"])
+
+    kinds = dict(voxels.dtypes)
+    return rows.mapInArrow(apply, ", ".join([*[f"`{c}` {kinds[c]}" for c in (*keys, axis)], "v array<double>"])).select(*VOXEL, "v")
+
+
+def weighted(voxels: DataFrame, axis: str, weights: list[float], size: int) -> DataFrame:
+    """One pass of a separable blur over dense data: each target sums its neighbours, mirrored at the borders."""
+    r = len(weights) // 2
+    at = lambda line, i, k: F.get(line, mirrored(i + (k - r), size))
+    return lines(voxels, axis, "v", lambda line, i: sum([at(line, i, k) * wt for k, wt in enumerate(weights)], F.lit(0.0)))
 
 
 def blurred(voxels: DataFrame, sigma: float, height: int, width: int, radius: int | None = None) -> DataFrame:

@@ -196,7 +196,12 @@ def _(spark, d):
 
 
 query("peak_min_distance")(lambda spark, d: spots.separated_peaks(fx.volume_li(spark, d, 4), 2, 50, 64, 7, 0.3))
-query("blob_dog")(lambda spark, d: spots.blob_dog(plane(spark, d), [1.0, 1.6, 2.56], 0.001, SHAPE.height, SHAPE.width))
+query("blob_dog")(lambda spark, d: spots.blob_dog(_dense_volume(spark, d), spots.scales((0.8, 1.0, 1.0), (1.6, 2.0, 2.0)), 0.01, {"z": 7, "y": 50, "x": 64}))
+
+
+def _dense_volume(spark, d):
+    v = fx.volume_li(spark, d, 4).withColumn("v", F.col("v") / 255.0)
+    return st.densified(v, 50, 64, 7)
 
 
 @query("volume_profile", f"WITH {VOL}, s AS (SELECT fov, round, channel, count(*) n, min(v) lo, max(v) high, sum(v) / 22400.0 mean, sum(v*v) / 22400.0 ss FROM vol GROUP BY ALL) SELECT fov, round, channel, CASE WHEN n < 22400 THEN 0 ELSE lo END low, high, round(mean, 6) mean, round(sqrt(ss - mean*mean), 6) std FROM s")
@@ -282,7 +287,7 @@ def _(spark, d):
     return spots.compared(some_spots(spark, d), 3)
 
 
-@query("spot_crop", f"WITH {_POINT}, {VOL} SELECT pt.fov, spot_id, pt.round, vol.channel, CAST(vol.y - round_even(py, 0) AS INT) oy, CAST(vol.x - round_even(px, 0) AS INT) ox, max(v) v FROM pt CROSS JOIN range(-1, 2) oa(i) CROSS JOIN range(-2, 3) ob(j) CROSS JOIN range(-2, 3) oc(k) JOIN vol ON vol.fov = pt.fov AND vol.round = pt.round AND vol.z = CAST(round_even(pz, 0) AS INT) + i AND vol.y = CAST(round_even(py, 0) AS INT) + j AND vol.x = CAST(round_even(px, 0) AS INT) + k GROUP BY ALL")
+@query("spot_crop", f"WITH {_POINT}, {VOL}, zm AS (SELECT fov, round, channel, CAST(z + i AS INT) z, y, x, max(v) v FROM vol CROSS JOIN range(-1, 2) oa(i) GROUP BY ALL), ak AS (SELECT fov, spot_id, round, CAST(round_even(pz, 0) AS INT) z, CAST(round_even(py, 0) + j AS INT) y, CAST(round_even(px, 0) + k AS INT) x, CAST(j AS INT) oy, CAST(k AS INT) ox FROM pt CROSS JOIN range(-2, 3) ob(j) CROSS JOIN range(-2, 3) oc(k)) SELECT fov, spot_id, round, channel, oy, ox, v FROM ak JOIN zm USING (fov, round, z, y, x)")
 def _(spark, d):
     return extract.spot_crop(_points(spark, d), fx.volume_li(spark, d, 4), 2)
 

@@ -10,7 +10,7 @@ from glimmer.operators import stencil as st
 from glimmer.operators.preprocess import Shape
 from glimmer.sources import tables
 
-FOUR = codebook.encoding(codebook.STANDARD_4COLOR)
+FOUR = codebook.STANDARD_4COLOR
 
 
 def image(spark, a, fov=0, rnd=1, channel=0):
