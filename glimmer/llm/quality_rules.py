@@ -1,78 +1,106 @@
 """Quality rules combined by weak supervision."""
 
 import math
+from dataclasses import dataclass
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from glimmer.llm._common import documents, stage, table
 from glimmer.llm.text_stats import keyed, only, ratios, with_stats
 
-#: name: (statistic, votes "bad" below, votes "bad" above, votes "good" from, votes "good" to). Elsewhere it abstains.
-#: Each looks at another fault, since the estimate takes votes within a class as independent.
+
+@dataclass(frozen=True)
+class Vote:
+    """A rule: "bad" where ``stat`` is under ``below`` or over ``above``, "good" from ``low`` to ``high``, else it abstains.
+
+    ``fault``: what it looks for. Rules of one fault are expected to agree on bad texts. ``alarms``: the least and the most
+    of sound texts that it may call bad, as it is written: a strict rule is never wrong about them, a graded one at times.
+    """
+
+    stat: str
+    fault: str
+    below: float | None = None
+    above: float | None = None
+    low: float = 0.0
+    high: float = 1.0
+    alarms: tuple[float, float] = (0.01, 0.05)
+
+
+STRICT = (0.0001, 0.001)
 RULES = {
-    "symbols": ("other_symbols", None, 0.15, 0.0, 0.03),
-    "bars": ("bars", None, 0.15, 0.0, 0.01),
-    "repeats": ("repeats", None, 0.3, 0.0, 0.1),
-    "shouting": ("shouting", None, 0.4, 0.0, 0.2),
-    "dup_lines": ("dup_lines", None, 0.5, 0.0, 0.05),
-    "word_length": ("word_length", 1.5, 25.0, 2.5, 14.0),
+    "symbols": Vote("other_symbols", "symbols", above=0.1, high=0.03, alarms=STRICT),
+    "bars": Vote("bars", "table", above=0.1, high=0.01, alarms=STRICT),
+    "marks": Vote("marks", "shouting", above=0.2, high=0.05, alarms=STRICT),
+    "capitals": Vote("upper", "shouting", above=0.15, high=0.08),
+    "long_repeats": Vote("repeats", "repetition", above=0.3, high=0.03, alarms=STRICT),
+    "repeats": Vote("repeats", "repetition", above=0.15, high=0.05),
+    "variety": Vote("distinct", "repetition", below=0.5, low=0.6, high=1.0),
+    "dup_lines": Vote("dup_lines", "repetition", above=0.35, high=0.1),
+    "word_length": Vote("word_length", "words", below=3.0, above=10.0, low=3.5, high=9.0),
 }
-#: Before any data: a sound text gets a bad vote with this chance, and that counts as much as so many times the texts.
-FALSE_ALARM, FIRMNESS = 0.002, 4.0
+#: Votes that are taken as seen before any data, of each rule in each class, whatever the number of texts.
+PSEUDO_VOTES = 20.0
 BASE = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 
 
-def votes(rules: dict = RULES) -> dict[str, Column]:
+def votes(rules: dict[str, Vote] = RULES) -> dict[str, Column]:
     """One column for each rule: 1 good, -1 bad, 0 abstains. Texts without words get no vote."""
     of, out = ratios(), {}
-    for name, (stat, below, above, low, high) in rules.items():
-        x, bad = of[stat], F.lit(False)
-        bad = bad | (x < below) if below is not None else bad
-        bad = bad | (x > above) if above is not None else bad
-        vote = F.when(F.col("n_words") == 0, 0).when(bad, -1).when((x >= low) & (x <= high), 1).otherwise(0)
+    for name, r in rules.items():
+        x, bad = of[r.stat], F.lit(False)
+        bad = bad | (x < r.below) if r.below is not None else bad
+        bad = bad | (x > r.above) if r.above is not None else bad
+        vote = F.when(F.col("n_words") == 0, 0).when(bad, -1).when((x >= r.low) & (x <= r.high), 1).otherwise(0)
         out[name] = vote.cast("int")
     return out
 
 
-def estimate(counts: dict[tuple, int], rounds: int = 200, tolerance: float = 1e-9) -> tuple[float, list[tuple[float, float]]]:
-    """(share of good documents, for each rule the chance of a good vote given good and of a bad vote given bad).
+@dataclass(frozen=True)
+class Model:
+    """``shares`` of the classes, sound texts first, then one for each fault; ``bad``: by class and rule the chance that a
+    vote is "bad"."""
 
-    Expectation-maximisation over counts of vote patterns, votes independent within a class. It starts from texts
-    without a bad vote as good. Rules are written to be silent on sound texts, so their false alarms have a prior
-    (``FALSE_ALARM``, ``FIRMNESS``); how often each catches a bad text is left to the data, with one vote added each way.
+    shares: tuple[float, ...]
+    bad: tuple[tuple[float, ...], ...]
+
+
+def estimate(counts: dict[tuple, int], rules: dict[str, Vote], rounds: int = 500, tolerance: float = 1e-9) -> Model:
+    """The model of largest posterior probability for counts of vote patterns, by expectation-maximisation.
+
+    Votes are independent within a class. Bad texts are a class for each fault, since rules of one fault agree on them beyond
+    what a single class of bad texts allows, and rules of different faults do not. It starts from texts without a bad vote
+    as sound and the others as of the faults their votes name, half sound if there is but one. A rule's false alarms stay
+    within its ``alarms``; all else is estimated, with ``PSEUDO_VOTES`` for each rule and class. An abstention says nothing.
     """
-    n_rules = len(next(iter(counts), ()))
-    share, chances = 0.5, [(0.9, 0.5)] * n_rules
-    good = {p: 0.95 if -1 not in p and 1 in p else 0.5 if 1 not in p and -1 not in p else 0.1 for p in counts}
+    faults = list(dict.fromkeys(r.fault for r in rules.values()))
+    patterns = np.array([p for p in counts] or [[0] * len(rules)])
+    n = np.array([counts[p] for p in counts] or [0], float)
+    is_bad, is_good = (patterns == -1).astype(float), (patterns == 1).astype(float)
+    own = np.array([[r.fault == f for r in rules.values()] for f in faults], float)
+    least, most = (np.array([r.alarms[k] for r in rules.values()]) for k in (0, 1))
+    prior = np.vstack([(least + most) / 2, 0.6 * own + 0.1])
+    weight = np.hstack([np.where(is_bad.sum(1) == 0, 1.0, np.where(is_bad.sum(1) == 1, 0.5, 0.02))[:, None], 0.02 + is_bad @ own.T])
+    weight /= weight.sum(1, keepdims=True)
     for _ in range(rounds):
-        total, all_good = sum(counts.values()), sum(n * good[p] for p, n in counts.items())
-        was, share = share, (all_good + 1) / (total + 2)
-        before, chances = chances, []
-        for j in range(n_rules):
-            firm = FIRMNESS * all_good + 1
-            agree, seen = [firm * (1 - FALSE_ALARM), 1.0], [firm, 2.0]
-            for p, n in counts.items():
-                if p[j]:
-                    for k, weight in enumerate((good[p], 1 - good[p])):
-                        seen[k] += n * weight
-                        agree[k] += n * weight * (p[j] == (1, -1)[k])
-            chances.append((agree[0] / seen[0], agree[1] / seen[1]))
-        good = {p: posterior(p, share, chances) for p in counts}
-        if abs(share - was) + sum(abs(a - b) for x, y in zip(before, chances, strict=True) for a, b in zip(x, y, strict=True)) < tolerance:
+        of = weight * n[:, None]
+        shares = (of.sum(0) + 1) / (of.sum() + len(faults) + 1)
+        bad = (of.T @ is_bad + PSEUDO_VOTES * prior) / (of.T @ (is_bad + is_good) + PSEUDO_VOTES)
+        bad[0] = np.clip(bad[0], least, most)
+        logs = np.log(shares) + is_bad @ np.log(bad).T + is_good @ np.log(1 - bad).T
+        was, weight = weight, np.exp(logs - logs.max(1, keepdims=True))
+        weight /= weight.sum(1, keepdims=True)
+        if np.abs(weight - was).max() < tolerance:
             break
-    return share, chances
-
-
-def posterior(pattern: tuple, share: float, chances: list[tuple[float, float]]) -> float:
-    """Probability of good given the votes."""
-    logit = math.log(share / (1 - share)) + sum(_weight(v, c) for v, c in zip(pattern, chances, strict=True))
-    return 1 / (1 + math.exp(-max(-700.0, min(700.0, logit))))
+    return Model(tuple(map(float, shares)), tuple(tuple(map(float, b)) for b in bad))
 
 
-def _weight(vote: int, chance: tuple[float, float]) -> float:
-    good, bad = chance
-    return math.log(good / (1 - bad)) if vote == 1 else math.log((1 - good) / bad) if vote == -1 else 0.0
+def posterior(pattern: tuple, model: Model) -> float:
+    """Probability of sound given the votes."""
+    logs = [math.log(s) + sum(math.log(b if v == -1 else 1 - b) for v, b in zip(pattern, bad, strict=True) if v) for s, bad in zip(model.shares, model.bad, strict=True)]
+    top = max(logs)
+    return math.exp(logs[0] - top) / sum(math.exp(x - top) for x in logs)
 
 
 class Judge:
@@ -81,19 +109,25 @@ class Judge:
     Only the counts of vote patterns, at most 3 ** rules however many rows there are, come to the driver.
     """
 
-    def __init__(self, counts: DataFrame, rules: dict = RULES, least_words: int = 50, most_repeats: float = 0.5, threshold: float = 0.5):
+    def __init__(self, counts: DataFrame, rules: dict[str, Vote] = RULES, least_words: int = 50, most_repeats: float = 0.5, threshold: float = 0.5):
         self.votes, self.least_words, self.most_repeats, self.threshold = votes(rules), least_words, most_repeats, threshold
         voted = counts.select(*[v.alias(k) for k, v in self.votes.items()]).groupBy(*self.votes).count().collect()
-        none = {tuple([0] * len(self.votes)): 0}
-        self.share, self.chances = estimate(none | {tuple(r[k] for k in self.votes): r["count"] for r in voted})
+        self.model = estimate({tuple(r[k] for k in self.votes): r["count"] for r in sorted(voted)}, rules)
 
     def verdict(self, counts: DataFrame) -> DataFrame:
         """``counts`` with ``posterior``, ``base_failed`` and ``kept``."""
-        logit = F.lit(math.log(self.share / (1 - self.share)))
-        for vote, chance in zip(self.votes.values(), self.chances, strict=True):
-            logit = logit + F.when(vote == 1, _weight(1, chance)).when(vote == -1, _weight(-1, chance)).otherwise(0.0)
+        logs = []
+        for share, bad in zip(self.model.shares, self.model.bad, strict=True):
+            log = F.lit(math.log(share))
+            for name, b in zip(self.votes, bad, strict=True):
+                log = log + F.when(F.col(f"_vote_{name}") == -1, math.log(b)).when(F.col(f"_vote_{name}") == 1, math.log(1 - b)).otherwise(0.0)
+            logs.append(log)
         failed = (F.col("n_words") < self.least_words) | (F.col("n_repeat_words") > self.most_repeats * F.col("n_words"))
-        judged = counts.withColumn("posterior", 1 / (1 + F.exp(-logit))).withColumn("base_failed", failed)
+        names = [f"_log_{k}" for k in range(len(logs))]
+        weighed = counts.withColumns({f"_vote_{k}": v for k, v in self.votes.items()}).select(*counts.columns, *[x.alias(k) for k, x in zip(names, logs, strict=True)])
+        top = F.greatest(*names)
+        sound = F.exp(F.col(names[0]) - top) / sum([F.exp(F.col(k) - top) for k in names], F.lit(0.0))
+        judged = weighed.withColumn("posterior", sound).withColumn("base_failed", failed).drop(*names)
         return judged.withColumn("kept", ~F.col("base_failed") & (F.col("posterior") >= self.threshold))
 
 

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from glimmer.llm import chat_format, components, fingerprints, line_dedup, ngram_join, packing, quality_classifier, quality_rules, sentence_pieces, token_counts, token_store
-from glimmer.llm._common import scratch
+from glimmer.llm._common import scratch, stage
 from glimmer.llm._tokenize import Encoder
 
 SF = Path("/root/testdata/sf0.001")
@@ -320,6 +320,28 @@ def test_op8_neighbours(spark):
         assert got[i].edited_sha256 == hashlib.sha256((t[: len(t) - h] + rows[(k + 1) % len(rows)][1][:h]).encode()).hexdigest()
 
 
+def test_op8_of_repeated_and_missing_ids(spark, tmp_path):
+    rows = [(1, "seven c"), (1, "eleven char"), (2, "zwei"), (3, "drei"), (None, "no id"), (None, None), (3, "drei"), (4, "")]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = fingerprints.op8_fingerprints(spark, str(tmp_path)).collect()
+    assert Counter((r.doc_id, r.n_chars) for r in got) == Counter((i, len(t or "")) for i, t in rows)
+    of = dict(spark.createDataFrame([(t or "",) for _, t in rows], "t string").selectExpr("t", "xxhash64(t) h").distinct().collect())
+    order = sorted({(-(1 << 63) if i is None else i, of[t or ""], t or "") for i, t in rows})
+    want = {(i, t): t[: len(t) - len(t) // 2] + order[(k + 1) % len(order)][2][: len(t) // 2] for k, (i, _, t) in enumerate(order)}
+    for i, t in rows:
+        key = (-(1 << 63) if i is None else i, t or "")
+        assert any(r.doc_id == i and r.edited_sha256 == hashlib.sha256(want[key].encode()).hexdigest() for r in got)
+    by = {(r.doc_id, r.n_chars): r.fingerprint for r in got}
+    assert len(set(by.values())) == len({t or "" for _, t in rows}) - 0 and all(r.near_edited in (0.0, 1.0) and r.near_next in (0.0, 1.0) for r in got)
+
+
+def test_rows_of_one_id_are_one_document(spark):
+    a, b, c = (" ".join(f"{w}{k}" for k in range(40)) for w in "abc")
+    rows = spark.createDataFrame([(3, a), (8, a), (8, b), (9, b), (5, c), (None, c), (6, None)], "doc_id long, text string")
+    got = Counter((r.doc_id, r.component_id) for r in ngram_join.near_duplicates(rows).collect())
+    assert got == Counter([(3, 3), (8, 3), (8, 3), (9, 3), (5, 5), (None, 5), (6, 6)])
+
+
 def test_quality_rules(docs, odd):
     def counts(t):
         w = WORD.findall(t)
@@ -351,9 +373,54 @@ def test_estimate_finds_the_accuracies():
     for _ in range(4000):
         good = rng.random() < 0.8
         patterns[tuple((1 if rng.random() < 0.995 else -1) if good else (-1 if rng.random() < p else 1) for p in (0.9, 0.8, 0.7))] += 1
-    share, chances = quality_rules.estimate(patterns)
-    assert abs(share - 0.8) < 0.03 and all(abs(b - p) < 0.06 for (_, b), p in zip(chances, (0.9, 0.8, 0.7), strict=True))
-    assert quality_rules.posterior((1, 1, 1), share, chances) > 0.9 > 0.1 > quality_rules.posterior((-1, -1, 1), share, chances)
+    rules = {k: quality_rules.Vote("symbols", "one", alarms=(0.0001, 0.05)) for k in "abc"}
+    model = quality_rules.estimate(patterns, rules)
+    assert abs(model.shares[0] - 0.8) < 0.03 and all(abs(b - p) < 0.06 for b, p in zip(model.bad[1], (0.9, 0.8, 0.7), strict=True))
+    assert quality_rules.posterior((1, 1, 1), model) > 0.9 > 0.1 > quality_rules.posterior((-1, -1, 1), model)
+
+
+def test_rules_of_one_fault_agree_and_of_others_do_not():
+    """Three faults, each with three rules that agree on it (with two, a rule's errors could not be told from the fault's share),
+    and one rule that is wrong about 3 of 100 sound texts."""
+    rng = random.Random(5)
+    rules = {f"{f}{k}": quality_rules.Vote("symbols", f, alarms=(0.002, 0.05)) for f in "xyz" for k in (0, 1, 2)}
+    patterns, truth = Counter(), defaultdict(Counter)
+    for _ in range(20_000):
+        fault = rng.choices("-xyz", (85, 5, 5, 5))[0]
+        p = tuple(0 if rng.random() < 0.1 else -1 if rng.random() < (0.9 if name[0] == fault else 0.005 if j else 0.03) else 1 for j, name in enumerate(rules))
+        patterns[p] += 1
+        truth[p][fault == "-"] += 1
+    model = quality_rules.estimate(patterns, rules)
+    assert np.allclose(model.shares, (0.85, 0.05, 0.05, 0.05), atol=0.01)
+    assert abs(model.bad[0][0] - 0.03) < 0.006 and all(abs(model.bad[k][3 * k - 3] - 0.9) < 0.05 for k in (1, 2, 3))
+    good = (1,) * 6
+    assert quality_rules.posterior((-1, -1, 1, *good), model) < 0.05 and quality_rules.posterior((-1, 1, 1, *good), model) > 0.8  # one bad vote is overruled
+    chosen = sum(truth[p][quality_rules.posterior(p, model) >= 0.5] for p in patterns)
+    all_pass = sum(truth[p][-1 not in p] for p in patterns)
+    assert chosen > all_pass + 500 and chosen > 0.98 * 20_000
+
+
+def test_verdicts_equal_a_direct_sum_over_classes(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    counts = stage(quality_rules.with_stats(quality_rules.documents(docs)))
+    judge = quality_rules.Judge(counts)
+    rows = judge.verdict(counts).select("doc_id", "posterior", "kept", "base_failed", *[v.alias(f"v_{k}") for k, v in judge.votes.items()]).collect()
+    differ = 0
+    truth = {r.doc_id: r.quality for r in spark.read.parquet("/root/testdata/sf0.01/labels.parquet").collect()}
+    right = Counter()
+    for r in rows:
+        pattern = tuple(r[f"v_{k}"] for k in judge.votes)
+        want = []
+        for share, bad in zip(judge.model.shares, judge.model.bad, strict=True):
+            want.append(share * np.prod([b if v == -1 else 1 - b if v else 1.0 for v, b in zip(pattern, bad, strict=True)]))
+        assert r.posterior == pytest.approx(want[0] / sum(want), abs=1e-9)
+        assert r.kept == (not r.base_failed and want[0] / sum(want) >= 0.5)
+        differ += (want[0] / sum(want) >= 0.5) != (-1 not in pattern)
+        if r.doc_id in truth and not r.base_failed:
+            right["kept"] += r.kept == truth[r.doc_id]
+            right["all"] += (-1 not in pattern) == truth[r.doc_id]
+            right["n"] += 1
+    assert differ > 0 and right["kept"] >= right["all"] and right["kept"] >= 0.99 * right["n"]
 
 
 def test_quality_classifier(spark, odd):
