@@ -38,8 +38,13 @@ def fingerprints(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text
     Null text counts as empty. A null id stays null. Repeated rows are rows of their own. An empty table gives an empty
     result. Other columns are ignored.
     """
-    plain = documents(df, id_col, text_col).select("doc_id", F.length("text").cast("long").alias("n_chars"), canonical(F.col("text")).alias("_c"))
-    hashed = plain.select("doc_id", "n_chars", wide_hash(F.col("_c")).alias("fingerprint"), "_c")
+    return _fingerprints(documents(df, id_col, text_col), most_broadcast).drop("th")
+
+
+def _fingerprints(docs: DataFrame, most_broadcast: int = 1_000_000) -> DataFrame:
+    """``doc_id, th, n_chars, fingerprint`` of ``docs`` (``doc_id, text``); ``th``: a hash of the text as it is."""
+    plain = docs.select("doc_id", F.xxhash64("text").alias("th"), F.length("text").cast("long").alias("n_chars"), canonical(F.col("text")).alias("_c"))
+    hashed = plain.select("doc_id", "th", "n_chars", wide_hash(F.col("_c")).alias("fingerprint"), "_c")
     found = stage(hashed.drop("_c"))
     shared = stage(found.groupBy("fingerprint").count().filter("count > 1").select("fingerprint"))
     wanted = F.broadcast(shared) if shared.count() <= most_broadcast else shared
@@ -49,39 +54,52 @@ def fingerprints(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text
         return found
     mixed = hashed.join(unsound.withColumn("_mixed", F.lit(True)), "fingerprint", "left")
     suffix = F.when(F.col("_mixed"), F.concat(F.lit("-"), F.sha2("_c", 256))).otherwise("")
-    return mixed.select("doc_id", "n_chars", F.concat("fingerprint", suffix).alias("fingerprint"))
+    return mixed.select("doc_id", "th", "n_chars", F.concat("fingerprint", suffix).alias("fingerprint"))
 
 
 def next_in_order(found: DataFrame) -> DataFrame:
-    """``found`` (one row an id) with ``next_id`` and ``next_fingerprint`` of the next id, the first after the last.
+    """``found`` (one row a document: ``id, th`` and others) with ``next_id, next_th`` and ``next_fingerprint`` of the next one in
+    ascending order of id and hash, the first after the last.
 
-    Ids are dealt out by ranges; only the first row of each range is looked at by all.
+    Documents are dealt out by ranges; only the first row of each range is looked at by all.
     """
-    ranges = ordered(found, ["doc_id"])
-    follow = Window.partitionBy("range_no").orderBy("doc_id")
-    firsts = ranges.groupBy("range_no").agg(F.min(F.struct("doc_id", "fingerprint")).alias("_first"))
+    ranges = ordered(found, ["id", "th"])
+    row = F.struct("id", "th", "fingerprint")
+    follow = Window.partitionBy("range_no").orderBy("id", "th")
+    firsts = ranges.groupBy("range_no").agg(F.min(row).alias("_first"))
     over = Window.orderBy("range_no")
     edges = firsts.select("range_no", F.coalesce(F.lead("_first").over(over), F.min("_first").over(Window.partitionBy())).alias("_edge"))
-    led = ranges.withColumn("_next", F.lead(F.struct("doc_id", "fingerprint")).over(follow)).join(F.broadcast(edges), "range_no")
+    led = ranges.withColumn("_next", F.lead(row).over(follow)).join(F.broadcast(edges), "range_no")
     chosen = F.coalesce("_next", "_edge")
-    return led.select("doc_id", "n_chars", "fingerprint", chosen["doc_id"].alias("next_id"), chosen["fingerprint"].alias("next_fingerprint"))
+    return led.select(*found.columns, *[chosen[c].alias(f"next_{c}") for c in ("id", "th", "fingerprint")])
 
 
 def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Fingerprints of all documents and of edited copies: the second half replaced by the start of the next document."""
-    docs = documents(table(spark, sf_dir, "documents")).filter("doc_id is not null").repartition("doc_id")
-    order = stage(next_in_order(fingerprints(table(spark, sf_dir, "documents")).filter("doc_id is not null").dropDuplicates(["doc_id"])))
+    """Fingerprints of all documents and of edited copies: the second half replaced by the start of the next document.
+
+    Documents are in order of id (null first) and a hash of the text. Rows that repeat both are one document; each of them
+    has its result. ``edited_fingerprint`` is the wide hash; texts that share one with another text by chance are told apart
+    in ``fingerprint`` only.
+    """
+    lowest = F.lit(-(1 << 63))
+    docs = documents(table(spark, sf_dir, "documents"))
+    named = docs.select(F.coalesce("doc_id", lowest).alias("id"), F.xxhash64("text").alias("th"), "text").repartition("id", "th")
+    rows = _fingerprints(docs).withColumn("id", F.coalesce("doc_id", lowest))
+    ones = rows.groupBy("id", "th").agg(F.first("doc_id").alias("doc_id"), F.first("n_chars").alias("n_chars"), F.first("fingerprint").alias("fingerprint"), F.count("*").alias("n_rows"))
+    order = stage(next_in_order(ones))
+    texts = named if order.filter("n_rows > 1").isEmpty() else named.dropDuplicates(["id", "th"])
     half = F.floor(F.col("n_chars") / 2).cast("int")
-    heads = docs.join(order.select(F.col("next_id").alias("doc_id"), F.col("doc_id").alias("of"), half.alias("n")), "doc_id")
-    heads = heads.select(F.col("of").alias("doc_id"), F.substring("text", F.lit(1), F.col("n")).alias("head"))
-    both = docs.join(order, "doc_id").join(heads, "doc_id")
+    asked = order.select(F.col("next_id").alias("id"), F.col("next_th").alias("th"), F.col("id").alias("of"), F.col("th").alias("of_th"), half.alias("n"))
+    heads = texts.join(asked, ["id", "th"]).select(F.col("of").alias("id"), F.col("of_th").alias("th"), F.substring("text", F.lit(1), F.col("n")).alias("head"))
+    both = texts.join(order, ["id", "th"]).join(heads, ["id", "th"])
     edited = both.select("*", F.concat(F.substring("text", F.lit(1), (F.col("n_chars") - half).cast("int")), "head").alias("edited"))
     hashed = edited.select("*", wide_hash(canonical(F.col("edited"))).alias("edited_fingerprint"))
     like = lambda x: F.when(F.col("fingerprint") == F.col(x), 1.0).otherwise(0.0)
-    return hashed.select(
+    out = hashed.select(
         "doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), "fingerprint", "edited_fingerprint",
-        like("edited_fingerprint").alias("near_edited"), like("next_fingerprint").alias("near_next"),
+        like("edited_fingerprint").alias("near_edited"), like("next_fingerprint").alias("near_next"), "n_rows",
     )
+    return out.withColumn("_n", F.explode(F.sequence(F.lit(1), F.col("n_rows").cast("int")))).drop("_n", "n_rows")
 
 
 QUERIES = {"op8_fingerprints": op8_fingerprints}
