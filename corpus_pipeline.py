@@ -30,10 +30,19 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicate_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each component of near copies (five words, similarity of at least 0.8);
-    documents without an id stay."""
-    stay = near_duplicates(docs, width=5, percent=80).filter("doc_id = component_id").select("doc_id").distinct()
-    return docs.filter("doc_id is null").unionByName(docs.join(stay, "doc_id", "left_semi").select(*docs.columns))
+    """The document with the smallest id of each component of near copies (five words, similarity of at least 0.8).
+
+    Rows that repeat an id are one document: of those that stay one row does, the first by a hash of its text. Documents
+    without an id stay."""
+    stay = near_duplicates(docs, width=5, percent=80).filter("doc_id = component_id").groupBy("doc_id").count()
+    stay = stage(stay)
+    rows = docs.join(stay.filter("count = 1").select("doc_id"), "doc_id", "left_semi").select(*docs.columns)
+    repeated = stay.filter("count > 1").select("doc_id")
+    if not repeated.isEmpty():
+        again = docs.join(repeated, "doc_id", "left_semi").withColumn("_row", F.struct(F.xxhash64("text").alias("h"), *[F.col(c).alias(f"c{k}") for k, c in enumerate(docs.columns)]))
+        first = again.groupBy("doc_id").agg(F.min("_row").alias("_row"))
+        rows = rows.unionByName(first.select(*[F.col(f"_row.c{k}").alias(c) for k, c in enumerate(docs.columns)]))
+    return docs.filter("doc_id is null").unionByName(rows)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

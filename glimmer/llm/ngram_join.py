@@ -302,7 +302,12 @@ class Join:
         mixed = marked.groupBy("token").agg((F.min("c") < F.max("c")).alias("mixed")).filter("mixed").select("token")
         rest = stage(self._sketched(marked.join(mixed, "token")))
         second = self._verified(self._pairs(rest, (F.col("doc_a") < F.col("doc_b")) & (F.col("c_a") != F.col("c_b"))))
-        return components(first.unionByName(second))
+        links = first.unionByName(second)
+        several = stage(self.sets.filter("n_shingles > 0").groupBy("doc_id").agg((F.min("digest") < F.max("digest")).alias("several")).filter("several and doc_id is not null").select("doc_id"))
+        if not several.isEmpty():  # an id with other sets too: its classes are one document
+            bridges = self.sets.join(several, "doc_id").join(self.classes, "digest").filter("doc_id <> rep")
+            links = links.unionByName(bridges.select(F.col("doc_id").alias("a"), F.col("rep").alias("b")).distinct())
+        return components(links)
 
 
 def _ends(pairs: DataFrame) -> DataFrame:
