@@ -1,6 +1,6 @@
 """Shared pieces: staged tables, global order by key, and document columns."""
 
-import os
+import re
 import tempfile
 import uuid
 
@@ -14,10 +14,13 @@ SPACES = " \t\n\x0b\x0c\r"
 def scratch(spark: SparkSession) -> str:
     """A new folder name under ``spark.checkpoint.dir``, which all executors share.
 
-    Where the setting is absent (local runs, tests) a temporary folder of this machine is used and set.
+    Where the setting is absent, a local session (tests) uses a temporary folder of this machine and sets it; on a cluster,
+    whose executors would not see that folder, it is an error.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise RuntimeError("spark.checkpoint.dir has to name a folder that all executors share")
         root = "file://" + tempfile.mkdtemp(prefix="spark-")
         spark.conf.set("spark.checkpoint.dir", root)
     return f"{root.rstrip('/')}/glimmer-{uuid.uuid4().hex}"
