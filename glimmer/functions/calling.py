@@ -37,8 +37,9 @@ def biased(matrix: Column, bias: dict[int, list[float]], n_channels: int) -> Col
 
 
 def softmax(matrix: Column, temperature: float = 1.0) -> Column:
-    raised = lambda r: F.transform(r, lambda x: F.exp((x - F.array_max(r)) / temperature))
-    return F.transform(matrix, lambda r: F.zip_with(raised(r), F.array_repeat(_total(raised(r)), F.size(r)), lambda x, s: x / s))
+    raised = lambda r: let(F.array_max(r), lambda top: F.transform(r, lambda x: F.exp((x - top) / temperature)))
+    shares = lambda e: let(_total(e), lambda total: F.transform(e, lambda x: x / total))
+    return F.transform(matrix, lambda r: let(raised(r), shares))
 
 
 def rounds(matrix: Column) -> Column:

@@ -72,7 +72,7 @@ def shifted(volume: DataFrame, shifts: DataFrame, sizes: dict[str, int]) -> Data
     """Each round translated by ``d*``: a voxel is spread over its 2 ** axes integer neighbours with linear weights; what
     leaves the volume is lost, what comes in is 0. Shifts are one row a round."""
     axes = list(sizes)
-    out = volume.join(F.broadcast(shifts.select("fov", "round", *[F.col(f"d{c}").cast("double").alias(f"_{c}") for c in axes])), ["fov", "round"])
+    out = volume.join(shifts.select("fov", "round", *[F.col(f"d{c}").cast("double").alias(f"_{c}") for c in axes]), ["fov", "round"])
     out = out.withColumn("w", F.lit(1.0))
     for c in axes:
         p = F.col(c) + F.col(f"_{c}")
@@ -93,7 +93,7 @@ def in_overlap(height: int, width: int, dy="dy", dx="dx"):
 
 def quality_mask(plane: DataFrame, shifts: DataFrame, height: int, width: int, margin: int = 50, threshold: float = 1e-5) -> DataFrame:
     """Places with signal, in the overlap, and at least ``margin`` from the border."""
-    s = plane.join(F.broadcast(shifts.select("fov", "round", "dy", "dx")), ["fov", "round"])
+    s = plane.join(shifts.select("fov", "round", "dy", "dx"), ["fov", "round"])
     inner = F.col("y").between(margin, height - margin - 1) & F.col("x").between(margin, width - margin - 1)
     return s.filter((F.col("v") > threshold) & inner & in_overlap(height, width)).select(*PLANE, "v")
 

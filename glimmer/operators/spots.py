@@ -20,7 +20,7 @@ def local_maxima(voxels: DataFrame, threshold_rel: float = 0.0, full_scale: floa
     if full_scale is not None:
         return m.filter((F.col("v") == F.col("m")) & (F.col("v") > threshold_rel * full_scale)).select(*VOXEL, "v")
     tops = voxels.groupBy(*IMAGE).agg(F.max("v").alias("_top"))
-    return m.filter(F.col("v") == F.col("m")).join(F.broadcast(tops), IMAGE).filter(F.col("v") > threshold_rel * F.col("_top")).select(*VOXEL, "v")
+    return m.filter(F.col("v") == F.col("m")).join(tops, IMAGE).filter(F.col("v") > threshold_rel * F.col("_top")).select(*VOXEL, "v")
 
 
 def components(mask: DataFrame) -> DataFrame:

@@ -39,12 +39,12 @@ TYPES = ["click", "purchase", "refund", "signup", "view"]
 
 
 def grid_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``fov, round, channel, z, y, x, v``: events counted by type, hour and day."""
+    """``fov, round, channel, z, y, x, v``: events counted by type, hour and day; each 2500 of them in turn are a FOV."""
     e = read(spark, sf_dir, "events")
     channel = F.when(F.lit(False), 0)
     for k, t in enumerate(TYPES):
         channel = channel.when(F.col("event_type") == t, k)
-    cells = e.select(F.lit(0).alias("fov"), (1 + F.col("user_id") % 3).cast("int").alias("round"), F.coalesce(channel, F.lit(len(TYPES))).alias("channel"), (F.col("user_id") % 4).cast("int").alias("z"), F.hour("ts").alias("y"), (F.dayofmonth("ts") - 1).alias("x"))
+    cells = e.select(F.floor(F.col("event_id") / 2500).cast("int").alias("fov"), (1 + F.col("user_id") % 3).cast("int").alias("round"), F.coalesce(channel, F.lit(len(TYPES))).alias("channel"), (F.col("user_id") % 4).cast("int").alias("z"), F.hour("ts").alias("y"), (F.dayofmonth("ts") - 1).alias("x"))
     return cells.groupBy(*cells.columns).agg(F.count("*").cast("double").alias("v"))
 
 
@@ -134,7 +134,7 @@ genes AS (SELECT row_number() OVER (ORDER BY p_partkey) - 1 code_ix, p_partkey,
 coded AS (SELECT code_ix, gene, string_agg(coalesce(CAST(colour - 1 AS VARCHAR), '.'), '' ORDER BY i) barcode FROM genes, range(1, 5) t(i) LEFT JOIN enc ON key = substr(seq, CAST(i AS INT), 2) GROUP BY code_ix, gene),
 book AS (SELECT min(code_ix) code_ix, barcode, max_by(gene, code_ix) gene FROM coded GROUP BY barcode)"""
 DECODED = SPOTS + ", " + GENES + """, dec AS (SELECT sp.*, coalesce(book.gene, 'background') gene FROM sp LEFT JOIN book USING (barcode) WHERE valid AND quality < 0.5)"""
-GRID = f"""grid AS (SELECT 0 fov, CAST(1 + user_id % 3 AS INT) AS round, CASE {_CASES} ELSE {len(TYPES)} END channel, CAST(user_id % 4 AS INT) z, CAST(hour(ts) AS INT) y, CAST(day(ts) - 1 AS INT) x, CAST(count(*) AS DOUBLE) v FROM events GROUP BY ALL)"""
+GRID = f"""grid AS (SELECT CAST(event_id // 2500 AS INT) fov, CAST(1 + user_id % 3 AS INT) AS round, CASE {_CASES} ELSE {len(TYPES)} END channel, CAST(user_id % 4 AS INT) z, CAST(hour(ts) AS INT) y, CAST(day(ts) - 1 AS INT) x, CAST(count(*) AS DOUBLE) v FROM events GROUP BY ALL)"""
 
 
 _AT = "SELECT CAST(l_suppkey % 8 AS INT) fov, l_orderkey ok, CAST(l_linenumber - 1 AS INT) z, CAST(l_quantity - 1 AS INT) y, CAST(l_partkey % 64 AS INT) x FROM lineitem"

@@ -28,13 +28,13 @@ def r6(df, *cols):
 
 
 def plane(spark, d):
-    """Dense planes of events, fov 0, z 0, values from 0 to 1."""
+    """Dense planes of events, z 0, values from 0 to 1; FOVs grow with the events."""
     g = fx.grid_events(spark, d).groupBy("fov", "round", "channel", F.lit(0).alias("z"), "y", "x").agg(F.sum("v").alias("v"))
-    return st.densified(g, SHAPE.height, SHAPE.width).withColumn("v", F.least(F.col("v") / 40.0, F.lit(1.0)))
+    return st.densified(g, SHAPE.height, SHAPE.width).withColumn("v", F.least(F.col("v") / 8.0, F.lit(1.0)))
 
 
 PLANE = fx.GRID + """, pl AS (SELECT fov, round, channel, 0 z, y, x, sum(v) v FROM grid GROUP BY ALL),
-dn AS (SELECT i.fov, i.round, i.channel, i.z, CAST(a.y AS INT) y, CAST(b.x AS INT) x, least(coalesce(pl.v, 0) / 40.0, 1.0) v FROM (SELECT DISTINCT fov, round, channel, z FROM pl) i CROSS JOIN range(24) a(y) CROSS JOIN range(31) b(x) LEFT JOIN pl ON pl.fov = i.fov AND pl.round = i.round AND pl.channel = i.channel AND pl.z = i.z AND pl.y = a.y AND pl.x = b.x)"""
+dn AS (SELECT i.fov, i.round, i.channel, i.z, CAST(a.y AS INT) y, CAST(b.x AS INT) x, least(coalesce(pl.v, 0) / 8.0, 1.0) v FROM (SELECT DISTINCT fov, round, channel, z FROM pl) i CROSS JOIN range(24) a(y) CROSS JOIN range(31) b(x) LEFT JOIN pl ON pl.fov = i.fov AND pl.round = i.round AND pl.channel = i.channel AND pl.z = i.z AND pl.y = a.y AND pl.x = b.x)"""
 IMG = "fov, round, channel"
 OUT = "fov, round, channel, z, y, x, round(v, 6) + 0.0 v"
 
@@ -57,24 +57,24 @@ def _kernel(name: str, sigma: float) -> str:
     return f"{name}(k, w) AS (VALUES {', '.join(f'({i - len(w) // 2}, {x!r})' for i, x in enumerate(w))})"
 
 
-def _blur(out: str, kernel: str) -> str:
+def _blur(out: str, kernel: str, src: str = "dn") -> str:
     mirror = lambda c, n: f"CASE WHEN {c} + k < 0 THEN -({c} + k) WHEN {c} + k > {n - 1} THEN {2 * (n - 1)} - ({c} + k) ELSE {c} + k END"
     key = "s.fov = t.fov AND s.round = t.round AND s.channel = t.channel AND s.z = t.z"
     one = lambda name, src, own, other, n: f"{name} AS (SELECT t.fov, t.round, t.channel, t.z, t.y, t.x, sum(s.v * w) v FROM {src} t CROSS JOIN {kernel} JOIN {src} s ON {key} AND s.{other} = t.{other} AND s.{own} = {mirror(f't.{own}', n)} GROUP BY ALL)"
-    return one(f"{out}x", "dn", "x", "y", 31) + ", " + one(out, f"{out}x", "y", "x", 24)
+    return one(f"{out}x", src, "x", "y", 31) + ", " + one(out, f"{out}x", "y", "x", 24)
 
 
 _step("gaussian", lambda v: preprocess.gaussian_blur(v, SHAPE, 1.0), f"{_kernel('g1', 1.0)}, {_blur('o', 'g1')} SELECT {OUT} FROM o")
 _step("dog", lambda v: preprocess.difference_of_gaussians(v, SHAPE, 1.0, 3.0), f"{_kernel('g1', 1.0)}, {_kernel('g3', 3.0)}, {_blur('a', 'g1')}, {_blur('b', 'g3')}, o AS (SELECT a.* EXCLUDE v, greatest(a.v - b.v, 0) v FROM a JOIN b USING (fov, round, channel, z, y, x)) SELECT {OUT} FROM o")
 
 
-def _matched(ref: str, keys: str) -> str:
+def _matched(ref: str, keys: str, src: str = "dn", calibrated: str = "dn") -> str:
     on = " AND ".join(f"s.{k} = r.{k}" for k in keys.split(", "))
-    return f"""ct AS (SELECT {IMG}, v, count(*) n FROM dn GROUP BY ALL), src AS (SELECT {IMG}, v, CAST(sum(n) OVER (PARTITION BY {IMG} ORDER BY v) AS DOUBLE) / sum(n) OVER (PARTITION BY {IMG}) q FROM ct),
-rc AS (SELECT {keys}, v, count(*) n FROM dn WHERE {ref} GROUP BY ALL), rq AS (SELECT {keys}, v, CAST(sum(n) OVER (PARTITION BY {keys} ORDER BY v) AS DOUBLE) / sum(n) OVER (PARTITION BY {keys}) q FROM rc),
+    return f"""ct AS (SELECT {IMG}, v, count(*) n FROM {src} GROUP BY ALL), src AS (SELECT {IMG}, v, CAST(sum(n) OVER (PARTITION BY {IMG} ORDER BY v) AS DOUBLE) / sum(n) OVER (PARTITION BY {IMG}) q FROM ct),
+rc AS (SELECT {keys}, v, count(*) n FROM {calibrated} WHERE {ref} GROUP BY ALL), rq AS (SELECT {keys}, v, CAST(sum(n) OVER (PARTITION BY {keys} ORDER BY v) AS DOUBLE) / sum(n) OVER (PARTITION BY {keys}) q FROM rc),
 r AS (SELECT *, lead(q) OVER w q1, lead(v) OVER w v1, row_number() OVER w k FROM rq WINDOW w AS (PARTITION BY {keys} ORDER BY q)),
 m AS (SELECT s.fov, s.round, s.channel, s.v sv, min(CASE WHEN q1 IS NULL OR s.q < r.q THEN r.v ELSE r.v + (v1 - r.v) * (s.q - r.q) / (q1 - r.q) END) nv FROM src s JOIN r ON {on} AND ((s.q >= r.q AND (q1 IS NULL OR s.q < q1)) OR (k = 1 AND s.q < r.q)) GROUP BY ALL),
-o AS (SELECT dn.* EXCLUDE v, coalesce(nv, dn.v) v FROM dn LEFT JOIN m ON m.fov = dn.fov AND m.round = dn.round AND m.channel = dn.channel AND m.sv = dn.v)"""
+o AS (SELECT s.* EXCLUDE v, coalesce(nv, s.v) v FROM {src} s LEFT JOIN m ON m.fov = s.fov AND m.round = s.round AND m.channel = s.channel AND m.sv = s.v)"""
 
 
 _step("hist_match_inter", lambda v: preprocess.histogram_match(v, v, "inter_round", 1), f"{_matched('round = 1', 'fov, channel')} SELECT {OUT} FROM o")
@@ -92,9 +92,23 @@ _step("white_tophat", lambda v: preprocess.white_tophat(v, SHAPE, 2), f"{_morph(
 _step("black_tophat", lambda v: preprocess.black_tophat(v, SHAPE, 2), f"{_morph('e', 'dn', 'max')}, {_morph('p', 'e', 'min')}, o AS (SELECT dn.* EXCLUDE v, p.v - dn.v v FROM dn JOIN p USING ({_VX})) SELECT {OUT} FROM o")
 _step("downsample", lambda v: preprocess.downsampled(v, 4), f"o AS (SELECT fov, round, channel, z, y // 4 y, x // 4 x, CAST(sum(CAST(round_even(v * 1099511627776.0, 0) AS HUGEINT)) AS DOUBLE) / count(*) / 1099511627776.0 v FROM dn GROUP BY fov, round, channel, z, y // 4, x // 4) SELECT {OUT} FROM o")
 query("reconstruct")(lambda spark, d: r6(preprocess.reconstruction(preprocess.erosion(plane(spark, d), SHAPE, 2), plane(spark, d))))
-query("clahe")(lambda spark, d: r6(preprocess.clahe(plane(spark, d), SHAPE, 0.05, 64, 4)))
+_AT = "least(greatest(CAST(floor(({c} + 0.5) / {t}.0 - 0.5) AS INT) + {i}, 0), 4)"
+_PART = "CASE {i} WHEN 1 THEN ({c} + 0.5) / {t}.0 - 0.5 - floor(({c} + 0.5) / {t}.0 - 0.5) ELSE 1 - (({c} + 0.5) / {t}.0 - 0.5 - floor(({c} + 0.5) / {t}.0 - 0.5)) END"
+_TILE = f"{IMG}, z, ty, tx"
+# shares of few voxels end in few digits, so they are compared to ten: none is half way between two
+query("clahe", f"""WITH {PLANE}, bn AS (SELECT *, CAST(least(floor(least(greatest(v, 0), 1) * 60), 59) AS INT) b FROM dn), ct AS (SELECT {IMG}, z, y // 5 ty, x // 7 tx, b, count(*) n FROM bn GROUP BY ALL),
+kp AS (SELECT *, sum(n) OVER (PARTITION BY {_TILE}) total, least(n, greatest(1.0, 0.05 * sum(n) OVER (PARTITION BY {_TILE}))) kept FROM ct), tl AS (SELECT {_TILE}, any_value(total) total, sum(kept) taken FROM kp GROUP BY ALL),
+cv AS (SELECT tl.*, CAST(t.b AS INT) b, (sum(coalesce(kp.kept, 0)) OVER (PARTITION BY {', '.join('tl.' + c for c in _TILE.split(', '))} ORDER BY t.b) + (tl.total - taken) * (t.b + 1) / 60) / tl.total cdf FROM tl CROSS JOIN range(60) t(b) LEFT JOIN kp ON {' AND '.join(f'kp.{c} = tl.{c}' for c in _TILE.split(', '))} AND kp.b = t.b),
+o AS (SELECT bn.fov, bn.round, bn.channel, bn.z, y, x, sum({_PART.format(c='y', t=5, i='i')} * {_PART.format(c='x', t=7, i='j')} * cdf) v FROM bn CROSS JOIN range(2) p(i) CROSS JOIN range(2) q(j) JOIN cv ON cv.fov = bn.fov AND cv.round = bn.round AND cv.channel = bn.channel AND cv.z = bn.z AND cv.b = bn.b AND ty = {_AT.format(c='y', t=5, i='CAST(i AS INT)')} AND tx = {_AT.format(c='x', t=7, i='CAST(j AS INT)')} GROUP BY ALL) SELECT {OUT.replace('6)', '10)')} FROM o""")(lambda spark, d: preprocess.clahe(plane(spark, d), SHAPE, 0.05, 60, 5).withColumn("v", F.round("v", 10) + 0.0))
 query("morpho_contrast")(lambda spark, d: r6(preprocess.morpho_reconstruction_contrast(plane(spark, d), SHAPE, 4, 0.5)))
-query("clean_pipeline")(lambda spark, d: r6(preprocess.cleaned(plane(spark, d), [("clip_percentile", {"min_percentile": 1.0, "max_percentile": 99.0}), ("histogram_match", {"scope": "inter_round"}), ("gaussian_blur", {"sigma": 0.8}), ("min_max_normalize", {})], SHAPE)))
+_RANGE = lambda out, src: f"{out} AS (SELECT t.* EXCLUDE (v, lo, hi), CASE WHEN hi - lo < 1e-9 THEN 0 ELSE (v - lo) / (hi - lo) END v FROM (SELECT *, min(v) OVER w lo, max(v) OVER w hi FROM {src} WINDOW w AS (PARTITION BY {IMG})) t)"
+# the reference round passes all steps without a match; the others are matched to its finished images
+_step(
+    "clean_pipeline",
+    lambda v: preprocess.cleaned(v, [("clip_percentile", {"min_percentile": 1.0, "max_percentile": 99.0}), ("histogram_match", {"scope": "inter_round"}), ("gaussian_blur", {"sigma": 0.8}), ("min_max_normalize", {})], SHAPE),
+    f"""ps AS (SELECT {IMG}, quantile_cont(v, 0.01) lo, quantile_cont(v, 0.99) hi FROM dn GROUP BY ALL), cp AS (SELECT dn.* EXCLUDE v, least(greatest(v, lo), hi) v FROM dn JOIN ps USING ({IMG})), {_kernel('g8', 0.8)},
+c1 AS (SELECT * FROM cp WHERE round = 1), {_blur('b1', 'g8', 'c1')}, {_RANGE('f1', 'b1')}, c2 AS (SELECT * FROM cp WHERE round <> 1), {_matched('round = 1', 'fov, channel', 'c2', 'f1')}, {_blur('b2', 'g8', 'o')}, {_RANGE('f2', 'b2')} SELECT {OUT} FROM (SELECT {_VX}, v FROM f1 UNION ALL SELECT {_VX}, v FROM f2)""",
+)
 
 VOL = fx.volume_sql(4)
 _MIP = f"{VOL}, cm AS (SELECT fov, round, z, y, x, max(v) v FROM vol GROUP BY ALL), mp AS (SELECT fov, round, y, x, max(v) v FROM cm GROUP BY ALL)"
@@ -146,15 +160,11 @@ def _(spark, d):
     return r6(register.correlations(mip(spark, d), 1, 50, 64), "corr")
 
 
-@query("local_gate", f"WITH {_CC}, s0 AS (SELECT fov, round, max(cc) a, median(cc) b FROM cc GROUP BY ALL), s AS (SELECT fov, round, round(a / 1e6, 6) global_corr, round(b / 1e6 + CASE WHEN fov % 2 = 0 THEN 1 ELSE 0 END, 6) local_corr FROM s0), g AS (SELECT *, global_corr >= 0.2 AND local_corr >= global_corr local_kept FROM s) SELECT *, CASE WHEN local_kept THEN local_corr ELSE global_corr END final_corr FROM g")
-def _(spark, d):
-    cc = register.cross_correlation(mip(spark, d), 1, 3)
-    s = cc.groupBy("fov", "round").agg(F.round(F.max("cc") / 1e6, 6).alias("global_corr"), F.round(F.percentile("cc", 0.5) / 1e6 + F.when(F.col("fov") % 2 == 0, 1).otherwise(0), 6).alias("local_corr"))
-    return register.gated(s)
+_BLOCK = f"""{_MIP}, mt AS (SELECT m.fov, m.round, r.y // 16 gy, r.x // 16 gx, dy, dx, CAST(count(*) AS DOUBLE) n, sum(r.v) a, sum(m.v) b, sum(r.v*m.v) ab, sum(r.v*r.v) aa, sum(m.v*m.v) bb FROM mp m CROSS JOIN range(-2, 3) p(dy) CROSS JOIN range(-2, 3) q(dx) JOIN mp r ON r.fov = m.fov AND r.round = 1 AND m.round <> 1 AND r.y = m.y - dy AND r.x = m.x - dx GROUP BY ALL),
+rr AS (SELECT *, round(CASE WHEN (n*aa - a*a) * (n*bb - b*b) > 1e-9 THEN (n*ab - a*b) / sqrt((n*aa - a*a) * (n*bb - b*b)) END, 9) r FROM mt), k AS (SELECT *, row_number() OVER (PARTITION BY fov, round, gy, gx ORDER BY r DESC, dy*dy + dx*dx, dy DESC, dx DESC) k FROM rr WHERE r IS NOT NULL), bf AS (SELECT fov, round, 0 gz, gy, gx, 0.0 dz, CAST(dy AS DOUBLE) dy, CAST(dx AS DOUBLE) dx FROM k WHERE k = 1)"""
 
 
-@query("block_flow", f"""WITH {_MIP}, mt AS (SELECT m.fov, m.round, r.y // 16 gy, r.x // 16 gx, dy, dx, CAST(count(*) AS DOUBLE) n, sum(r.v) a, sum(m.v) b, sum(r.v*m.v) ab, sum(r.v*r.v) aa, sum(m.v*m.v) bb FROM mp m CROSS JOIN range(-2, 3) p(dy) CROSS JOIN range(-2, 3) q(dx) JOIN mp r ON r.fov = m.fov AND r.round = 1 AND m.round <> 1 AND r.y = m.y - dy AND r.x = m.x - dx GROUP BY ALL),
-rr AS (SELECT *, round(CASE WHEN (n*aa - a*a) * (n*bb - b*b) > 1e-9 THEN (n*ab - a*b) / sqrt((n*aa - a*a) * (n*bb - b*b)) END, 9) r FROM mt), k AS (SELECT *, row_number() OVER (PARTITION BY fov, round, gy, gx ORDER BY r DESC, dy*dy + dx*dx, dy DESC, dx DESC) k FROM rr WHERE r IS NOT NULL) SELECT fov, round, 0 gz, gy, gx, 0.0 dz, CAST(dy AS DOUBLE) dy, CAST(dx AS DOUBLE) dx FROM k WHERE k = 1""")
+@query("block_flow", f"WITH {_BLOCK} SELECT * FROM bf")
 def _(spark, d):
     return register.block_flow(mip(spark, d), 1, 16, 2)
 
@@ -165,14 +175,67 @@ def _(spark, d):
     return r6(register.warped(m, m.select(*register.PLANE, F.lit(0.5).alias("fy"), F.lit(-1.25).alias("fx"))))
 
 
-query("flow_smooth")(lambda spark, d: register.smoothed_flow(register.block_flow(mip(spark, d), 1, 16, 2)))
-query("flow_upscale")(lambda spark, d: r6(register.dense_flow(register.block_flow(mip(spark, d), 1, 16, 2), mip(spark, d).select(*register.PLANE), 16, 4, 4), "fy", "fx"))
+@query("flow_smooth", f"WITH {_BLOCK} SELECT a.fov, a.round, a.gz, a.gy, a.gx, median(b.dz) dz, median(b.dy) dy, median(b.dx) dx FROM bf a JOIN bf b ON a.fov = b.fov AND a.round = b.round AND abs(a.gy - b.gy) <= 1 AND abs(a.gx - b.gx) <= 1 GROUP BY ALL")
+def _(spark, d):
+    return register.smoothed_flow(register.block_flow(mip(spark, d), 1, 16, 2))
+
+
+_UP = lambda c, n: f"least(greatest(({c} + 0.5) / 16 - 0.5, 0), {n - 1})"
+
+
+@query("flow_upscale", f"WITH {_BLOCK}, pu AS (SELECT fov, round, y, x, {_UP('y', 4)} uy, {_UP('x', 4)} ux FROM mp) SELECT pu.fov, pu.round, pu.y, pu.x, " + ", ".join(f"round(sum(CASE i WHEN 1 THEN uy - floor(uy) ELSE 1 - uy + floor(uy) END * CASE j WHEN 1 THEN ux - floor(ux) ELSE 1 - ux + floor(ux) END * coalesce(bf.d{c}, 0)), 6) + 0.0 f{c}" for c in "yx") + " FROM pu CROSS JOIN range(2) a(i) CROSS JOIN range(2) b(j) LEFT JOIN bf ON bf.fov = pu.fov AND bf.round = pu.round AND bf.gy = least(floor(uy) + i, 3) AND bf.gx = least(floor(ux) + j, 3) GROUP BY ALL")
+def _(spark, d):
+    return r6(register.dense_flow(register.block_flow(mip(spark, d), 1, 16, 2), mip(spark, d).select(*register.PLANE), 16, 4, 4), "fy", "fx")
+
+
+# all planes: shifted onto round 1, scored, given a field, warped and scored again
+def _corr_sql(out: str, plane: str) -> str:
+    own = f"SELECT fov, round, sum(v) s, sum(v * v) ss FROM {plane} GROUP BY ALL"
+    both = f"SELECT m.fov, m.round, sum(m.v * r.v) sp FROM {plane} m JOIN {plane} r ON r.fov = m.fov AND r.round = 1 AND r.y = m.y AND r.x = m.x GROUP BY ALL"
+    return f"{out} AS (SELECT o.fov, o.round, (3200 * coalesce(sp, 0) - o.s * r.s) / nullif(sqrt((3200 * o.ss - o.s * o.s) * (3200 * r.ss - r.s * r.s)), 0) corr FROM ({own}) o JOIN ({own}) r ON r.fov = o.fov AND r.round = 1 LEFT JOIN ({both}) b ON b.fov = o.fov AND b.round = o.round)"
+
+
+_SIDE = lambda c, k: f"CASE {k} WHEN 1 THEN {c} - floor({c}) ELSE 1 - {c} + floor({c}) END"
+_FIELD = ", ".join(f"sum({_SIDE('uy', 'i')} * {_SIDE('ux', 'j')} * coalesce(bf.d{c}, 0)) f{c}" for c in "yx")
+_REGISTERED = f"""{_CC}, bs AS (SELECT *, row_number() OVER (PARTITION BY fov, round ORDER BY cc DESC, dy*dy + dx*dx, dy, dx) k FROM cc), sh AS (SELECT fov, round, CAST(-dy AS INT) dy, CAST(-dx AS INT) dx FROM bs WHERE k = 1),
+al AS (SELECT m.fov, m.round, CAST(m.y + sh.dy AS INT) y, CAST(m.x + sh.dx AS INT) x, m.v FROM mp m JOIN sh USING (fov, round) WHERE m.y + sh.dy BETWEEN 0 AND 49 AND m.x + sh.dx BETWEEN 0 AND 63 UNION ALL SELECT * FROM mp WHERE round = 1),
+{_BLOCK[_BLOCK.index('mt AS ('):].replace('mp m CROSS', 'al m CROSS').replace('JOIN mp r', 'JOIN al r')},
+pu AS (SELECT fov, round, y, x, {_UP('y', 4)} uy, {_UP('x', 4)} ux FROM al), fd AS (SELECT pu.fov, pu.round, pu.y, pu.x, {_FIELD} FROM pu CROSS JOIN range(2) a(i) CROSS JOIN range(2) b(j) LEFT JOIN bf ON bf.fov = pu.fov AND bf.round = pu.round AND bf.gy = least(floor(uy) + i, 3) AND bf.gx = least(floor(ux) + j, 3) GROUP BY ALL),
+co AS (SELECT fov, round, y, x, CAST(floor(y + fy) AS INT) + i sy, CAST(floor(x + fx) AS INT) + j sx, {_SIDE('(y + fy)', 'i')} * {_SIDE('(x + fx)', 'j')} w FROM fd CROSS JOIN range(2) a(i) CROSS JOIN range(2) b(j) WHERE round <> 1),
+wp AS (SELECT co.fov, co.round, co.y, co.x, sum(w * m.v) v FROM co JOIN al m ON m.fov = co.fov AND m.round = co.round AND m.y = co.sy AND m.x = co.sx WHERE w > 0 GROUP BY ALL UNION ALL SELECT fov, round, y, x, v FROM mp WHERE round = 1),
+{_corr_sql('gc', 'al')}, {_corr_sql('lc', 'wp')},
+gt AS (SELECT fov, round, gc.corr global_corr, lc.corr local_corr, coalesce(gc.corr >= 0.02 AND lc.corr >= gc.corr, false) local_kept FROM gc LEFT JOIN lc USING (fov, round) WHERE round <> 1)"""
+
+
+def _registered(spark, d):
+    """Gates with shifts, and the nodes of all fields. The gate's least correlation is low, as two rounds of line items have
+    little in common."""
+    m = mip(spark, d)
+    shift = register.global_shift(m, 1, 3).select("fov", "round", F.lit(0).alias("dz"), (-F.col("dy")).alias("dy"), (-F.col("dx")).alias("dx"))
+    ref = m.filter("round = 1")
+    moved = register.shifted(m.filter("round <> 1"), shift, {"y": 50, "x": 64}).unionByName(ref)
+    flow = register.block_flow(moved, 1, 16, 2)
+    dense = register.dense_flow(flow, moved.filter("round <> 1").select(*register.PLANE), 16, 4, 4)
+    warped = register.warped(moved, dense).unionByName(ref)
+    corr = lambda p, name: register.correlations(p, 1, 50, 64).filter("round <> 1").withColumnRenamed("corr", name)
+    scores = shift.join(corr(moved, "global_corr"), ["fov", "round"]).join(corr(warped, "local_corr"), ["fov", "round"], "left")
+    return register.gated(scores, 0.02), flow
+
+
+@query("local_gate", f"WITH {_REGISTERED} SELECT fov, round, round(global_corr, 6) global_corr, round(local_corr, 6) local_corr, local_kept, round(CASE WHEN local_kept THEN local_corr ELSE global_corr END, 6) final_corr FROM gt")
+def _(spark, d):
+    return r6(_registered(spark, d)[0].drop("dz", "dy", "dx"), "global_corr", "local_corr", "final_corr")
+
+
+@query("transform_table", f"WITH {_REGISTERED} SELECT fov, round, 0.0 dz, CAST(dy AS DOUBLE) dy, CAST(dx AS DOUBLE) dx, round(global_corr, 6) global_corr, round(CASE WHEN local_kept THEN local_corr ELSE global_corr END, 6) final_corr, local_kept FROM gt JOIN sh USING (fov, round) UNION ALL SELECT DISTINCT fov, 1, 0.0, 0.0, 0.0, 1.0, 1.0, false FROM gt")
+def _(spark, d):
+    return r6(register.transform_table(_registered(spark, d)[0], 1), "global_corr", "final_corr")
 
 
-@query("transform_table", f"WITH {_CC}, b AS (SELECT *, row_number() OVER (PARTITION BY fov, round ORDER BY cc DESC, dy*dy + dx*dx, dy, dx) k FROM cc) SELECT fov, round, 0.0 dz, CAST(dy AS DOUBLE) dy, CAST(dx AS DOUBLE) dx FROM b WHERE k = 1 UNION ALL SELECT DISTINCT fov, 1, 0.0, 0.0, 0.0 FROM b")
+@query("kept_flow", f"WITH {_REGISTERED} SELECT bf.* FROM bf JOIN gt USING (fov, round) WHERE local_kept")
 def _(spark, d):
-    g = register.global_shift(mip(spark, d), 1, 3).select("fov", "round", F.lit(0).alias("dz"), "dy", "dx", F.col("score").alias("global_corr"), F.lit(0.0).alias("local_corr"))
-    return register.transform_table(register.gated(g), 1).select("fov", "round", "dz", "dy", "dx")
+    gates, flow = _registered(spark, d)
+    return register.kept_flow(flow, gates)
 
 
 _MAX = f"""{VOL}, lm AS (SELECT c.* FROM vol c WHERE c.v > 0.1 * 255 AND NOT EXISTS (SELECT 1 FROM vol n WHERE n.fov = c.fov AND n.round = c.round AND n.channel = c.channel AND abs(n.z - c.z) <= 1 AND abs(n.y - c.y) <= 1 AND abs(n.x - c.x) <= 1 AND n.v > c.v))"""

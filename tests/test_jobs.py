@@ -142,6 +142,15 @@ def test_small_sources_and_sinks(spark, tmp_path):
     assert {(r.fov, r.channel): r.status for r in found.collect()} == {(0, 1): "ok", (0, 2): "ok", (1, 1): "ok", (1, 2): "missing"}
 
 
+@pytest.mark.parametrize(("text", "want"), [(3, [3]), ([1, "2"], [1, 2]), ("2-4", [2, 3, 4]), ("5", [5]), ("1, 7,3", [1, 7, 3]), ("4-2", None), ("a-b", None), ("", None), ("1,,2", None), ("-3", None)])
+def test_selections(text, want):
+    if want is None:
+        with pytest.raises(ValueError):
+            tables.parsed_selection(text)
+    else:
+        assert tables.parsed_selection(text) == want
+
+
 def test_rules_that_keep_all_and_defaults(spark):
     df = spark.createDataFrame([(0.4, True, "01"), (0.9, True, "10")], "quality double, valid boolean, barcode string")
     assert rules.with_rules(df, [rules.Rule("keep_all", "spot")], "spot").filter("keep").count() == 2

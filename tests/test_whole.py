@@ -87,16 +87,16 @@ def test_each_line_item_is_compared(spark, items):
 
 @pytest.fixture(scope="module")
 def events(spark, tmp_path_factory):
-    """A folder with events of two types in three rounds: six images."""
+    """A folder with events of two types in three rounds and four FOVs: 24 images."""
     from datetime import datetime
 
     rng = np.random.default_rng(7)
-    rows = [(int(u), datetime(2024, 1, 1 + int(day), int(hour)), ["click", "view"][int(t)]) for u, day, hour, t in zip(rng.integers(0, 60, 9000), rng.integers(4, 24, 9000), rng.integers(3, 20, 9000), rng.integers(0, 2, 9000))]
+    rows = [(k, int(u), datetime(2024, 1, 1 + int(day), int(hour)), ["click", "view"][int(t)]) for k, (u, day, hour, t) in enumerate(zip(rng.integers(0, 60, 9000), rng.integers(4, 24, 9000), rng.integers(3, 20, 9000), rng.integers(0, 2, 9000)))]
     d = str(tmp_path_factory.mktemp("events"))
-    spark.createDataFrame(rows, "user_id long, ts timestamp, event_type string").write.parquet(f"{d}/events.parquet")
+    spark.createDataFrame(rows, "event_id long, user_id long, ts timestamp, event_type string").write.parquet(f"{d}/events.parquet")
     images = defaultdict(lambda: np.zeros((24, 31)))
-    for u, ts, t in rows:
-        images[1 + u % 3, 0 if t == "click" else 4][ts.hour, ts.day - 1] += 1 / 40
+    for k, u, ts, t in rows:
+        images[k // 2500, 1 + u % 3, 0 if t == "click" else 4][ts.hour, ts.day - 1] += 1 / 8
     return d, {k: np.minimum(v, 1.0) for k, v in images.items()}
 
 
@@ -141,7 +141,7 @@ def test_each_image_is_reconstructed(spark, events, name, f):
     d, images = events
     got = {k: np.full((24, 31), np.nan) for k in images}
     for r in QUERIES[name](spark, d).collect():
-        got[r["round"], r.channel][r.y, r.x] = r.v
-    assert len(images) == 6
+        got[r.fov, r["round"], r.channel][r.y, r.x] = r.v
+    assert len(images) == 24
     for k, v in images.items():
         np.testing.assert_allclose(got[k], f(v), atol=2e-6, err_msg=str(k))
