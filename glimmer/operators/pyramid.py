@@ -7,6 +7,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+#: Parts of a round's blocks at the top of the pyramid.
+_SALT = 16
+
+
 def block_sizes(sizes: dict[str, int], most_offsets: int) -> list[dict[str, int]]:
     """Sizes of the blocks of each level, from single voxels on: the longest axes are halved until the volume has at most
     ``most_offsets`` blocks, which is how many offsets it has."""
@@ -27,7 +31,9 @@ def _correlated(reference: DataFrame, moved: DataFrame, offsets: DataFrame | Non
     axes, names = list(cells), [f"d{c}" for c in cells]
     ref = reference.select("fov", *[F.col(c).alias(f"_{c}") for c in axes], F.col("v").alias("rv"))
     if offsets is None:
-        met = moved.join(ref, "fov").withColumns({f"d{c}": _wrapped(F.col(c) - F.col(f"_{c}"), n) for c, n in cells.items()})
+        # the blocks of a FOV meet in several tasks: each has a part of the round's and all of the reference's
+        salted = moved.withColumn("_s", F.pmod(F.xxhash64(*axes), F.lit(_SALT)).cast("int"))
+        met = salted.join(ref.withColumn("_s", F.explode(F.sequence(F.lit(0), F.lit(_SALT - 1)))), ["fov", "_s"]).withColumns({f"d{c}": _wrapped(F.col(c) - F.col(f"_{c}"), n) for c, n in cells.items()})
     else:
         told = moved.join(offsets, ["fov", "round"]).select("fov", "round", "v", *axes, F.inline("ds"))
         told = told.withColumns({f"_{c}": F.pmod(F.col(c) - F.col(f"d{c}"), F.lit(n)) for c, n in cells.items()})

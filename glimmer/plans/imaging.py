@@ -289,7 +289,7 @@ def _points(spark, d):
 
 
 _POINT = f"{_SPOT}, pt AS (SELECT so.*, CAST(r AS INT) AS round, z pz, y - CASE r WHEN 2 THEN 1.5 ELSE 0 END py, x + CASE r WHEN 2 THEN 0.75 ELSE 0 END px FROM so CROSS JOIN (VALUES (1), (2)) t(r))"
-_BOX = f"{_POINT}, {VOL}, bx AS (SELECT pt.fov, spot_id, pt.round, vol.channel, sum(v) v FROM pt CROSS JOIN range(-1, 2) oa(i) CROSS JOIN range(-1, 2) ob(j) CROSS JOIN range(-1, 2) oc(k) JOIN vol ON vol.fov = pt.fov AND vol.round = pt.round AND vol.z = CAST(round_even(pz, 0) AS INT) + i AND vol.y = CAST(round_even(py, 0) AS INT) + j AND vol.x = CAST(round_even(px, 0) AS INT) + k GROUP BY ALL), it AS (SELECT so.fov, so.spot_id, CAST(r - 1 AS INT) round_idx, CAST(c AS INT) chan_idx, coalesce(v, 0) v FROM so CROSS JOIN (VALUES (1), (2)) t(r) CROSS JOIN range(3) u(c) LEFT JOIN bx ON bx.fov = so.fov AND bx.spot_id = so.spot_id AND bx.round = r AND bx.channel = c)"
+_BOX = f"{_POINT}, {VOL}, bf AS (SELECT fov, round, channel, CAST(z + i AS INT) z, CAST(y + j AS INT) y, CAST(x + k AS INT) x, sum(v) v FROM vol CROSS JOIN range(-1, 2) oa(i) CROSS JOIN range(-1, 2) ob(j) CROSS JOIN range(-1, 2) oc(k) GROUP BY ALL), bx AS (SELECT pt.fov, spot_id, pt.round, bf.channel, bf.v FROM pt JOIN bf ON bf.fov = pt.fov AND bf.round = pt.round AND bf.z = CAST(round_even(pz, 0) AS INT) AND bf.y = CAST(round_even(py, 0) AS INT) AND bf.x = CAST(round_even(px, 0) AS INT)), it AS (SELECT so.fov, so.spot_id, CAST(r - 1 AS INT) round_idx, CAST(c AS INT) chan_idx, coalesce(v, 0) v FROM so CROSS JOIN (VALUES (1), (2)) t(r) CROSS JOIN range(3) u(c) LEFT JOIN bx ON bx.fov = so.fov AND bx.spot_id = so.spot_id AND bx.round = r AND bx.channel = c)"
 
 
 @query("map_coords", f"WITH {_POINT} SELECT fov, spot_id, round, round(pz, 6) pz, round(py, 6) py, round(px, 6) px FROM pt")
