@@ -55,28 +55,30 @@ class Twin:
         on = f"(?:[{re.escape(joined)}][{WHITE_SPACE}]*[^{WHITE_SPACE}]*)*" if joined else ""
         self.unit = re.compile(f"[{WHITE_SPACE}]*[^{WHITE_SPACE}]+{on}|[{WHITE_SPACE}]+")
         self.ahead = len(self.b.encode("\n"))
-        self.kept: dict[str, tuple[bytes, bytes, bool]] = {}
+        self.kept: tuple[dict[str, bytes], dict[str, bytes]] = {}, {}
+        self.odd: set[str] = set()  # units whose bytes one side does not give back
 
     def ids(self, texts: list[str]) -> list[tuple[bytes, bytes] | None]:
         """Little-endian unsigned 32-bit ids of each text by A and by B; None where a side's bytes are not the text's."""
-        kept, split = self.kept, [self.unit.findall(" " + t) if t else [] for t in texts]
-        new = list(set().union(*split).difference(kept))
+        (kept_a, kept_b), split = self.kept, [self.unit.findall(" " + t) if t else [] for t in texts]
+        new = list(set().union(*split).difference(kept_a))
         for at in range(0, len(new), 8192):
             some = new[at : at + 8192]
             ours, theirs = self.a.ids(some), self.b.encode(["\n" + u for u in some], num_threads=1)
             for u, x, y in zip(some, ours, theirs, strict=True):
                 y, own = y[self.ahead :], u.encode()
-                same = b"".join(map(self.bytes_a.__getitem__, array("I", x))) == own == b"".join(map(self.bytes_b.__getitem__, y))
-                kept[u] = x, array("I", y).tobytes(), same
-        got = []
-        for units in split:
-            parts = [kept[u] for u in units]
-            got.append((b"".join([p[0] for p in parts]), b"".join([p[1] for p in parts])) if parts and all([p[2] for p in parts]) else None)
+                kept_a[u], kept_b[u] = x, array("I", y).tobytes()
+                if not b"".join(map(self.bytes_a.__getitem__, array("I", x))) == own == b"".join(map(self.bytes_b.__getitem__, y)):
+                    self.odd.add(u)
+        join = lambda kept, units: b"".join(map(kept.__getitem__, units))
+        got = [(join(kept_a, units), join(kept_b, units)) if units and (not self.odd or self.odd.isdisjoint(units)) else None for units in split]
         for u in new:
             if len(u) > _LONGEST_UNIT:
-                del kept[u]
-        if len(kept) > _MOST_UNITS:
-            kept.clear()
+                del kept_a[u], kept_b[u]
+                self.odd.discard(u)
+        if len(kept_a) > _MOST_UNITS:
+            for kept in (kept_a, kept_b, self.odd):
+                kept.clear()
         if len(self.a.kept) > _MOST_UNITS:
             self.a.kept.clear()
         return got
@@ -112,27 +114,27 @@ def grouped(a: np.ndarray, b: np.ndarray, end_a: np.ndarray, end_b: np.ndarray)
 def distinct_links(ids_a: np.ndarray, ids_b: np.ndarray, first_a: np.ndarray, first_b: np.ndarray, n_a: np.ndarray, n_b: np.ndarray, doc: np.ndarray, width: int) -> tuple[np.ndarray, ...]:
     """(document, pair, links) of the id pairs ``a * width + b`` that are linked in each document, with the number of
     their occurrences. Groups have ``n_a`` tokens of A from ``first_a`` on, and so B."""
-    size, pairs, docs = n_a * n_b, [], []
-    one = size == 1
-    pairs.append(ids_a[first_a[one]] * width + ids_b[first_b[one]])
-    docs.append(doc[one])
-    some = np.flatnonzero((size > 1) & (size <= _MOST_LISTED))
+    size, span = n_a * n_b, (int(ids_a.max(initial=0)) + 1) * width  # a document's pairs are a range of ``span`` numbers
+    one, some = size == 1, np.flatnonzero((size > 1) & (size <= _MOST_LISTED))
     group = np.repeat(some, size[some])
     step = np.arange(len(group)) - np.repeat(np.cumsum(size[some]) - size[some], size[some])
     over, under = np.divmod(step, n_b[group])
-    pairs.append(ids_a[first_a[group] + over] * width + ids_b[first_b[group] + under])
-    docs.append(doc[group])
-    counts = [np.ones(len(p), np.int64) for p in pairs]
-    for g in np.flatnonzero(size > _MOST_LISTED):
-        (xs, cx), (ys, cy) = (np.unique(i[f[g] : f[g] + n[g]], return_counts=True) for i, f, n in ((ids_a, first_a, n_a), (ids_b, first_b, n_b)))
-        pairs.append((xs[:, None] * width + ys).ravel())
-        counts.append((cx[:, None] * cy).ravel())
-        docs.append(np.full(len(pairs[-1]), doc[g]))
-    pair, where, count = np.concatenate(pairs), np.concatenate(docs), np.concatenate(counts)
-    order = np.lexsort((pair, where)) if len(pair) else np.arange(0)
-    pair, where, count = pair[order], where[order], count[order]
-    first = np.flatnonzero(np.r_[True, (pair[1:] != pair[:-1]) | (where[1:] != where[:-1])][: len(pair)])
-    return where[first], pair[first], np.add.reduceat(count, first) if len(first) else count
+    single = doc[one] * span + ids_a[first_a[one]] * width + ids_b[first_b[one]]
+    several = doc[group] * span + ids_a[first_a[group] + over] * width + ids_b[first_b[group] + under]
+    keys = np.sort(np.concatenate([single, several]))
+    first = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]][: len(keys)])
+    keys, counts = keys[first], np.diff(np.r_[first, len(keys)])
+    large = np.flatnonzero(size > _MOST_LISTED)
+    if large.size:
+        for g in large:
+            (xs, cx), (ys, cy) = (np.unique(i[f[g] : f[g] + n[g]], return_counts=True) for i, f, n in ((ids_a, first_a, n_a), (ids_b, first_b, n_b)))
+            keys = np.r_[keys, (doc[g] * span + xs[:, None] * width + ys).ravel()]
+            counts = np.r_[counts, (cx[:, None] * cy).ravel()]
+        order = np.argsort(keys)
+        keys, counts = keys[order], counts[order]
+        first = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
+        keys, counts = keys[first], np.add.reduceat(counts, first)
+    return *np.divmod(keys, span), counts
 
 
 _ALIGNED = "row long, doc_id long, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, pairs array<long>, links array<long>"
