@@ -111,23 +111,23 @@ class Judge:
 
     def __init__(self, counts: DataFrame, rules: dict[str, Vote] = RULES, least_words: int = 50, most_repeats: float = 0.5, threshold: float = 0.5):
         self.votes, self.least_words, self.most_repeats, self.threshold = votes(rules), least_words, most_repeats, threshold
-        voted = counts.select(*[v.alias(k) for k, v in self.votes.items()]).groupBy(*self.votes).count().collect()
-        self.model = estimate({tuple(r[k] for k in self.votes): r["count"] for r in sorted(voted)}, rules)
+        voted = self.patterned(counts).groupBy("_pattern").count().collect()
+        places = [3**k for k in range(len(rules))]
+        found = {r["_pattern"]: r["count"] for r in sorted(voted)}
+        patterns = {p: tuple(p // k % 3 - 1 for k in places) for p in found}
+        self.model = estimate({patterns[p]: n for p, n in found.items()}, rules)
+        self.posteriors = [(p, posterior(v, self.model)) for p, v in patterns.items()]
+
+    def patterned(self, counts: DataFrame) -> DataFrame:
+        """``counts`` with the votes as digits of one number, ``_pattern``."""
+        digits = [(v + 1) * 3**k for k, v in enumerate(self.votes.values())]
+        return counts.withColumn("_pattern", sum(digits, F.lit(0)))
 
     def verdict(self, counts: DataFrame) -> DataFrame:
-        """``counts`` with ``posterior``, ``base_failed`` and ``kept``."""
-        logs = []
-        for share, bad in zip(self.model.shares, self.model.bad, strict=True):
-            log = F.lit(math.log(share))
-            for name, b in zip(self.votes, bad, strict=True):
-                log = log + F.when(F.col(f"_vote_{name}") == -1, math.log(b)).when(F.col(f"_vote_{name}") == 1, math.log(1 - b)).otherwise(0.0)
-            logs.append(log)
+        """``counts`` with ``posterior``, ``base_failed`` and ``kept``; the posteriors of the patterns that occur are broadcast."""
+        known = counts.sparkSession.createDataFrame(self.posteriors, "_pattern int, posterior double")
         failed = (F.col("n_words") < self.least_words) | (F.col("n_repeat_words") > self.most_repeats * F.col("n_words"))
-        names = [f"_log_{k}" for k in range(len(logs))]
-        weighed = counts.withColumns({f"_vote_{k}": v for k, v in self.votes.items()}).select(*counts.columns, *[x.alias(k) for k, x in zip(names, logs, strict=True)])
-        top = F.greatest(*names)
-        sound = F.exp(F.col(names[0]) - top) / sum([F.exp(F.col(k) - top) for k in names], F.lit(0.0))
-        judged = weighed.withColumn("posterior", sound).withColumn("base_failed", failed).drop(*names)
+        judged = self.patterned(counts).join(F.broadcast(known), "_pattern").drop("_pattern").withColumn("base_failed", failed)
         return judged.withColumn("kept", ~F.col("base_failed") & (F.col("posterior") >= self.threshold))
 
 
