@@ -42,6 +42,8 @@ RULES = {
 }
 #: Votes that are taken as seen before any data, of each rule in each class, whatever the number of texts.
 PSEUDO_VOTES = 20.0
+#: A rule calls at least so many of the texts with its fault bad; else such a class could come to mean sound texts.
+LEAST_CAUGHT = 0.3
 BASE = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 
 
@@ -72,7 +74,7 @@ def estimate(counts: dict[tuple, int], rules: dict[str, Vote], rounds: int = 500
     Votes are independent within a class. Bad texts are a class for each fault, since rules of one fault agree on them beyond
     what a single class of bad texts allows, and rules of different faults do not. It starts from texts without a bad vote
     as sound and the others as of the faults their votes name, half sound if there is but one. A rule's false alarms stay
-    within its ``alarms``; all else is estimated, with ``PSEUDO_VOTES`` for each rule and class. An abstention says nothing.
+    within its ``alarms``, and it catches at least ``LEAST_CAUGHT`` of its fault; all else is estimated, with ``PSEUDO_VOTES`` for each rule and class. An abstention says nothing.
     """
     faults = list(dict.fromkeys(r.fault for r in rules.values()))
     patterns = np.array([p for p in counts] or [[0] * len(rules)])
@@ -88,6 +90,7 @@ def estimate(counts: dict[tuple, int], rules: dict[str, Vote], rounds: int = 500
         shares = (of.sum(0) + 1) / (of.sum() + len(faults) + 1)
         bad = (of.T @ is_bad + PSEUDO_VOTES * prior) / (of.T @ (is_bad + is_good) + PSEUDO_VOTES)
         bad[0] = np.clip(bad[0], least, most)
+        bad[1:] = np.where(own > 0, np.maximum(bad[1:], LEAST_CAUGHT), bad[1:])
         logs = np.log(shares) + is_bad @ np.log(bad).T + is_good @ np.log(1 - bad).T
         was, weight = weight, np.exp(logs - logs.max(1, keepdims=True))
         weight /= weight.sum(1, keepdims=True)

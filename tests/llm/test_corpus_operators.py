@@ -400,6 +400,15 @@ def test_rules_of_one_fault_agree_and_of_others_do_not():
     assert chosen > all_pass + 500 and chosen > 0.98 * 20_000
 
 
+def test_sound_texts_stay_sound_in_larger_tables(spark):
+    """No class of faults may come to mean sound texts, however many there are."""
+    sf = "/root/testdata/sf0.1"
+    got = {r.doc_id: r for r in quality_rules.op9_quality_rules(spark, sf).collect()}
+    truth = {r.doc_id: r.quality for r in spark.read.parquet(f"{sf}/labels.parquet").collect()}
+    own = [(q, got[i].kept) for i, q in truth.items() if not got[i].base_failed]
+    assert sum(q == k for q, k in own) >= 0.995 * len(own) and sum(k for _, k in own) > 0.8 * len(own)
+
+
 def test_verdicts_equal_a_direct_sum_over_classes(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     counts = stage(quality_rules.with_stats(quality_rules.documents(docs)))
