@@ -180,9 +180,10 @@ def test_reconstruction_of_a_long_path(spark):
     assert (array(got, marker.shape) == 0.5).all()
 
 
-def test_unfinished_components_are_an_error(spark):
-    with pytest.raises(RuntimeError):
-        spots.components(image(spark, np.ones((1, 12))), rounds=1)
+def test_components_of_a_long_line_are_finished(spark):
+    """There is no cap on rounds: a line of any length has one label."""
+    labels = {(r.label.z, r.label.y, r.label.x) for r in spots.components(image(spark, np.ones((1, 12)))).collect()}
+    assert labels == {(0, 0, 0)}
 
 
 def test_margin_rule_drops_spots_that_are_not_valid(spark):
