@@ -19,6 +19,8 @@ _PLACE = np.uint64((1 << 20) - 1)
 _BASES, _SEED = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F), 20240607
 #: Windows of the suffix order that are sorted at once.
 _WINDOWS = 50_000
+#: Of the windows of a hot anchor, one in so many distances from it gets a name of its own (see :func:`parts`), for windows of 200 bytes.
+_APART = 16
 
 _KEY = ["id", "th"]
 _REGION = "id long, th long, lo int, n int, core long, region long"
@@ -286,8 +288,67 @@ def suffix_spans(texts: DataFrame, least: int, first_stays: bool) -> DataFrame:
     return dealt.mapInArrow(find, "id long, th long, start long, stop long")
 
 
-def hot_spans(texts: DataFrame, least: int, first_stays: bool) -> DataFrame:
-    """The same of anchors with too many different regions for one task: a window is a row, named by two hashes of its bytes,
+def parts(texts: DataFrame, least: int) -> DataFrame:
+    """Regions of hot anchors cut into parts: ``id, th, lo, n, core, region, bytes`` of each.
+
+    Windows whose distances from the anchor have one quotient by ``width`` are a part. ``core`` is a hash of the bytes that
+    all windows of these distances have in common, ``region`` one of all bytes of the part and of its distance. So equal
+    windows, which have equal distances, are in parts of one ``core``, whatever else their regions hold.
+    """
+    size, width = spans_of(least)[1], max(1, least * _APART // 200)
+    names = ["id", "th", "lo", "n", "core", "region", "bytes"]
+
+    def find(batches):
+        roll, other = rolling(0), rolling(1)
+        for batch in batches:
+            for k in range(0, batch.num_rows, 2048):
+                part = batch.slice(k, 2048)
+                data, starts, group, at = windows_of(part)
+                ids, ths, core = (np.asarray(part.column(c), np.int64) for c in ("id", "th", "core"))
+                sums = roll.sums(data)
+                cores = _mixed((sums[size:] - sums[:-size]) * roll.down[: len(data) - size + 1]).view(np.int64)
+                begin = starts[np.searchsorted(group, np.arange(len(ids)))]
+                owner = np.searchsorted(begin, np.arange(len(cores)), side="right") - 1
+                same = np.flatnonzero(cores == core[owner])
+                anchor = same[np.searchsorted(owner[same], np.arange(len(ids)))]  # the leftmost one is the anchor
+                block = (anchor[group] - starts) // width
+                first = np.flatnonzero(np.r_[True, (block[1:] != block[:-1]) | (group[1:] != group[:-1])])
+                last = np.r_[first[1:], len(starts)] - 1
+                lo, hi, g, b = starts[first], starts[last], group[first], block[first]
+                shared = anchor[g] - b * width  # the last start of a window of these distances
+                told = (b.astype(np.uint64) << np.uint64(32)) + (hi - lo).astype(np.uint64)
+                common = _mixed(roll.hashes(sums, shared, shared + (least - width + 1)) + b.astype(np.uint64))
+                whole = _mixed(other.hashes(other.sums(data), lo, hi + least) + told + ((anchor[g] - lo).astype(np.uint64) << np.uint64(16)))
+                cut = [data[x:y].tobytes() for x, y in zip(lo.tolist(), (hi + least).tolist(), strict=True)]
+                columns = [ids[g], ths[g], at[first].astype(np.int32), (last - first + 1).astype(np.int32), common.view(np.int64), whole.view(np.int64)]
+                yield pa.RecordBatch.from_arrays([*map(pa.array, columns), pa.array(cut, pa.binary())], names)
+
+    return texts.mapInArrow(find, "id long, th long, lo int, n int, core long, region long, bytes binary")
+
+
+def hot_spans(texts: DataFrame, least: int, first_stays: bool, most_in_task: int) -> DataFrame:
+    """The same of anchors with too many different regions for one task: their parts are treated as regions are, and those
+    which still have too many different ones by the names of their windows."""
+    rows = stage(parts(texts, least))
+    groups = stage(rows.groupBy("core", "region").agg(F.count("*").alias("same"), F.min(F.struct("id", "th", "lo", "n", "bytes")).alias("first")))
+    mixed = groups.groupBy("core").agg(F.count("*").alias("kinds")).filter("kinds > 1")
+    left = stage(groups.join(mixed, "core").select("core", "first.*", (F.col("kinds") > most_in_task).alias("hot")))
+    whole = whole_spans(rows, groups, least, first_stays)
+    return whole.unionByName(suffix_spans(left.filter("not hot"), least, first_stays)).unionByName(named_spans(left.filter("hot"), least, first_stays))
+
+
+def whole_spans(rows: DataFrame, groups: DataFrame, least: int, first_stays: bool) -> DataFrame:
+    """``id, th, start, stop`` of regions that have an equal one (with ``first_stays``, a smaller place)."""
+    copies = groups.filter("same > 1").select("core", "region", F.col("first.id").alias("id0"), F.col("first.th").alias("th0"), F.col("first.lo").alias("lo0"))
+    whole = rows.join(copies, ["core", "region"])
+    if first_stays:
+        whole = whole.filter("id <> id0 or th <> th0 or lo <> lo0")
+    start, stop = F.col("lo").cast("long"), (F.col("lo") + F.col("n") + (least - 1)).cast("long")
+    return whole.select(*_KEY, start.alias("start"), stop.alias("stop"))
+
+
+def named_spans(texts: DataFrame, least: int, first_stays: bool) -> DataFrame:
+    """The same of parts with too many different ones for one task: a window is a row, named by two hashes of its bytes,
     and an interval of the suffix order is a group of these names."""
 
     def names(batches):
@@ -320,7 +381,8 @@ def dedup_factors(df: DataFrame, *, least_bytes: int = 200, keep: str = "first",
     suffixes whose anchor occurs once have no copy. Of the others, neighbouring ones with one anchor are a region; equal
     regions count once, all but the smallest place as later copies. What then has an anchor in common with a different
     region is put in suffix order, in bounded pieces by anchor; previous and next smaller places give the factors (see
-    :func:`nearest`). Anchors with more than ``most_in_task`` different regions take :func:`hot_spans` instead, exact as well.
+    :func:`nearest`). Anchors with more than ``most_in_task`` different regions take :func:`hot_spans` instead, exact as well:
+    their windows meet by distance from the anchor and by the bytes next to it, before any window becomes a row.
 
     Null texts are empty. A null id stays null. Rows that repeat an id and its text are copies like any others; with
     ``keep="first"`` one of them counts as the first. An empty table gives an empty result. Other columns are ignored.
@@ -338,14 +400,9 @@ def dedup_factors(df: DataFrame, *, least_bytes: int = 200, keep: str = "first",
     asked = groups.join(mixed, "core").select("core", "first.id", "first.th", "first.lo", "first.n", (F.col("kinds") > most_in_task).alias("hot"))
     zips = zipped(docs)
     texts = stage(texts_of(asked, zips, least_bytes))
-    copies = groups.filter("same > 1").select("core", "region", F.col("first.id").alias("id0"), F.col("first.th").alias("th0"), F.col("first.lo").alias("lo0"))
-    whole = shared.join(copies, ["core", "region"])
-    if first_stays:
-        whole = whole.filter("id <> id0 or th <> th0 or lo <> lo0")
-    start, stop = F.col("lo").cast("long"), (F.col("lo") + F.col("n") + (least_bytes - 1)).cast("long")
-    parts = [whole.select(*_KEY, start.alias("start"), stop.alias("stop"))]
-    parts += [suffix_spans(texts.filter("not hot"), least_bytes, first_stays), hot_spans(texts.filter("hot"), least_bytes, first_stays)]
-    spans = reduce(DataFrame.unionByName, parts).groupBy(*_KEY).agg(F.collect_list(F.struct("start", "stop")).alias("spans"))
+    gone = [whole_spans(shared, groups, least_bytes, first_stays), suffix_spans(texts.filter("not hot"), least_bytes, first_stays)]
+    gone.append(hot_spans(texts.filter("hot"), least_bytes, first_stays, most_in_task))
+    spans = reduce(DataFrame.unionByName, gone).groupBy(*_KEY).agg(F.collect_list(F.struct("start", "stop")).alias("spans"))
     met = zips.join(spans, _KEY, "left")
     if first_stays:
         met = met.repartition(*_KEY).sortWithinPartitions(*_KEY)

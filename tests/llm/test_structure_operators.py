@@ -263,6 +263,28 @@ def test_first_copies_stay(spark, most_in_task):
     assert kept == [0, 1]  # every later "z" starts a factor that starts one earlier too
 
 
+def near_copies_of_one_text():
+    """Texts of 400 characters, each with one of its own somewhere, and exact copies of some."""
+    rnd = random.Random(5)
+    base = [rnd.choice("abcdefgh ") for _ in range(400)]
+    own = ["".join([*base[:k], chr(0x100 + i), *base[k + 1 :]]) for i, k in enumerate(rnd.sample(range(400), 120))]
+    return list(enumerate([*own, *own[:40]]))
+
+
+@pytest.mark.parametrize(("keep", "most_in_task"), [("none", 4), ("first", 4), ("none", 30), ("first", 30)])
+def test_windows_of_hot_anchors_meet_by_parts(spark, keep, most_in_task, monkeypatch):
+    rows, seen = near_copies_of_one_text(), []
+    was = factor_dedup.named_spans
+    monkeypatch.setattr(factor_dedup, "named_spans", lambda texts, *a: seen.append(texts) or was(texts, *a))
+    hot, cut = [], factor_dedup.parts
+    monkeypatch.setattr(factor_dedup, "parts", lambda texts, *a: hot.append(texts) or cut(texts, *a))
+    got = spans_by_row(factor_dedup.dedup_factors(spark.createDataFrame(rows, "doc_id long, text string"), keep=keep, most_in_task=most_in_task))
+    assert got == sorted(wanted_spans(rows, 200, keep == "first"), key=str)
+    windows = sum(r.n for r in hot[0].collect())
+    named = sum(r.n for r in seen[0].collect())
+    assert cut(hot[0], 200).count() * 6 < windows and named * (1 if most_in_task == 4 else 6) < windows
+
+
 def test_factor_dedup_of_all_documents(spark, none):
     rows = [tuple(r) for r in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()]
     want = {i: (n, n - len(kept), len(spans), sha(kept)) for i, n, kept, spans in wanted_spans(rows, 200, 0)}
