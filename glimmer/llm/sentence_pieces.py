@@ -1,9 +1,13 @@
 """SentencePiece encoding and decoding as joins with the table of pieces."""
 
+import heapq
 import re
 import string
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute
+import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,6 +24,10 @@ _RANK, _START, _END, _LATE, _ID = 37, 31, 25, 24, (1 << 24) - 1
 _REDO = 1 << 62
 #: Distinct units in one task of the lattice.
 _UNITS_A_TASK = 40_000
+#: Characters of a long unit whose edges are found together.
+_BLOCK = 1024
+#: Units that are broadcast with their ids, the most frequent ones; only occurrences of others are shuffled.
+_MOST_BROADCAST = 400_000
 
 
 class Pieces:
@@ -71,10 +79,11 @@ class Pieces:
         return spark.createDataFrame([*rows, ("", None, 0.0, 0, 0)], "piece string, id int, score double, rank long, late long")
 
 
-def units(docs: DataFrame, pieces: Pieces, *keep: str) -> DataFrame:
-    """``keep``, ``pos`` (from 0) and ``unit`` of every unit of every text."""
+def units(docs: DataFrame, pieces: Pieces, *keep: str, empty: bool = False) -> DataFrame:
+    """``keep``, ``pos`` (from 0) and ``unit`` of every unit of every text; with ``empty``, a row of nulls for a text without."""
     text = F.when(F.col("text") != "", F.concat(F.lit(_SPACE), F.replace("text", F.lit(_MARK), F.lit(_SPACE))))
-    return docs.select(*keep, F.posexplode(F.regexp_extract_all(text, F.lit(pieces.pattern()), F.lit(0))).alias("pos", "unit"))
+    explode = F.posexplode_outer if empty else F.posexplode
+    return docs.select(*keep, explode(F.regexp_extract_all(text, F.lit(pieces.pattern()), F.lit(0))).alias("pos", "unit"))
 
 
 def lattice(words: DataFrame, pieces: Pieces) -> DataFrame:
@@ -151,11 +160,87 @@ def _ids_of_bytes(char: Column, bytes_from: int) -> Column:
     return F.transform(F.sequence(F.lit(0), (F.length(code) / 2 - 1).cast("int")), lambda i: (F.conv(F.substring(code, (2 * i + 1).cast("int"), F.lit(2)), 16, 10).cast("int") + bytes_from))
 
 
-def encode_units(words: DataFrame, pieces: Pieces, model: str | None = None) -> DataFrame:
+def merged(n: int, edges: dict[tuple[int, int], tuple[float, int]]) -> list[tuple[int, int]]:
+    """(start, end) of the pieces after all merges of a byte-pair model; ``edges``: (rank, id) by (start, end)."""
+    stop, begin, alive = list(range(1, n + 1)), list(range(-1, n)), [True] * n
+    heap = [(edges[s, s + 2][0], s, s + 1, s + 2) for s in range(n - 1) if (s, s + 2) in edges]
+    heapq.heapify(heap)
+    while heap:
+        _, s, m, e = heapq.heappop(heap)
+        if not (alive[s] and alive[m] and stop[s] == m and stop[m] == e):
+            continue
+        stop[s], begin[e], alive[m] = e, s, False
+        for x, y, z in [(begin[s], s, e)] * (s > 0) + ([(s, e, stop[e])] if e < n else []):
+            if (x, z) in edges:
+                heapq.heappush(heap, (edges[x, z][0], x, y, z))
+    return [(s, stop[s]) for s in range(n) if alive[s]]
+
+
+def best_path(n: int, edges: dict[tuple[int, int], tuple[float, int]], penalty: float) -> list[tuple[int, int]]:
+    """(start, end) of the best path of a unigram model, see :func:`fold_viterbi`; a character without piece costs ``penalty``."""
+    arriving = [[] for _ in range(n + 1)]
+    for (s, e), (rank, i) in edges.items():
+        arriving[e].append((s, rank, i))
+    paths = [(0.0, 0, -1)]
+    for e in range(1, n + 1):
+        ways = [(paths[s][0] - rank, s, i) for s, rank, i in arriving[e]]
+        if (e - 1, e) not in edges:
+            ways.append((paths[e - 1][0] - penalty, e - 1, -1))
+        paths.append(max(ways))
+    out, e = [], n
+    while e:
+        out.append((paths[e][1], e))
+        e = paths[e][1]
+    return out[::-1]
+
+
+def long_units(words: DataFrame, pieces: Pieces) -> DataFrame:
+    """All columns of ``words`` with ``ids``, for units whose boundaries do not fit into a long.
+
+    Their lattice comes from the same join: blocks of a unit, which overlap by the longest piece, are dealt out, and the
+    edges that start in each meet by the unit's digest. The fold keeps them by boundary and takes time in proportion to them.
+    """
+    kept, least = words.columns, 2 if pieces.kind == "bpe" else 1
+    named = words.withColumn("u", F.sha2("unit", 256))
+    count = F.floor((F.length("unit") - 1) / _BLOCK).cast("int")
+    block = F.transform(F.sequence(F.lit(0), count), lambda b: F.substring(F.col("unit"), b * _BLOCK + 1, F.lit(_BLOCK + max(pieces.longest, 1) - 1)))
+    blocks = named.select("u", F.posexplode(block).alias("b", "text"))
+    left = F.length("text") - F.col("s")
+    starts = blocks.repartition("u", "b").select("u", "b", "text", F.explode(F.sequence(F.lit(0), F.least(F.lit(_BLOCK), F.length("text")) - 1)).alias("s"))
+    subs = starts.filter(left >= least).select("u", (F.col("b") * _BLOCK + F.col("s")).alias("at"), F.explode(F.transform(F.sequence(F.lit(least), F.least(F.lit(max(least, pieces.longest)), left)), lambda k: F.substring(F.col("text"), F.col("s") + 1, k))).alias("piece"))
+    found = subs.join(F.broadcast(pieces.table(words.sparkSession).filter("id is not null")), "piece")
+    edges = found.groupBy("u").agg(F.collect_list(F.struct(F.col("at").alias("s"), (F.col("at") + F.length("piece")).alias("e"), (F.col("rank").cast("double") if pieces.kind == "bpe" else -F.col("score")).alias("rank"), "id")).alias("edges"))
+    single = {p: i for p, i, _ in pieces.rows if len(p) == 1}
+    kind, first, unknown = pieces.kind, pieces.bytes_from, pieces.unknown
+    penalty = 10.0 - min((x for _, _, x in pieces.rows), default=0.0)
+
+    def fold(batches):
+        def ids(unit, given):
+            s, e, rank, i = (x.to_pylist() for x in given.flatten()) if given is not None else ([],) * 4
+            known = dict(zip(zip(s, e), zip(rank, i)))
+            out = []
+            for x, y in merged(len(unit), known) if kind == "bpe" else best_path(len(unit), known, penalty):
+                if (x, y) in known:
+                    out.append(known[x, y][1])
+                elif unit[x:y] in single:
+                    out.append(single[unit[x:y]])
+                else:
+                    out += [unknown] if first is None else [first + c for c in unit[x:y].encode()]
+            return out
+
+        for b in batches:
+            given = b.column("edges")
+            got = [ids(u, given[k].values if given[k].is_valid else None) for k, u in enumerate(b.column("unit").to_pylist())]
+            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in kept), pa.array(got, pa.list_(pa.int32()))], [*kept, "ids"])
+
+    kinds = ", ".join(f"{k} {t}" for k, t in words.dtypes)
+    return named.join(edges, "u", "left").select(*kept, "edges").mapInArrow(fold, f"{kinds}, ids array<int>")
+
+
+def encode_units(words: DataFrame, pieces: Pieces) -> DataFrame:
     """All columns of ``words`` (staged: ``unit``, distinct and not empty, and others) with ``ids``.
 
-    Units up to ``_BITS`` characters are folded over the lattice. Longer ones, which are rare, would take a number of
-    steps that grows with the square of their length: the library encodes them, if ``model`` is given.
+    Units up to ``_BITS`` characters are folded over the lattice by expressions, longer ones by :func:`long_units`.
     """
     kept = words.columns
     short = lattice(words.filter(F.length("unit") <= _BITS).withColumn("u", F.monotonically_increasing_id()), pieces)
@@ -182,20 +267,120 @@ def encode_units(words: DataFrame, pieces: Pieces, model: str | None = None) ->
         found = paths.select(*kept, F.aggregate(F.reverse(F.sequence(F.lit(1), F.col("n"))), start, back)["found"].alias("found"))
     ids = F.flatten(F.transform("found", lambda x: F.when(x["id"].isNotNull(), F.array(x["id"])).otherwise(one(x["s"]))))
     done = found.select(*kept, ids.alias("ids"))
-    if model is None:
-        return done
+    return done.unionByName(long_units(words.filter(F.length("unit") > _BITS), pieces))
 
-    def by_library(batches):
-        import sentencepiece
 
-        sp = sentencepiece.SentencePieceProcessor(model_file=model)
-        drop = len(sp.encode("\n"))
-        for b in batches:
-            got = [sp.encode("\n" + u)[drop:] for u in b.column("unit").to_pylist()]
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(got, pa.list_(pa.int32()))], [*kept, "ids"])
+def frequent(counted: DataFrame, most: int) -> Column:
+    """Whether a unit is among the most frequent ones, at most ``most``, by levels of ``count``."""
+    level = F.floor(4 * F.log2("count"))
+    sizes = counted.groupBy(level.alias("least")).agg(F.count("*").alias("n")).orderBy(F.desc("least")).collect()
+    least, total = 4 * 64, 0
+    for r in sizes:
+        total += r["n"]
+        if total > most:
+            break
+        least = r["least"]
+    return level >= least
+
+
+def _packed(batches):
+    """One row for each text's units, which come in a row: the number of ids of each (0: a rare unit) and all these ids, compressed."""
+    packer, names = zstandard.ZstdCompressor(level=3), ["id", "th", "doc_id", "n", "zip"]
+    owner, sizes, values = None, [], []
+
+    def closed():
+        size = np.concatenate(sizes).astype(np.uint32)
+        ids = np.concatenate(values).astype(np.uint32)
+        small = bool(max(size.max(initial=0), ids.max(initial=0)) < 1 << 16)
+        both = np.concatenate([size, ids]).astype(np.uint16 if small else np.uint32)
+        return [*owner, len(size), bytes([small]) + packer.compress(both.tobytes())]
+
+    for b in batches:
+        out, pos = [], b.column("pos").fill_null(-1).to_numpy()
+        ids = b.column("ids")
+        size = pa.compute.fill_null(pa.compute.list_value_length(ids), 0).to_numpy()
+        ends = np.r_[0, np.cumsum(size)]
+        flat = ids.flatten().to_numpy()
+        begins = np.flatnonzero(pos <= 0)
+        if len(pos) and (np.diff(pos)[pos[1:] > 0] != 1).any() or len(pos) and pos[0] > 0 and (owner is None or sum(map(len, sizes)) != pos[0]):
+            raise RuntimeError("the units of a text do not come in order")
+        cuts = np.unique(np.r_[0, begins, len(pos)])
+        for x, y in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
+            if pos[x] <= 0:
+                if owner is not None:
+                    out.append(closed())
+                owner, sizes, values = [b.column(c)[x].as_py() for c in names[:3]], [], []
+            if pos[x] < 0:
+                sizes.append(size[:0])
+                values.append(flat[:0])
+            else:
+                sizes.append(size[x:y])
+                values.append(flat[ends[x] : ends[y]])
+        if out:
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary()))], names)
+    if owner is not None:
+        yield pa.RecordBatch.from_arrays([pa.array([c], t) for c, t in zip(closed(), (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary()))], names)
+
+
+def _unpacked(batches):
+    """The ids of texts from :func:`_packed` and the ids of their rare units."""
+    unpacker, names = zstandard.ZstdDecompressor(), ["doc_id", "th", "ids", "sizes"]
+    for b in batches:
+        done, weight = [], 0
+
+        def batch(done):
+            lists = [pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum([len(r[k]) for r in done])], pa.int32()), pa.array(np.concatenate([r[k] for r in done]), pa.int32())) for k in (2, 3)]
+            return pa.RecordBatch.from_arrays([pa.array([r[0] for r in done], pa.int64()), pa.array([r[1] for r in done], pa.int64()), *lists], names)
+
+        for doc_id, th, n, packed, rare in zip(*(b.column(c).to_pylist() for c in ("doc_id", "th", "n", "zip")), b.column("rare"), strict=True):
+            both = np.frombuffer(unpacker.decompress(packed[1:]), np.uint16 if packed[0] else np.uint32).astype(np.int32)
+            size, known = both[:n].copy(), both[n:]
+            own = size > 0
+            if rare.is_valid:
+                pos, more = rare.values.flatten()
+                pos, first = np.unique(pos.to_numpy(), return_index=True)  # rows that repeat a document repeat these
+                more = more.take(pa.array(first))
+                size[pos] = pa.compute.list_value_length(more).to_numpy()
+                ids = np.empty(size.sum(), np.int32)
+                here = np.repeat(own, size)
+                ids[here], ids[~here] = known, more.flatten().to_numpy()
+            else:
+                ids = known
+            if not size.all():
+                raise RuntimeError("a unit has no ids")
+            done.append((doc_id, th, ids, size))
+            weight += len(ids)
+            if weight >= 1 << 20:
+                yield batch(done)
+                done, weight = [], 0
+        if done:
+            yield batch(done)
+
+
+def encoded(df: DataFrame, pieces: Pieces, id_col: str = "doc_id", text_col: str = "text", most_broadcast: int = _MOST_BROADCAST) -> DataFrame:
+    """``doc_id, ids`` of each row (see :func:`encode`) with ``sizes``, how many ids each unit of its text has, and ``th``,
+    a hash of the text with spaces for marks (:func:`name_of`).
+
+    Units that occur often are broadcast with their ids; a text's are packed where it is read. Occurrences of the others
+    meet their ids by unit and then the packed text by its name: ``doc_id`` and ``th``. Rows that repeat both have equal ids.
+    """
+    docs = documents(df, id_col, text_col)
+    counted = stage(units(docs, pieces).groupBy("unit").count())
+    often = frequent(counted, most_broadcast)
+    known = stage(encode_units(counted, pieces))
+    own = F.coalesce("doc_id", F.lit(0).cast("long")).alias("id")
+    named = docs.select("doc_id", own, name_of(F.replace("text", F.lit(_MARK), F.lit(_SPACE))).alias("th"), "text")
+    common = F.broadcast(known.filter(often).select("unit", "ids"))
+    rare = units(named, pieces, "id", "th").join(F.broadcast(known.filter(often).select("unit")), "unit", "left_anti")
+    rare = stage(rare.join(known.filter(~often).select("unit", "ids"), "unit").select("id", "th", "pos", "ids"))
+    rare = rare.groupBy("id", "th").agg(F.collect_list(F.struct("pos", "ids")).alias("rare"))
+    found = units(named, pieces, "id", "th", "doc_id", empty=True).join(common, "unit", "left").select("id", "th", "doc_id", "pos", "ids")
+    packed = found.mapInArrow(_packed, "id long, th long, doc_id long, n int, zip binary")
+    return packed.join(rare, ["id", "th"], "left").select("doc_id", "th", "n", "zip", "rare").mapInArrow(_unpacked, "doc_id long, th long, ids array<int>, sizes array<int>")
 
-    kinds = ", ".join(f"{k} {t}" for k, t in words.dtypes)
-    return done.unionByName(words.filter(F.length("unit") > _BITS).mapInArrow(by_library, f"{kinds}, ids array<int>"))
+
+def name_of(text: Column) -> Column:
+    return F.xxhash64(text, F.col("doc_id").isNull())
 
 
 def encode(df: DataFrame, model: str, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -205,13 +390,7 @@ def encode(df: DataFrame, model: str, *, id_col: str = "doc_id", text_col: str =
     fallback do. Each distinct unit of text is encoded once. Null and empty texts have no ids. A null id stays null.
     Repeated rows are rows of their own. An empty table gives an empty result. Other columns are ignored.
     """
-    pieces = Pieces.of_model(model)
-    docs = documents(df, id_col, text_col).withColumn("_row", F.monotonically_increasing_id())
-    docs = stage(docs)
-    found = units(docs, pieces, "_row")
-    known = stage(encode_units(stage(found.select("unit").distinct()), pieces, model))
-    of = found.join(known, "unit").groupBy("_row").agg(F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("pos", "ids"))), lambda x: x["ids"])).alias("ids"))
-    return docs.select("_row", "doc_id").join(of, "_row", "left").select("doc_id", F.coalesce("ids", F.array().cast("array<int>")).alias("ids"))
+    return encoded(df, Pieces.of_model(model), id_col, text_col).select("doc_id", "ids")
 
 
 def decoded(ids: Column, pieces: Pieces, lead: bool = True) -> Column:
@@ -228,46 +407,38 @@ def decoded(ids: Column, pieces: Pieces, lead: bool = True) -> Column:
     return F.regexp_replace(text, "^ ", "") if lead else text
 
 
-def op7_sentence_pieces(spark: SparkSession, sf_dir: str, most_broadcast: int = 400_000) -> DataFrame:
-    """``doc_id, n_units, n_pieces, ids_check, decodes`` of all documents.
+def op7_sentence_pieces(spark: SparkSession, sf_dir: str, most_broadcast: int = _MOST_BROADCAST) -> DataFrame:
+    """``doc_id, n_units, n_pieces, ids_check, decodes, ids`` of all documents, derived from the ids that :func:`encoded` gives.
 
     ``ids_check`` sums, over a document's units, (place + 1) times the sum of (k + 1) * (id + 1) over the unit's ids,
-    modulo 1,000,000,007: it depends on every id and its place. ``decodes``: every unit's ids give its text. The given
-    model is a byte-pair model, so :func:`fold_merges` folds the lattice, not :func:`fold_viterbi`. Null texts are empty.
-    Rows that repeat an id, null among them, are added up in one row.
-
-    The units that occur most often, at most ``most_broadcast`` of them, are broadcast with their figures; only the
-    occurrences of rarer units are shuffled.
+    modulo 1,000,000,007: it depends on every id and its place. ``decodes``: the ids give the text (with spaces for marks).
+    The given model is a byte-pair model, so :func:`fold_merges` folds the lattice, not :func:`fold_viterbi`. Null texts are
+    empty. Rows that repeat an id are rows of their own.
     """
     import public_tokenizers
 
-    model = public_tokenizers.path("piece_bpe_32k.model")
-    pieces = Pieces.of_model(model)
-    docs = documents(table(spark, sf_dir, "documents"))
-    counted = stage(units(docs, pieces).groupBy("unit").count())
-    weight = F.aggregate(F.transform("ids", lambda i, k: (k + 1).cast("long") * (i + 1)), F.lit(0).cast("long"), lambda a, x: a + x)
-    same = decoded(F.col("ids"), pieces, lead=False) == F.col("unit")
-    known = stage(encode_units(counted, pieces, model).select("unit", "count", F.size("ids").alias("n"), weight.alias("weight"), same.alias("same")))
-    level = F.floor(4 * F.log2("count"))
-    sizes = known.groupBy(level.alias("least")).agg(F.count("*").alias("n")).orderBy(F.desc("least")).collect()
-    least, total = 4 * 64, 0
-    for r in sizes:
-        total += r["n"]
-        if total > most_broadcast:
-            break
-        least = r["least"]
-    found = units(docs, pieces, "doc_id").join(F.broadcast(known.filter(level >= least).select("unit", "n", "weight", "same")), "unit", "left")
-    # occurrences of units that are broadcast count at once, under a key of the document; the places of the others are added up by unit
-    often = F.col("n").isNotNull()
-    key = F.when(often, F.concat(F.lit("\n\n"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))).otherwise(F.col("unit"))
-    place, most = F.col("pos").cast("long") + 1, F.lit(1_000_000_007)
-    sums = [F.count("*").alias("n_units"), F.sum("n").alias("n_pieces"), F.sum(F.pmod(place * F.col("weight"), most)).alias("ids_check"), F.sum(place).alias("places"), F.min("same").alias("decodes")]
-    names = known.filter(level < least).select(F.col("unit").alias("key"), F.col("n").alias("n_own"), "weight", "same")
-    parts = found.groupBy("doc_id", key.alias("key")).agg(*sums).join(names, "key", "left")
-    rare = F.pmod(F.pmod("places", most) * F.pmod("weight", most), most)
-    joined = parts.select("doc_id", "n_units", F.coalesce(F.col("n_units") * F.col("n_own"), "n_pieces").alias("n_pieces"), F.coalesce(rare, "ids_check").alias("ids_check"), F.coalesce("same", "decodes").alias("decodes"))
-    empty = docs.select("doc_id").distinct().select("doc_id", *[F.lit(0).cast("long").alias(c) for c in ("n_units", "n_pieces", "ids_check")], F.lit(True).alias("decodes"))
-    return joined.unionByName(empty).groupBy("doc_id").agg(F.sum("n_units").alias("n_units"), F.sum("n_pieces").alias("n_pieces"), F.pmod(F.sum("ids_check"), most).alias("ids_check"), F.min("decodes").alias("decodes"))
+    pieces = Pieces.of_model(public_tokenizers.path("piece_bpe_32k.model"))
+    coded = encoded(table(spark, sf_dir, "documents"), pieces, most_broadcast=most_broadcast)
+    names = ["doc_id", "th", "n_units", "n_pieces", "ids_check", "back", "ids"]
+    code = {i: p.encode() for p, i, _ in pieces.rows} | ({pieces.bytes_from + c: bytes([c]) for c in range(256)} if pieces.bytes_from is not None else {})
+
+    def digests(batches):
+        for b in batches:
+            out = []
+            for ids, sizes in zip(b.column("ids"), b.column("sizes"), strict=True):
+                i, n = (x.values.to_numpy().astype(np.int64) for x in (ids, sizes))
+                begin = np.cumsum(n) - n
+                weight = (np.arange(len(i)) - np.repeat(begin, n) + 1) * (i + 1)
+                weight = np.add.reduceat(weight, begin) if len(n) else n
+                check = int((np.arange(1, len(n) + 1) * (weight % 1_000_000_007) % 1_000_000_007).sum() % 1_000_000_007)
+                back = b"".join([code.get(x, b"") for x in i.tolist()])
+                out.append((len(n), len(i), check, back[back[:1] == b" " :]))
+            found = [pa.array(c, t) for c, t in zip(zip(*out), (pa.int64(), pa.int64(), pa.int64(), pa.binary()))]
+            if out:
+                yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("th"), *found, b.column("ids")], names)
+
+    done = coded.mapInArrow(digests, "doc_id long, th long, n_units long, n_pieces long, ids_check long, back binary, ids array<int>")
+    return done.select("doc_id", "n_units", "n_pieces", "ids_check", (name_of(F.col("back")) == F.col("th")).alias("decodes"), "ids")
 
 
 QUERIES = {"op7_sentence_pieces": op7_sentence_pieces}

@@ -285,6 +285,32 @@ def test_op7_equals_the_library(spark):
             assert (got[i].n_units, got[i].n_pieces, got[i].ids_check, got[i].decodes) == (len(own), len(sp.encode(t)), check, True)
 
 
+def test_op7_gives_the_ids_of_whole_texts(spark, tmp_path, monkeypatch):
+    import sentencepiece
+
+    sp = sentencepiece.SentencePieceProcessor(model_file=PIECES)
+    rows = [*enumerate(ODD_TEXTS), (50, None), (51, ""), (52, ""), (52, ""), (None, "no id"), (53, "twice here"), (53, "twice here"), (53, "another text"), (54, "x" * 3000), (55, "ab▁c  d"), (56, "日本語のテキスト" * 400), (57, "=-" * 40)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    want = Counter((i, tuple(sp.encode(t or ""))) for i, t in rows)
+    monkeypatch.setattr(sentencepiece.SentencePieceProcessor, "encode", None)
+    for most in (400_000, 3, 0):
+        got = sentence_pieces.op7_sentence_pieces(spark, str(tmp_path), most).collect()
+        assert Counter((r.doc_id, tuple(r.ids)) for r in got) == want
+        assert all(r.decodes and r.n_pieces == len(r.ids) for r in got)
+
+
+def test_long_units_of_a_unigram_model(spark):
+    rows = [("a", 1, -1.5), ("b", 2, -1.6), ("ab", 3, -2.0), ("bab", 6, -3.4), ("ba", 7, -2.72)]
+    pieces, rng = sentence_pieces.Pieces(rows), random.Random(3)
+    text = "".join(rng.choice("abc") for _ in range(2100))
+    parts = [text[:59], text]
+    got = {r.unit: r.ids for r in sentence_pieces.encode_units(spark.createDataFrame([(u,) for u in parts], "unit string"), pieces).collect()}
+    again = sentence_pieces.long_units(spark.createDataFrame([(parts[0],)], "unit string"), pieces).first().ids
+    assert set(got) == set(parts) and again == got[parts[0]]
+    name = {i: p for p, i, _ in rows} | {0: "c"}
+    assert "".join(name[i] for i in got[text]) == text
+
+
 def test_viterbi(spark):
     import math
 
