@@ -3,15 +3,20 @@
 import heapq
 import re
 import string
+import uuid
+from array import array
+from collections import Counter, defaultdict
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute
+import regex
 import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from glimmer.llm._common import documents, stage, table
+from glimmer.llm._tokenize import slices
 
 #: Longest unit whose boundaries fit into the bits of a long.
 _BITS = 60
@@ -28,6 +33,11 @@ _UNITS_A_TASK = 40_000
 _BLOCK = 1024
 #: Units that are broadcast with their ids, the most frequent ones; only occurrences of others are shuffled.
 _MOST_BROADCAST = 400_000
+#: Distinct cuts of texts (see Cutter) that a Python worker keeps.
+_MOST_CUTS = 200_000
+#: Units whose ids are put together at once.
+_UNITS_AT_ONCE = 1 << 18
+_MODULUS = 1_000_000_007
 
 
 class Pieces:
@@ -78,28 +88,83 @@ class Pieces:
         rows = [(p, i, float(s), ranks[s], int(p in late)) for p, i, s in self.rows]
         return spark.createDataFrame([*rows, ("", None, 0.0, 0, 0)], "piece string, id int, score double, rank long, late long")
 
+    def heads(self, spark: SparkSession, least: int) -> DataFrame:
+        """``head``, the first ``least`` characters of pieces, and the ``lengths`` that pieces with it have."""
+        found = defaultdict(set)
+        for p, _, _ in self.rows:
+            if len(p) >= least:
+                found[p[:least]].add(len(p))
+        return spark.createDataFrame([(h, sorted(x)) for h, x in found.items()], "head string, lengths array<int>")
 
-def units(docs: DataFrame, pieces: Pieces, *keep: str, empty: bool = False) -> DataFrame:
-    """``keep``, ``pos`` (from 0) and ``unit`` of every unit of every text; with ``empty``, a row of nulls for a text without."""
-    text = F.when(F.col("text") != "", F.concat(F.lit(_SPACE), F.replace("text", F.lit(_MARK), F.lit(_SPACE))))
-    explode = F.posexplode_outer if empty else F.posexplode
-    return docs.select(*keep, explode(F.regexp_extract_all(text, F.lit(pieces.pattern()), F.lit(0))).alias("pos", "unit"))
+
+class Cutter:
+    """Units of texts in a Python worker.
+
+    A text is cut by string methods before each run of spaces and, where no piece goes over it, each line feed. Units end
+    there too, so a distinct cut meets the pattern once, however often it occurs. A cut is named without one leading space.
+    """
+
+    def __init__(self, pieces: Pieces):
+        self.find, self.lines, self.ends = regex.compile(pieces.pattern()).findall, "\n" in pieces.alone, pieces.ends
+        self.runs = re.compile(" *[^ \n]+|\n[^ \n]*| +" if self.lines else " *[^ ]+| +")
+
+    def cuts(self, text: str) -> list[str]:
+        if not text:
+            return []
+        if text[0] == _SPACE or 2 * _SPACE in text:
+            return [c if self.lines and c[0] == "\n" else c[1:] for c in self.runs.findall(_SPACE + text)]
+        return (text.replace("\n", " \n") if self.lines else text).split(_SPACE)
+
+    def units(self, cut: str) -> list[str]:
+        """As the pattern gives them; most cuts are letters, then perhaps marks, and need no pattern."""
+        if cut.isalpha():
+            return [_SPACE + cut]
+        letters = cut.rstrip(self.ends) if self.ends else ""
+        if letters.isalpha():
+            return [_SPACE + letters, cut[len(letters) :]]
+        return self.find(cut if self.lines and cut[:1] == "\n" else _SPACE + cut)
+
+
+def _counts(cutter: Cutter):
+    """``unit, count`` of texts, summed over many of them."""
+
+    def run(batches):
+        cuts = Counter()
+
+        def summed():
+            found = defaultdict(int)
+            for cut, n in cuts.items():
+                for unit in cutter.units(cut):
+                    found[unit] += n
+            cuts.clear()
+            return pa.RecordBatch.from_arrays([pa.array(found.keys(), pa.string()), pa.array(found.values(), pa.int64())], ["unit", "count"])
+
+        for _, texts in slices(batches):
+            for text in texts:
+                cuts.update(cutter.cuts(text))
+            if len(cuts) > _MOST_CUTS:
+                yield summed()
+        yield summed()
+
+    return run
 
 
 def lattice(words: DataFrame, pieces: Pieces) -> DataFrame:
     """All columns of ``words`` (``u``: a number, ``unit``: distinct units) with ``n`` and all pieces in each unit.
 
-    Substrings up to the longest piece are exploded and joined with the pieces' table by equality; edges are grouped by
-    unit. Units are dealt out by number before that, and neither step moves a row, so only units are shuffled and never
-    edges. The empty substring keeps units without any piece. ``edges``: the best score and then the leftmost first; for
-    byte-pair models packed, and only those of two characters and more.
+    At each place the lengths of the pieces with the first characters found there are exploded (see Pieces.heads), and these
+    substrings joined with the pieces' table by equality; edges are grouped by unit. Units are dealt out by number before
+    that, and no step moves a row, so only units are shuffled and never edges. The empty substring keeps units without any
+    piece. ``edges``: the best score and then the leftmost first; for byte-pair models packed, and only those of two
+    characters and more.
     """
     n, kept, least = F.length("unit"), [c for c in words.columns if c != "u"], 2 if pieces.kind == "bpe" else 1
     parts = max(int(words.sparkSession.conf.get("spark.sql.shuffle.partitions")), words.count() // _UNITS_A_TASK)
     starts = words.repartition(parts, "u").select("*", F.explode(F.sequence(F.lit(0), n - 1)).alias("s"))
-    left = n - F.col("s")
-    lengths = F.when(left >= least, F.sequence(F.lit(least), F.least(F.lit(max(least, pieces.longest)), left))).otherwise(F.array().cast("array<int>"))
-    subs = starts.select("*", F.explode(F.when(F.col("s") == 0, F.concat(F.array(F.lit(0)), lengths)).otherwise(lengths)).alias("k")).withColumn("piece", F.substring("unit", F.col("s") + 1, F.col("k")))
+    headed = starts.withColumn("head", F.substring("unit", F.col("s") + 1, F.lit(least))).join(F.broadcast(pieces.heads(words.sparkSession, least)), "head", "left")
+    lengths = F.coalesce("lengths", F.array().cast("array<int>"))
+    subs = headed.select("u", *kept, "s", F.explode(F.when(F.col("s") == 0, F.concat(F.array(F.lit(0)), lengths)).otherwise(lengths)).alias("k"))
+    subs = subs.filter(F.col("k") <= n - F.col("s")).withColumn("piece", F.substring("unit", F.col("s") + 1, F.col("k")))
     found = subs.join(F.broadcast(pieces.table(words.sparkSession)), "piece")
     e = F.col("s") + F.col("k")
     packed = F.shiftleft("rank", _RANK) + F.shiftleft(F.col("s").cast("long"), _START) + F.shiftleft(e.cast("long"), _END) + F.shiftleft("late", _LATE) + F.col("id")
@@ -253,12 +318,14 @@ def encode_units(words: DataFrame, pieces: Pieces) -> DataFrame:
     one = lambda s: _let(bare(s), lambda x: F.when(F.size(x) > 0, x).otherwise(none(F.substring(F.col("unit"), s + 1, F.lit(1)))))
     if pieces.kind == "bpe":
         n = F.col("n")
-        at = lambda s, e: F.shiftleft(s.cast("long"), _START) + F.shiftleft(e.cast("long"), _END)
-        of = lambda s, e: F.get(F.filter("edges", lambda x: x.bitwiseAND((1 << _RANK) - (1 << _END)) == at(s, e)), F.lit(0)).bitwiseAND(_ID).cast("int")
-        cuts = lambda bits: F.filter(F.sequence(F.lit(0), n), lambda p: bits.bitwiseAND(_bit(p)) != 0)
-        piece = lambda s, e: F.struct(s.alias("s"), F.when(e - s > 1, of(s, e)).alias("id"))
-        spans = lambda cut: F.transform(F.slice(cut, F.lit(1), F.size(cut) - 1), lambda p, i: piece(p, F.get(cut, i + 1)))
-        found = short.select(*kept, _let(_let(fold_merges(n, F.col("edges")), cuts), spans).alias("found"))
+        bit = lambda x, at: _bit(F.shiftright(x, at).bitwiseAND(63).cast("int"))
+        ends = lambda x: bit(x, _START) + bit(x, _END)
+        between = lambda x: bit(x, _END) - bit(x, _START)
+        left = lambda b, x: b.bitwiseAND(ends(x).bitwiseOR(between(x))) == ends(x)
+        many = lambda b: F.transform(F.filter("edges", lambda x: left(b, x)), lambda x: F.shiftleft(F.shiftright(x, _START).bitwiseAND(63), _LATE).bitwiseOR(x.bitwiseAND(_ID)))
+        alone = lambda b: F.transform(F.filter(F.sequence(F.lit(0), n - 1), lambda p: b.bitwiseAND(3 * _bit(p)) == 3 * _bit(p)), lambda p: F.shiftleft(p.cast("long"), _LATE).bitwiseOR(F.lit(_ID)))
+        spans = lambda b: F.transform(F.sort_array(F.concat(many(b), alone(b))), lambda x: F.struct(F.shiftright(x, _LATE).cast("int").alias("s"), F.nullif(x.bitwiseAND(_ID), F.lit(_ID)).cast("int").alias("id")))
+        found = short.select(*kept, _let(fold_merges(n, F.col("edges")), spans).alias("found"))
     else:
         lowest = min(s for _, _, s in pieces.rows)
         paths = short.select(*kept, "n", fold_viterbi(F.col("n"), F.col("edges"), 10.0 - lowest).alias("paths"))
@@ -283,100 +350,163 @@ def frequent(counted: DataFrame, most: int) -> Column:
     return level >= least
 
 
-def _packed(batches):
-    """One row for each text's units, which come in a row: the number of ids of each (0: a rare unit) and all these ids, compressed."""
-    packer, names = zstandard.ZstdCompressor(level=3), ["id", "th", "doc_id", "n", "zip"]
-    owner, sizes, values = None, [], []
+#: The latest vocabulary of a Python worker, by name.
+_vocabularies: dict[str, "Vocabulary"] = {}
 
-    def closed():
-        size = np.concatenate(sizes).astype(np.uint32)
-        ids = np.concatenate(values).astype(np.uint32)
-        small = bool(max(size.max(initial=0), ids.max(initial=0)) < 1 << 16)
-        both = np.concatenate([size, ids]).astype(np.uint16 if small else np.uint32)
-        return [*owner, len(size), bytes([small]) + packer.compress(both.tobytes())]
 
-    for b in batches:
-        out, pos = [], b.column("pos").fill_null(-1).to_numpy()
-        ids = b.column("ids")
-        size = pa.compute.fill_null(pa.compute.list_value_length(ids), 0).to_numpy()
-        ends = np.r_[0, np.cumsum(size)]
-        flat = ids.flatten().to_numpy()
-        begins = np.flatnonzero(pos <= 0)
-        if len(pos) and (np.diff(pos)[pos[1:] > 0] != 1).any() or len(pos) and pos[0] > 0 and (owner is None or sum(map(len, sizes)) != pos[0]):
-            raise RuntimeError("the units of a text do not come in order")
-        cuts = np.unique(np.r_[0, begins, len(pos)])
-        for x, y in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
-            if pos[x] <= 0:
-                if owner is not None:
-                    out.append(closed())
-                owner, sizes, values = [b.column(c)[x].as_py() for c in names[:3]], [], []
-            if pos[x] < 0:
-                sizes.append(size[:0])
-                values.append(flat[:0])
-            else:
-                sizes.append(size[x:y])
-                values.append(flat[ends[x] : ends[y]])
-        if out:
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary()))], names)
-    if owner is not None:
-        yield pa.RecordBatch.from_arrays([pa.array([c], t) for c, t in zip(closed(), (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary()))], names)
-
-
-def _unpacked(batches):
-    """The ids of texts from :func:`_packed` and the ids of their rare units."""
-    unpacker, names = zstandard.ZstdDecompressor(), ["doc_id", "th", "ids", "sizes"]
-    for b in batches:
-        done, weight = [], 0
-
-        def batch(done):
-            lists = [pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum([len(r[k]) for r in done])], pa.int32()), pa.array(np.concatenate([r[k] for r in done]), pa.int32())) for k in (2, 3)]
-            return pa.RecordBatch.from_arrays([pa.array([r[0] for r in done], pa.int64()), pa.array([r[1] for r in done], pa.int64()), *lists], names)
-
-        for doc_id, th, n, packed, rare in zip(*(b.column(c).to_pylist() for c in ("doc_id", "th", "n", "zip")), b.column("rare"), strict=True):
-            both = np.frombuffer(unpacker.decompress(packed[1:]), np.uint16 if packed[0] else np.uint32).astype(np.int32)
-            size, known = both[:n].copy(), both[n:]
-            own = size > 0
-            if rare.is_valid:
-                pos, more = rare.values.flatten()
-                pos, first = np.unique(pos.to_numpy(), return_index=True)  # rows that repeat a document repeat these
-                more = more.take(pa.array(first))
-                size[pos] = pa.compute.list_value_length(more).to_numpy()
-                ids = np.empty(size.sum(), np.int32)
-                here = np.repeat(own, size)
-                ids[here], ids[~here] = known, more.flatten().to_numpy()
+class Vocabulary:
+    """Frequent units of texts, numbered from 1, the most frequent first: ``numbers`` by unit, and the ids of each.
+
+    ``shared``: their Arrow table (``unit, ids``), broadcast; a worker prepares it once.
+    """
+
+    def __init__(self, known: pa.Table):
+        units, ids = known.column("unit").combine_chunks(), known.column("ids").combine_chunks()
+        self.numbers = dict(zip(units.to_pylist(), range(1, len(units) + 1)))
+        self.sizes = np.r_[0, pa.compute.list_value_length(ids).to_numpy(zero_copy_only=False)].astype(np.int64)
+        self.begins, self.ids = np.cumsum(self.sizes) - self.sizes, ids.flatten().to_numpy(zero_copy_only=False).astype(np.int32)
+
+    @staticmethod
+    def of(shared, name: str) -> "Vocabulary":
+        if name not in _vocabularies:
+            _vocabularies.clear()
+            _vocabularies[name] = Vocabulary(shared.value)
+        return _vocabularies[name]
+
+
+def pack(numbers: np.ndarray) -> bytes:
+    """Numbers of units, most of them below 65,535, compressed by planes of bytes."""
+    low = np.minimum(numbers, 65535).astype("<u2")
+    more = numbers[numbers >= 65535].astype("<u4")
+    return _packer.compress(low.view(np.uint8).reshape(-1, 2).T.tobytes() + more.tobytes())
+
+
+def unpack(packed: bytes, n: int) -> np.ndarray:
+    got = np.frombuffer(_unpacker.decompress(packed), np.uint8)
+    numbers = got[:n] + got[n : 2 * n].astype(np.int64) * 256
+    numbers[numbers == 65535] = got[2 * n :].view("<u4")
+    return numbers
+
+
+_packer, _unpacker = zstandard.ZstdCompressor(level=3), zstandard.ZstdDecompressor()
+
+
+class _Numbers(dict):
+    """Numbers of a cut's units as bytes, found when a cut is first asked for; ``odd``: cuts' rare units."""
+
+    def __init__(self, cutter: Cutter, numbers: dict[str, int]):
+        self.cutter, self.numbers, self.odd = cutter, numbers, {}
+
+    def __missing__(self, cut: str) -> bytes:
+        units = self.cutter.units(cut)
+        if more := [u for u in units if u not in self.numbers]:
+            self.odd[cut] = more
+        self[cut] = got = array("I", [self.numbers.get(u, 0) for u in units]).tobytes()
+        return got
+
+    def of(self, cuts: list[str]) -> np.ndarray:
+        return np.frombuffer(b"".join(map(self.__getitem__, cuts)), np.uint32)
+
+
+def _numbered(cutter: Cutter, shared, name: str, rare: bool):
+    """Texts as numbers of their units, 0 for a rare one; with ``rare`` only the rare units, each with its place."""
+
+    def run(batches):
+        kept = _Numbers(cutter, Vocabulary.of(shared, name).numbers)
+        odd = kept.odd
+        for batch, texts in slices(batches, 1_000_000):
+            cuts = [cutter.cuts(text) for text in texts]
+            got = [kept.of(own) for own in cuts]
+            if rare:
+                rows, places, found = [], [], []
+                for k, own in enumerate(cuts):
+                    if more := [u for cut in own if cut in odd for u in odd[cut]]:
+                        place = np.flatnonzero(got[k] == 0)
+                        rows.append(np.full(len(place), k))
+                        places.append(place)
+                        found += more
+                if found:
+                    row = pa.array(np.concatenate(rows))
+                    yield pa.RecordBatch.from_arrays([batch.column("id").take(row), batch.column("th").take(row), pa.array(np.concatenate(places), pa.int32()), pa.array(found, pa.string())], ["id", "th", "pos", "unit"])
             else:
-                ids = known
-            if not size.all():
-                raise RuntimeError("a unit has no ids")
-            done.append((doc_id, th, ids, size))
-            weight += len(ids)
-            if weight >= 1 << 20:
-                yield batch(done)
-                done, weight = [], 0
-        if done:
-            yield batch(done)
-
-
-def encoded(df: DataFrame, pieces: Pieces, id_col: str = "doc_id", text_col: str = "text", most_broadcast: int = _MOST_BROADCAST) -> DataFrame:
-    """``doc_id, ids`` of each row (see :func:`encode`) with ``sizes``, how many ids each unit of its text has, and ``th``,
-    a hash of the text with spaces for marks (:func:`name_of`).
-
-    Units that occur often are broadcast with their ids; a text's are packed where it is read. Occurrences of the others
-    meet their ids by unit and then the packed text by its name: ``doc_id`` and ``th``. Rows that repeat both have equal ids.
+                yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("id", "th", "doc_id")), pa.array([len(x) for x in got], pa.int32()), pa.array([pack(x) for x in got], pa.binary())], ["id", "th", "doc_id", "n", "zip"])
+            if len(kept) > _MOST_CUTS:
+                kept.clear()
+                odd.clear()
+
+    return run
+
+
+def _put_together(shared, name: str, code: list[bytes] | None):
+    """``doc_id, th, ids`` from :func:`_numbered` and the ids of rare units; with ``code`` (bytes by id) also what
+    :func:`op7_sentence_pieces` returns."""
+
+    def together(b, known):
+        n = b.column("n").to_numpy().astype(np.int64)
+        number = np.concatenate([unpack(z, k) for z, k in zip(b.column("zip").to_pylist(), n.tolist())])
+        first, size, begin, ids = np.cumsum(n) - n, known.sizes[number], known.begins[number], known.ids
+        rare = b.column("rare")
+        if rare.null_count < len(rare):
+            times = pa.compute.fill_null(pa.compute.list_value_length(rare), 0).to_numpy()
+            pos, more = rare.flatten().flatten()
+            place, one = np.unique(np.repeat(first, times) + pos.to_numpy(), return_index=True)  # rows that repeat a document repeat these
+            more = more.take(pa.array(one))
+            size[place] = own = pa.compute.list_value_length(more).to_numpy().astype(np.int64)
+            begin[place] = len(ids) + np.cumsum(own) - own
+            ids = np.concatenate([ids, more.flatten().to_numpy()])
+        if not size.all():
+            raise RuntimeError("a unit has no ids")
+        ends = np.r_[0, np.cumsum(size)]
+        inside = np.arange(ends[-1]) - np.repeat(ends[:-1], size)
+        ids = ids[np.repeat(begin, size) + inside]
+        cuts = ends[np.r_[first, n.sum()]]
+        lists = pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(ids, pa.int32()))
+        head = [b.column("doc_id"), b.column("th"), lists]
+        if code is None:
+            return pa.RecordBatch.from_arrays(head, ["doc_id", "th", "ids"])
+        weight = np.add.reduceat((inside + 1) * (ids + 1), ends[:-1]) if len(ids) else inside
+        checks = np.r_[0, np.cumsum((np.arange(len(number)) - np.repeat(first, n) + 1) * (weight % _MODULUS) % _MODULUS)]
+        check = (checks[first + n] - checks[first]) % _MODULUS
+        every, cuts = ids.tolist(), cuts.tolist()
+        texts = [b"".join(map(code.__getitem__, every[x:y])) for x, y in zip(cuts[:-1], cuts[1:])]
+        texts = [t[t[:1] == b" " :] for t in texts]
+        return pa.RecordBatch.from_arrays([*head, pa.array(n), pa.array(np.diff(cuts), pa.int64()), pa.array(check), pa.array(texts, pa.binary())], ["doc_id", "th", "ids", "n_units", "n_pieces", "ids_check", "back"])
+
+    def run(batches):
+        known = Vocabulary.of(shared, name)
+        for b in batches:
+            sizes, at = b.column("n").to_pylist(), 0
+            while at < len(sizes):
+                end, total = at + 1, sizes[at]
+                while end < len(sizes) and total + sizes[end] <= _UNITS_AT_ONCE:
+                    total += sizes[end]
+                    end += 1
+                yield together(b.slice(at, end - at), known)
+                at = end
+
+    return run
+
+
+def encoded(df: DataFrame, pieces: Pieces, id_col: str = "doc_id", text_col: str = "text", most_broadcast: int = _MOST_BROADCAST, code: list[bytes] | None = None) -> DataFrame:
+    """``doc_id, ids`` of each row (see :func:`encode`) with ``th``, a hash of the text with spaces for marks (:func:`name_of`),
+    and with ``code`` the columns that :func:`op7_sentence_pieces` derives from the ids.
+
+    Units that occur often are broadcast with their ids; a text is shuffled as the numbers of its units. Occurrences of the
+    others meet their ids by unit and then their text by its name: ``doc_id`` and ``th``. Rows that repeat both have equal ids.
     """
-    docs = documents(df, id_col, text_col)
-    counted = stage(units(docs, pieces).groupBy("unit").count())
+    cutter = Cutter(pieces)
+    docs = documents(df, id_col, text_col).withColumn("text", F.replace("text", F.lit(_MARK), F.lit(_SPACE)))
+    counted = stage(docs.select("text").mapInArrow(_counts(cutter), "unit string, count long").groupBy("unit").agg(F.sum("count").alias("count")))
     often = frequent(counted, most_broadcast)
     known = stage(encode_units(counted, pieces))
-    own = F.coalesce("doc_id", F.lit(0).cast("long")).alias("id")
-    named = docs.select("doc_id", own, name_of(F.replace("text", F.lit(_MARK), F.lit(_SPACE))).alias("th"), "text")
-    common = F.broadcast(known.filter(often).select("unit", "ids"))
-    rare = units(named, pieces, "id", "th").join(F.broadcast(known.filter(often).select("unit")), "unit", "left_anti")
-    rare = stage(rare.join(known.filter(~often).select("unit", "ids"), "unit").select("id", "th", "pos", "ids"))
-    rare = rare.groupBy("id", "th").agg(F.collect_list(F.struct("pos", "ids")).alias("rare"))
-    found = units(named, pieces, "id", "th", "doc_id", empty=True).join(common, "unit", "left").select("id", "th", "doc_id", "pos", "ids")
-    packed = found.mapInArrow(_packed, "id long, th long, doc_id long, n int, zip binary")
-    return packed.join(rare, ["id", "th"], "left").select("doc_id", "th", "n", "zip", "rare").mapInArrow(_unpacked, "doc_id long, th long, ids array<int>, sizes array<int>")
+    common = known.filter(often).select("unit", "count", "ids").toArrow().sort_by([("count", "descending")]).select(["unit", "ids"])
+    shared, name = df.sparkSession.sparkContext.broadcast(common), uuid.uuid4().hex
+    named = docs.select(F.coalesce("doc_id", F.lit(0).cast("long")).alias("id"), name_of(F.col("text")).alias("th"), "doc_id", "text")
+    rare = named.mapInArrow(_numbered(cutter, shared, name, True), "id long, th long, pos int, unit string")
+    rare = stage(rare.join(known.filter(~often).select("unit", "ids"), "unit").select("id", "th", "pos", "ids")).groupBy("id", "th").agg(F.collect_list(F.struct("pos", "ids")).alias("rare"))
+    packed = named.mapInArrow(_numbered(cutter, shared, name, False), "id long, th long, doc_id long, n int, zip binary")
+    columns = "doc_id long, th long, ids array<int>" + (", n_units long, n_pieces long, ids_check long, back binary" if code else "")
+    return packed.join(rare, ["id", "th"], "left").select("doc_id", "th", "n", "zip", "rare").mapInArrow(_put_together(shared, name, code), columns)
 
 
 def name_of(text: Column) -> Column:
@@ -418,26 +548,12 @@ def op7_sentence_pieces(spark: SparkSession, sf_dir: str, most_broadcast: int =
     import public_tokenizers
 
     pieces = Pieces.of_model(public_tokenizers.path("piece_bpe_32k.model"))
-    coded = encoded(table(spark, sf_dir, "documents"), pieces, most_broadcast=most_broadcast)
-    names = ["doc_id", "th", "n_units", "n_pieces", "ids_check", "back", "ids"]
-    code = {i: p.encode() for p, i, _ in pieces.rows} | ({pieces.bytes_from + c: bytes([c]) for c in range(256)} if pieces.bytes_from is not None else {})
-
-    def digests(batches):
-        for b in batches:
-            out = []
-            for ids, sizes in zip(b.column("ids"), b.column("sizes"), strict=True):
-                i, n = (x.values.to_numpy().astype(np.int64) for x in (ids, sizes))
-                begin = np.cumsum(n) - n
-                weight = (np.arange(len(i)) - np.repeat(begin, n) + 1) * (i + 1)
-                weight = np.add.reduceat(weight, begin) if len(n) else n
-                check = int((np.arange(1, len(n) + 1) * (weight % 1_000_000_007) % 1_000_000_007).sum() % 1_000_000_007)
-                back = b"".join([code.get(x, b"") for x in i.tolist()])
-                out.append((len(n), len(i), check, back[back[:1] == b" " :]))
-            found = [pa.array(c, t) for c, t in zip(zip(*out), (pa.int64(), pa.int64(), pa.int64(), pa.binary()))]
-            if out:
-                yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("th"), *found, b.column("ids")], names)
-
-    done = coded.mapInArrow(digests, "doc_id long, th long, n_units long, n_pieces long, ids_check long, back binary, ids array<int>")
+    code = [b""] * (1 + max([i for _, i, _ in pieces.rows] + [(pieces.bytes_from or 0) + 255]))
+    for p, i, _ in pieces.rows:
+        code[i] = p.encode()
+    if pieces.bytes_from is not None:
+        code[pieces.bytes_from : pieces.bytes_from + 256] = [bytes([c]) for c in range(256)]
+    done = encoded(table(spark, sf_dir, "documents"), pieces, most_broadcast=most_broadcast, code=code)
     return done.select("doc_id", "n_units", "n_pieces", "ids_check", (name_of(F.col("back")) == F.col("th")).alias("decodes"), "ids")
 
 

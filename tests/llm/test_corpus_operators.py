@@ -11,6 +11,7 @@ from pathlib import Path
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
 import regex
@@ -330,6 +331,29 @@ def test_viterbi(spark):
     assert all(math.isclose(sum(by_id[i] for i in got[u]), best(u)[0]) for u in units)
 
 
+def test_cuts_give_the_units_of_the_pattern():
+    pieces = sentence_pieces.Pieces.of_model(PIECES)
+    cutter, whole, rng = sentence_pieces.Cutter(pieces), regex.compile(pieces.pattern()), random.Random(5)
+    drawn = ["".join(rng.choice(["a", "é", "日", ",", ".", "'", "-", " ", "  ", "\n", "\t", "\r", "1", "½", "ـ"]) for _ in range(rng.randint(1, 12))) for _ in range(5000)]
+    for text in [*ODD_TEXTS, *drawn]:
+        text = text.replace("▁", " ")
+        assert [u for c in cutter.cuts(text) for u in cutter.units(c)] == (whole.findall(" " + text) if text else [])
+
+
+def test_texts_are_shuffled_as_numbers_of_units(spark):
+    import zstandard
+
+    rng = np.random.default_rng(1)
+    for numbers in ([], [0, 65_534, 65_535, 65_536, 4_000_000_000, 1], rng.integers(0, 100_000, 5000)):
+        assert sentence_pieces.unpack(sentence_pieces.pack(np.array(numbers, np.uint32)), len(numbers)).tolist() == list(numbers)
+    vocabulary = sentence_pieces.Vocabulary(pa.table({"unit": [" ab", " c"], "ids": pa.array([[5, 6, 7], [8]], pa.list_(pa.int32()))}))
+    got = sentence_pieces._Numbers(sentence_pieces.Cutter(sentence_pieces.Pieces.of_model(PIECES)), vocabulary.numbers)
+    assert got.of(["ab", "c", "zz", "c"]).tolist() == [1, 2, 0, 2] and got.odd == {"zz": [" zz"]}
+    units = rng.integers(1, 3000, 2000)  # of two ids each: before, these and the sizes of units were shuffled
+    ids = np.stack([units, units * 7 % 32_000], 1).astype(np.uint16).tobytes()
+    assert len(sentence_pieces.pack(units.astype(np.uint32))) < 0.7 * len(zstandard.ZstdCompressor(level=3).compress(ids))
+
+
 def test_fingerprints(docs, odd):
     form = lambda t: re.sub(r"\s+", " ", unicodedata.normalize("NFC", unicodedata.normalize("NFC", t).casefold())).strip(" ")
     for df in (docs, odd):
