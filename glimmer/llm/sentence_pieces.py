@@ -1,5 +1,6 @@
 """SentencePiece encoding and decoding as joins with the table of pieces."""
 
+import hashlib
 import heapq
 import re
 import string
@@ -12,6 +13,7 @@ import pyarrow as pa
 import pyarrow.compute
 import regex
 import zstandard
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -23,7 +25,7 @@ _BITS = 60
 #: In a model's pieces a mark stands for a space; here both are a space, so texts need no translation.
 _SPACE, _MARK = " ", "▁"
 _EDGE = "array<struct<rank:double,s:int,e:int,id:int>>"
-#: An edge of a byte-pair model as one long: rank, start (6 bits), end (6 bits), whether it is late (see Pieces.late), id.
+#: The key of a byte-pair model's edge, one long: rank, start (6 bits), end (6 bits), whether it is late (see Pieces.late), id.
 _RANK, _START, _END, _LATE, _ID = 37, 31, 25, 24, (1 << 24) - 1
 #: Set in a fold's boundaries when an edge that was passed by has become possible.
 _REDO = 1 << 62
@@ -35,8 +37,12 @@ _BLOCK = 1024
 _MOST_BROADCAST = 400_000
 #: Distinct cuts of texts (see Cutter) that a Python worker keeps.
 _MOST_CUTS = 200_000
-#: Units whose ids are put together at once.
-_UNITS_AT_ONCE = 1 << 18
+#: Documents whose units are counted to choose the units that are broadcast. No result depends on the choice.
+_COUNTED = 40_000
+#: UTF-8 bytes of the texts that are numbered together, but for a longer text.
+_BATCH = 1_000_000
+#: A rare unit of a batch as one long: partition and number of the batch in it (16 bits), place in the batch's list (25 bits).
+_BATCHES, _PLACES = 16, 25
 _MODULUS = 1_000_000_007
 
 
@@ -88,6 +94,15 @@ class Pieces:
         rows = [(p, i, float(s), ranks[s], int(p in late)) for p, i, s in self.rows]
         return spark.createDataFrame([*rows, ("", None, 0.0, 0, 0)], "piece string, id int, score double, rank long, late long")
 
+    def code(self) -> list[bytes]:
+        """Bytes by id; control pieces have none."""
+        code = [b""] * (1 + max([i for _, i, _ in self.rows] + [(self.bytes_from or 0) + 255]))
+        for p, i, _ in self.rows:
+            code[i] = p.encode()
+        if self.bytes_from is not None:
+            code[self.bytes_from : self.bytes_from + 256] = [bytes([c]) for c in range(256)]
+        return code
+
     def heads(self, spark: SparkSession, least: int) -> DataFrame:
         """``head``, the first ``least`` characters of pieces, and the ``lengths`` that pieces with it have."""
         found = defaultdict(set)
@@ -149,28 +164,33 @@ def _counts(cutter: Cutter):
     return run
 
 
-def lattice(words: DataFrame, pieces: Pieces) -> DataFrame:
-    """All columns of ``words`` (``u``: a number, ``unit``: distinct units) with ``n`` and all pieces in each unit.
+def lattice(words: DataFrame, pieces: Pieces, dealt: bool = False) -> DataFrame:
+    """All columns of ``words`` (``unit``: distinct units) with ``n`` and all pieces in each unit.
 
     At each place the lengths of the pieces with the first characters found there are exploded (see Pieces.heads), and these
-    substrings joined with the pieces' table by equality; edges are grouped by unit. Units are dealt out by number before
-    that, and no step moves a row, so only units are shuffled and never edges. The empty substring keeps units without any
-    piece. ``edges``: the best score and then the leftmost first; for byte-pair models packed, and only those of two
-    characters and more.
+    substrings joined with the pieces' table by equality; edges are grouped by unit. Units are dealt out before that (with
+    ``dealt`` they are already), and no step moves a row, so only units are shuffled and never edges. The empty substring keeps
+    units without any piece. ``edges``: the best score and then the leftmost first; for byte-pair models only those of two
+    characters and more, with the bits of their ends and of the boundaries inside.
     """
-    n, kept, least = F.length("unit"), [c for c in words.columns if c != "u"], 2 if pieces.kind == "bpe" else 1
-    parts = max(int(words.sparkSession.conf.get("spark.sql.shuffle.partitions")), words.count() // _UNITS_A_TASK)
-    starts = words.repartition(parts, "u").select("*", F.explode(F.sequence(F.lit(0), n - 1)).alias("s"))
+    n, kept, least = F.length("unit"), words.columns, 2 if pieces.kind == "bpe" else 1
+    if not dealt:
+        parts = max(int(words.sparkSession.conf.get("spark.sql.shuffle.partitions")), words.count() // _UNITS_A_TASK)
+        words = words.repartition(parts, "unit")
+    starts = words.select("*", F.explode(F.sequence(F.lit(0), n - 1)).alias("s"))
     headed = starts.withColumn("head", F.substring("unit", F.col("s") + 1, F.lit(least))).join(F.broadcast(pieces.heads(words.sparkSession, least)), "head", "left")
     lengths = F.coalesce("lengths", F.array().cast("array<int>"))
-    subs = headed.select("u", *kept, "s", F.explode(F.when(F.col("s") == 0, F.concat(F.array(F.lit(0)), lengths)).otherwise(lengths)).alias("k"))
+    subs = headed.select(*kept, "s", F.explode(F.when(F.col("s") == 0, F.concat(F.array(F.lit(0)), lengths)).otherwise(lengths)).alias("k"))
     subs = subs.filter(F.col("k") <= n - F.col("s")).withColumn("piece", F.substring("unit", F.col("s") + 1, F.col("k")))
     found = subs.join(F.broadcast(pieces.table(words.sparkSession)), "piece")
     e = F.col("s") + F.col("k")
-    packed = F.shiftleft("rank", _RANK) + F.shiftleft(F.col("s").cast("long"), _START) + F.shiftleft(e.cast("long"), _END) + F.shiftleft("late", _LATE) + F.col("id")
-    edge = packed if pieces.kind == "bpe" else F.when(F.col("id").isNotNull(), F.struct((-F.col("score")).alias("rank"), "s", e.alias("e"), "id"))
-    listed = found.select("u", *kept, edge.alias("edge")).groupBy("u", *kept).agg(F.collect_list("edge").alias("edges"))
-    return listed.select("u", *kept, n.alias("n"), F.sort_array("edges").alias("edges"))
+    if pieces.kind == "bpe":
+        key = F.shiftleft("rank", _RANK) + F.shiftleft(F.col("s").cast("long"), _START) + F.shiftleft(e.cast("long"), _END) + F.shiftleft("late", _LATE) + F.col("id")
+        edge = F.struct(key.alias("key"), (_bit(F.col("s")) + _bit(e)).alias("ends"), (_bit(e) - 2 * _bit(F.col("s"))).alias("inner"))
+    else:
+        edge = F.struct((-F.col("score")).alias("rank"), "s", e.alias("e"), "id")
+    listed = found.select(*kept, F.when(F.col("id").isNotNull(), edge).alias("edge")).groupBy(*kept).agg(F.collect_list("edge").alias("edges"))
+    return listed.select(*kept, n.alias("n"), F.sort_array("edges").alias("edges"))
 
 
 def _let(value: Column, f) -> Column:
@@ -185,16 +205,14 @@ def _bit(place) -> Column:
 def fold_merges(n: Column, edges: Column) -> Column:
     """Boundaries (bits of a long) after all merges of a byte-pair model.
 
-    The model merges the pair of best score, the leftmost first, until none is left. The fold goes over the packed edges in
+    The model merges the pair of best score, the leftmost first, until none is left. The fold goes over the edges in
     that order; an edge is taken if its ends are boundaries with just one between them, which goes. Where taking a late
     edge makes one possible that was passed by before it, the unit is folded anew: each step then looks for the first
     edge that fits among all.
     """
-    bit = lambda x, at: _bit(F.shiftright(x, at).bitwiseAND(63).cast("int"))
-    inner = lambda x: bit(x, _END) - 2 * bit(x, _START)
-    fits = lambda b, x: (b.bitwiseAND(bit(x, _START)) != 0) & (b.bitwiseAND(bit(x, _END)) != 0) & (F.bit_count(b.bitwiseAND(inner(x))) == 1)
-    without = lambda b, x: b.bitwiseAND(F.bitwise_not(inner(x)))
-    missed = lambda b, x: (x.bitwiseAND(1 << _LATE) != 0) & F.exists(edges, lambda y: (y < x) & fits(without(b, x), y))
+    fits = lambda b, x: (b.bitwiseAND(x["ends"]) == x["ends"]) & (F.bit_count(b.bitwiseAND(x["inner"])) == 1)
+    without = lambda b, x: b.bitwiseAND(F.bitwise_not(x["inner"]))
+    missed = lambda b, x: (x["key"].bitwiseAND(1 << _LATE) != 0) & F.exists(edges, lambda y: (y["key"] < x["key"]) & fits(without(b, x), y))
     taken = lambda b, x: F.when(missed(b, x), without(b, x).bitwiseOR(F.lit(_REDO))).otherwise(without(b, x))
     start = _bit(n + 1) - 1
     once = F.aggregate(edges, start, lambda b, x: F.when(fits(b, x), taken(b, x)).otherwise(b))
@@ -307,34 +325,32 @@ def encode_units(words: DataFrame, pieces: Pieces) -> DataFrame:
 
     Units up to ``_BITS`` characters are folded over the lattice by expressions, longer ones by :func:`long_units`.
     """
-    kept = words.columns
-    short = lattice(words.filter(F.length("unit") <= _BITS).withColumn("u", F.monotonically_increasing_id()), pieces)
+    return short_units(words.filter(F.length("unit") <= _BITS), pieces).unionByName(long_units(words.filter(F.length("unit") > _BITS), pieces))
+
+
+def short_units(words: DataFrame, pieces: Pieces, dealt: bool = False) -> DataFrame:
+    """All columns of ``words`` with ``ids``, for units of ``_BITS`` characters at most; ``dealt``: see :func:`lattice`."""
+    kept, short = words.columns, lattice(words, pieces, dealt)
     none = lambda char: _ids_of_bytes(char, pieces.bytes_from) if pieces.bytes_from is not None else F.array(F.lit(pieces.unknown))
-    singles = [p for p, _, _ in pieces.rows if len(p) == 1]
-    single = {p: i for p, i, _ in pieces.rows if len(p) == 1}
-    codes = F.split(F.lit(",".join(str(single.get(chr(c), "")) for c in range(1 + max(map(ord, singles), default=0)))), ",")
-    code_of = lambda char: F.nullif(F.get(codes, F.ascii(char)), F.lit("")).cast("int")
-    bare = lambda s: _let(F.substring(F.col("unit"), s + 1, F.lit(1)), lambda char: F.coalesce(F.array_compact(F.array(code_of(char))), F.array().cast("array<int>")))
-    one = lambda s: _let(bare(s), lambda x: F.when(F.size(x) > 0, x).otherwise(none(F.substring(F.col("unit"), s + 1, F.lit(1)))))
+    single = {ord(p): i for p, i, _ in pieces.rows if len(p) == 1}
+    codes = F.split(F.lit(",".join(str(single.get(c, -1)) for c in range(1 + max(single, default=0)))), ",").cast("array<int>")
+    one = lambda s: _let(F.substring(F.col("unit"), s + 1, F.lit(1)), lambda char: _let(F.get(codes, F.ascii(char)), lambda i: F.when(i >= 0, F.array(i)).otherwise(none(char))))
     if pieces.kind == "bpe":
         n = F.col("n")
-        bit = lambda x, at: _bit(F.shiftright(x, at).bitwiseAND(63).cast("int"))
-        ends = lambda x: bit(x, _START) + bit(x, _END)
-        between = lambda x: bit(x, _END) - bit(x, _START)
-        left = lambda b, x: b.bitwiseAND(ends(x).bitwiseOR(between(x))) == ends(x)
-        many = lambda b: F.transform(F.filter("edges", lambda x: left(b, x)), lambda x: F.shiftleft(F.shiftright(x, _START).bitwiseAND(63), _LATE).bitwiseOR(x.bitwiseAND(_ID)))
+        left = lambda b, x: b.bitwiseAND(x["ends"].bitwiseOR(x["inner"])) == x["ends"]
+        many = lambda b: F.transform(F.filter("edges", lambda x: left(b, x)), lambda x: F.shiftleft(F.shiftright(x["key"], _START).bitwiseAND(63), _LATE).bitwiseOR(x["key"].bitwiseAND(_ID)))
         alone = lambda b: F.transform(F.filter(F.sequence(F.lit(0), n - 1), lambda p: b.bitwiseAND(3 * _bit(p)) == 3 * _bit(p)), lambda p: F.shiftleft(p.cast("long"), _LATE).bitwiseOR(F.lit(_ID)))
-        spans = lambda b: F.transform(F.sort_array(F.concat(many(b), alone(b))), lambda x: F.struct(F.shiftright(x, _LATE).cast("int").alias("s"), F.nullif(x.bitwiseAND(_ID), F.lit(_ID)).cast("int").alias("id")))
-        found = short.select(*kept, _let(fold_merges(n, F.col("edges")), spans).alias("found"))
-    else:
-        lowest = min(s for _, _, s in pieces.rows)
-        paths = short.select(*kept, "n", fold_viterbi(F.col("n"), F.col("edges"), 10.0 - lowest).alias("paths"))
-        start = F.struct(F.col("n").alias("at"), F.array().cast("array<struct<s:int,id:int>>").alias("found"))
-        back = lambda a, p: F.when(p == a["at"], F.struct(F.get("paths", p)["s"].alias("at"), F.concat(F.array(F.struct(F.get("paths", p)["s"].alias("s"), F.when(F.get("paths", p)["id"] >= 0, F.get("paths", p)["id"]).alias("id"))), a["found"]).alias("found"))).otherwise(a)
-        found = paths.select(*kept, F.aggregate(F.reverse(F.sequence(F.lit(1), F.col("n"))), start, back)["found"].alias("found"))
+        every = lambda b: F.when(b.bitwiseAND(F.shiftright(b, 1)) == 0, many(b)).otherwise(F.concat(many(b), alone(b)))
+        of = lambda x: F.when(x.bitwiseAND(_ID) != _ID, F.array(x.bitwiseAND(_ID).cast("int"))).otherwise(one(F.shiftright(x, _LATE).cast("int")))
+        ids = _let(fold_merges(n, F.col("edges")), lambda b: F.flatten(F.transform(F.sort_array(every(b)), of)))
+        return short.select(*kept, ids.alias("ids"))
+    lowest = min(s for _, _, s in pieces.rows)
+    paths = short.select(*kept, "n", fold_viterbi(F.col("n"), F.col("edges"), 10.0 - lowest).alias("paths"))
+    start = F.struct(F.col("n").alias("at"), F.array().cast("array<struct<s:int,id:int>>").alias("found"))
+    back = lambda a, p: F.when(p == a["at"], F.struct(F.get("paths", p)["s"].alias("at"), F.concat(F.array(F.struct(F.get("paths", p)["s"].alias("s"), F.when(F.get("paths", p)["id"] >= 0, F.get("paths", p)["id"]).alias("id"))), a["found"]).alias("found"))).otherwise(a)
+    found = paths.select(*kept, F.aggregate(F.reverse(F.sequence(F.lit(1), F.col("n"))), start, back)["found"].alias("found"))
     ids = F.flatten(F.transform("found", lambda x: F.when(x["id"].isNotNull(), F.array(x["id"])).otherwise(one(x["s"]))))
-    done = found.select(*kept, ids.alias("ids"))
-    return done.unionByName(long_units(words.filter(F.length("unit") > _BITS), pieces))
+    return found.select(*kept, ids.alias("ids"))
 
 
 def frequent(counted: DataFrame, most: int) -> Column:
@@ -408,28 +424,32 @@ class _Numbers(dict):
         return np.frombuffer(b"".join(map(self.__getitem__, cuts)), np.uint32)
 
 
-def _numbered(cutter: Cutter, shared, name: str, rare: bool):
-    """Texts as numbers of their units, 0 for a rare one; with ``rare`` only the rare units, each with its place."""
+def _digest(text: bytes) -> bytes:
+    return hashlib.blake2b(text, digest_size=8).digest()
+
+
+def _one(*values, names: list[str]) -> pa.RecordBatch:
+    """A row; each value is a number, bytes, or an array that becomes a list."""
+    listed = lambda v: pa.ListArray.from_arrays(pa.array([0, len(v)], pa.int32()), v)
+    return pa.RecordBatch.from_arrays([listed(v) if isinstance(v, pa.Array) else pa.array([v]) for v in values], names)
+
+
+def _numbered(cutter: Cutter, shared, name: str):
+    """A row for each batch of texts: their numbers of units together, 0 for a rare one, and each distinct rare unit once."""
 
     def run(batches):
-        kept = _Numbers(cutter, Vocabulary.of(shared, name).numbers)
-        odd = kept.odd
-        for batch, texts in slices(batches, 1_000_000):
+        kept, b = _Numbers(cutter, Vocabulary.of(shared, name).numbers), TaskContext.get().partitionId() << _BATCHES
+        odd, last = kept.odd, b + (1 << _BATCHES)
+        for batch, texts in slices(batches, _BATCH):
             cuts = [cutter.cuts(text) for text in texts]
-            got = [kept.of(own) for own in cuts]
-            if rare:
-                rows, places, found = [], [], []
-                for k, own in enumerate(cuts):
-                    if more := [u for cut in own if cut in odd for u in odd[cut]]:
-                        place = np.flatnonzero(got[k] == 0)
-                        rows.append(np.full(len(place), k))
-                        places.append(place)
-                        found += more
-                if found:
-                    row = pa.array(np.concatenate(rows))
-                    yield pa.RecordBatch.from_arrays([batch.column("id").take(row), batch.column("th").take(row), pa.array(np.concatenate(places), pa.int32()), pa.array(found, pa.string())], ["id", "th", "pos", "unit"])
-            else:
-                yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("id", "th", "doc_id")), pa.array([len(x) for x in got], pa.int32()), pa.array([pack(x) for x in got], pa.binary())], ["id", "th", "doc_id", "n", "zip"])
+            got, rare = [kept.of(own) for own in cuts], {}
+            place = [rare.setdefault(u, len(rare)) for own in cuts for cut in own if cut in odd for u in odd[cut]]
+            if b == last or b >> 38 or len(rare) >> _PLACES:
+                raise ValueError("too many batches, or rare units in one text, for their bits")
+            n = pa.array([len(x) for x in got], pa.int32())
+            th = pa.array(np.frombuffer(b"".join(_digest(t.encode()) for t in texts), np.int64))
+            yield _one(b, batch.column("doc_id"), n, th, pack(np.concatenate(got)), pack(np.array(place, np.uint32)), pa.array(rare, pa.string()), names=["b", "doc_id", "n", "th", "zip", "place", "rare"])
+            b += 1
             if len(kept) > _MOST_CUTS:
                 kept.clear()
                 odd.clear()
@@ -437,80 +457,101 @@ def _numbered(cutter: Cutter, shared, name: str, rare: bool):
     return run
 
 
-def _put_together(shared, name: str, code: list[bytes] | None):
-    """``doc_id, th, ids`` from :func:`_numbered` and the ids of rare units; with ``code`` (bytes by id) also what
-    :func:`op7_sentence_pieces` returns."""
-
-    def together(b, known):
-        n = b.column("n").to_numpy().astype(np.int64)
-        number = np.concatenate([unpack(z, k) for z, k in zip(b.column("zip").to_pylist(), n.tolist())])
-        first, size, begin, ids = np.cumsum(n) - n, known.sizes[number], known.begins[number], known.ids
-        rare = b.column("rare")
-        if rare.null_count < len(rare):
-            times = pa.compute.fill_null(pa.compute.list_value_length(rare), 0).to_numpy()
-            pos, more = rare.flatten().flatten()
-            place, one = np.unique(np.repeat(first, times) + pos.to_numpy(), return_index=True)  # rows that repeat a document repeat these
-            more = more.take(pa.array(one))
-            size[place] = own = pa.compute.list_value_length(more).to_numpy().astype(np.int64)
-            begin[place] = len(ids) + np.cumsum(own) - own
-            ids = np.concatenate([ids, more.flatten().to_numpy()])
-        if not size.all():
-            raise RuntimeError("a unit has no ids")
-        ends = np.r_[0, np.cumsum(size)]
-        inside = np.arange(ends[-1]) - np.repeat(ends[:-1], size)
-        ids = ids[np.repeat(begin, size) + inside]
-        cuts = ends[np.r_[first, n.sum()]]
-        lists = pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(ids, pa.int32()))
-        head = [b.column("doc_id"), b.column("th"), lists]
-        if code is None:
-            return pa.RecordBatch.from_arrays(head, ["doc_id", "th", "ids"])
-        weight = np.add.reduceat((inside + 1) * (ids + 1), ends[:-1]) if len(ids) else inside
-        checks = np.r_[0, np.cumsum((np.arange(len(number)) - np.repeat(first, n) + 1) * (weight % _MODULUS) % _MODULUS)]
-        check = (checks[first + n] - checks[first]) % _MODULUS
-        every, cuts = ids.tolist(), cuts.tolist()
-        texts = [b"".join(map(code.__getitem__, every[x:y])) for x, y in zip(cuts[:-1], cuts[1:])]
-        texts = [t[t[:1] == b" " :] for t in texts]
-        return pa.RecordBatch.from_arrays([*head, pa.array(n), pa.array(np.diff(cuts), pa.int64()), pa.array(check), pa.array(texts, pa.binary())], ["doc_id", "th", "ids", "n_units", "n_pieces", "ids_check", "back"])
+def _rare_units(longer: bool):
+    """``at, unit`` of the rare units of batches, those up to ``_BITS`` characters or the longer ones."""
 
     def run(batches):
-        known = Vocabulary.of(shared, name)
-        for b in batches:
-            sizes, at = b.column("n").to_pylist(), 0
-            while at < len(sizes):
-                end, total = at + 1, sizes[at]
-                while end < len(sizes) and total + sizes[end] <= _UNITS_AT_ONCE:
-                    total += sizes[end]
-                    end += 1
-                yield together(b.slice(at, end - at), known)
-                at = end
+        for batch in batches:
+            lists = batch.column("rare")
+            sizes = pa.compute.list_value_length(lists).to_numpy()
+            first, units = np.cumsum(sizes) - sizes, lists.flatten()
+            at = np.repeat((batch.column("b").to_numpy() << _PLACES) - first, sizes) + np.arange(len(units))
+            fits = pa.compute.less_equal(pa.compute.utf8_length(units), _BITS)
+            own = pa.RecordBatch.from_arrays([pa.array(at), units], ["at", "unit"])
+            yield own.filter(pa.compute.invert(fits) if longer else fits)
 
     return run
 
 
-def encoded(df: DataFrame, pieces: Pieces, id_col: str = "doc_id", text_col: str = "text", most_broadcast: int = _MOST_BROADCAST, code: list[bytes] | None = None) -> DataFrame:
-    """``doc_id, ids`` of each row (see :func:`encode`) with ``th``, a hash of the text with spaces for marks (:func:`name_of`),
-    and with ``code`` the columns that :func:`op7_sentence_pieces` derives from the ids.
+def _put_together(shared, name: str, code: list[bytes] | None, names: list[str]):
+    """``doc_id, ids`` of a batch from :func:`_numbered` and the ids of its rare units, or ``names``, the columns that
+    :func:`op7_sentence_pieces` returns. With ``code`` (bytes by id) the ids are put into bytes and compared with the text."""
+
+    def run(batches: pa.Table, found: pa.Table) -> pa.Table:
+        known, out = Vocabulary.of(shared, name), []
+        for b in batches.combine_chunks().to_batches():
+            for k in range(len(b)):
+                doc_id, n, th = (b.column(c)[k].values for c in ("doc_id", "n", "th"))
+                n = n.to_numpy().astype(np.int64)
+                number, first, ids = unpack(b.column("zip")[k].as_py(), int(n.sum())), np.cumsum(n) - n, known.ids
+                size, begin = known.sizes[number], known.begins[number]
+                rare = np.flatnonzero(number == 0)
+                if len(rare):
+                    place, more = found.column("place").to_numpy(), found.column("ids").combine_chunks()
+                    own, own_begin = (np.zeros(place.max(initial=-1) + 1, np.int64) for _ in range(2))
+                    own[place] = lengths = pa.compute.list_value_length(more).to_numpy()
+                    own_begin[place] = len(ids) + np.cumsum(lengths) - lengths
+                    which = unpack(b.column("place")[k].as_py(), len(rare))
+                    if which.max() >= len(own):
+                        raise RuntimeError("a unit has no ids")
+                    size[rare], begin[rare] = own[which], own_begin[which]
+                    ids = np.concatenate([ids, more.flatten().to_numpy()])
+                if not size.all():
+                    raise RuntimeError("a unit has no ids")
+                ends = np.r_[0, np.cumsum(size)]
+                inside = np.arange(ends[-1]) - np.repeat(ends[:-1], size)
+                ids = ids[np.repeat(begin, size) + inside]
+                cuts = ends[np.r_[first, n.sum()]]
+                row = [doc_id, pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(ids, pa.int32()))]
+                same = np.ones(len(n), bool)
+                if code is not None:
+                    every, at = ids.tolist(), cuts.tolist()
+                    texts = (b"".join(map(code.__getitem__, every[x:y])) for x, y in zip(at[:-1], at[1:]))
+                    same = np.frombuffer(b"".join(_digest(t[t[:1] == b" " :]) for t in texts), np.int64) == th.to_numpy()
+                if len(names) > 2:
+                    weight = np.add.reduceat((inside + 1) * (ids + 1), ends[:-1]) if len(ids) else inside
+                    checks = np.r_[0, np.cumsum((np.arange(len(number)) - np.repeat(first, n) + 1) * (weight % _MODULUS) % _MODULUS)]
+                    row += [pa.array(n), pa.array(np.diff(cuts), pa.int64()), pa.array((checks[first + n] - checks[first]) % _MODULUS), pa.array(same)]
+                elif not same.all():
+                    raise RuntimeError("ids do not give their text: the rows of a partition changed when it was made again")
+                out.append(pa.RecordBatch.from_arrays(row, names))
+        return pa.Table.from_batches(out)
 
-    Units that occur often are broadcast with their ids; a text is shuffled as the numbers of its units. Occurrences of the
-    others meet their ids by unit and then their text by its name: ``doc_id`` and ``th``. Rows that repeat both have equal ids.
-    """
-    cutter = Cutter(pieces)
-    docs = documents(df, id_col, text_col).withColumn("text", F.replace("text", F.lit(_MARK), F.lit(_SPACE)))
-    counted = stage(docs.select("text").mapInArrow(_counts(cutter), "unit string, count long").groupBy("unit").agg(F.sum("count").alias("count")))
-    often = frequent(counted, most_broadcast)
-    known = stage(encode_units(counted, pieces))
-    common = known.filter(often).select("unit", "count", "ids").toArrow().sort_by([("count", "descending")]).select(["unit", "ids"])
-    shared, name = df.sparkSession.sparkContext.broadcast(common), uuid.uuid4().hex
-    named = docs.select(F.coalesce("doc_id", F.lit(0).cast("long")).alias("id"), name_of(F.col("text")).alias("th"), "doc_id", "text")
-    rare = named.mapInArrow(_numbered(cutter, shared, name, True), "id long, th long, pos int, unit string")
-    rare = stage(rare.join(known.filter(~often).select("unit", "ids"), "unit").select("id", "th", "pos", "ids")).groupBy("id", "th").agg(F.collect_list(F.struct("pos", "ids")).alias("rare"))
-    packed = named.mapInArrow(_numbered(cutter, shared, name, False), "id long, th long, doc_id long, n int, zip binary")
-    columns = "doc_id long, th long, ids array<int>" + (", n_units long, n_pieces long, ids_check long, back binary" if code else "")
-    return packed.join(rare, ["id", "th"], "left").select("doc_id", "th", "n", "zip", "rare").mapInArrow(_put_together(shared, name, code), columns)
+    return run
 
 
-def name_of(text: Column) -> Column:
-    return F.xxhash64(text, F.col("doc_id").isNull())
+def encoded(df: DataFrame, pieces: Pieces, id_col: str = "doc_id", text_col: str = "text", most_broadcast: int = _MOST_BROADCAST, checks: bool = False) -> DataFrame:
+    """``doc_id, ids`` of each row (see :func:`encode`) and with ``checks`` the columns that :func:`op7_sentence_pieces` derives.
+
+    Units that are frequent in ``_COUNTED`` documents are broadcast with their ids; which ones these are changes the plan, not
+    the result. Every text is then cut once, and batches of texts are shuffled as the numbers of their units. A batch's other
+    units are named by it and their place in its list; each distinct one meets its ids by unit, and these go to the batch. One
+    shuffle of the batches serves both sides. Batches are named by partition, so ids are compared with their texts at the end.
+    """
+    cutter, spark = Cutter(pieces), df.sparkSession
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    docs = documents(df, id_col, text_col).withColumn("text", F.replace("text", F.lit(_MARK), F.lit(_SPACE)))
+    rows = docs.count()
+    some = docs.sample(_COUNTED / rows, seed=1) if rows > _COUNTED else docs
+    counted = stage(some.select("text").mapInArrow(_counts(cutter), "unit string, count long").groupBy("unit").agg(F.sum("count").alias("count")))
+    often = stage(encode_units(counted.filter(frequent(counted, most_broadcast)), pieces))
+    common = often.toArrow().sort_by([("count", "descending")]).select(["unit", "ids"])
+    shared, name = spark.sparkContext.broadcast(common), uuid.uuid4().hex
+    batches = docs.mapInArrow(_numbered(cutter, shared, name), "b long, doc_id array<long>, n array<int>, th array<long>, zip binary, place binary, rare array<string>").repartition(parts, "b")
+
+    def found(longer: bool) -> DataFrame:
+        # both sides of the join read all columns of one shuffle, so it is made once
+        rare = batches.mapInArrow(_rare_units(longer), "at long not null, unit string not null").repartition(parts, "unit")
+        units = rare.groupBy("unit").agg(F.min("at").alias("first")).filter("first >= 0").select("unit")
+        ids = long_units(units, pieces) if longer else short_units(units, pieces, dealt=True)
+        at = rare.join(ids, "unit")
+        return at.select(F.shiftright("at", _PLACES).alias("b"), F.col("at").bitwiseAND((1 << _PLACES) - 1).cast("int").alias("place"), "ids")
+
+    columns = {"doc_id": "long", "ids": "array<int>"} | ({"n_units": "long", "n_pieces": "long", "ids_check": "long", "decodes": "boolean"} if checks else {})
+    code = pieces.code() if checks or pieces.bytes_from is not None else None
+    both = found(False).unionByName(found(True)).repartition(parts, "b")
+    together = batches.groupBy("b").cogroup(both.groupBy("b"))
+    return together.applyInArrow(_put_together(shared, name, code, list(columns)), ", ".join(f"{c} {t}" for c, t in columns.items()))
 
 
 def encode(df: DataFrame, model: str, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -548,13 +589,8 @@ def op7_sentence_pieces(spark: SparkSession, sf_dir: str, most_broadcast: int =
     import public_tokenizers
 
     pieces = Pieces.of_model(public_tokenizers.path("piece_bpe_32k.model"))
-    code = [b""] * (1 + max([i for _, i, _ in pieces.rows] + [(pieces.bytes_from or 0) + 255]))
-    for p, i, _ in pieces.rows:
-        code[i] = p.encode()
-    if pieces.bytes_from is not None:
-        code[pieces.bytes_from : pieces.bytes_from + 256] = [bytes([c]) for c in range(256)]
-    done = encoded(table(spark, sf_dir, "documents"), pieces, most_broadcast=most_broadcast, code=code)
-    return done.select("doc_id", "n_units", "n_pieces", "ids_check", (name_of(F.col("back")) == F.col("th")).alias("decodes"), "ids")
+    done = encoded(table(spark, sf_dir, "documents"), pieces, most_broadcast=most_broadcast, checks=True)
+    return done.select("doc_id", "n_units", "n_pieces", "ids_check", "decodes", "ids")
 
 
 QUERIES = {"op7_sentence_pieces": op7_sentence_pieces}

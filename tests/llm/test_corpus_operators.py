@@ -354,6 +354,43 @@ def test_texts_are_shuffled_as_numbers_of_units(spark):
     assert len(sentence_pieces.pack(units.astype(np.uint32))) < 0.7 * len(zstandard.ZstdCompressor(level=3).compress(ids))
 
 
+def test_texts_are_cut_once(spark, tmp_path, monkeypatch):
+    """Before, three passes cut every text: for counts, for rare units and for numbers."""
+    import sentencepiece
+
+    seen = spark.sparkContext.accumulator(0)
+
+    class Counting(sentence_pieces.Cutter):
+        def cuts(self, text):
+            seen.add(1)
+            return super().cuts(text)
+
+    monkeypatch.setattr(sentence_pieces, "Cutter", Counting)
+    monkeypatch.setattr(sentence_pieces, "_COUNTED", 20, raising=False)
+    sp = sentencepiece.SentencePieceProcessor(model_file=PIECES)
+    rows = [(k, f"{t} number{k} {'=-' * k}") for k, (_, t) in enumerate(texts(spark.read.parquet(f"{SF}/documents.parquet")))]
+    spark.createDataFrame(rows, "doc_id long, text string").repartition(3).write.parquet(str(tmp_path / "documents.parquet"))
+    got = {r.doc_id: (r.ids, r.decodes) for r in sentence_pieces.op7_sentence_pieces(spark, str(tmp_path)).collect()}
+    assert got == {k: (sp.encode(t), True) for k, t in rows}
+    assert len(rows) <= seen.value < 1.5 * len(rows)
+
+
+def test_ids_that_do_not_fit_a_batch_are_an_error():
+    class Shared:
+        value = pa.table({"unit": [" a"], "ids": pa.array([[1]], pa.list_(pa.int32()))})
+
+    values = [0, pa.array([7]), pa.array([2], pa.int32()), pa.array(np.frombuffer(sentence_pieces._digest(b"a bc"), np.int64))]
+    numbers = [sentence_pieces.pack(np.array(x, np.uint32)) for x in ([1, 0], [0])]
+    batch = pa.Table.from_batches([sentence_pieces._one(*values, *numbers, pa.array([" bc"]), names=["b", "doc_id", "n", "th", "zip", "place", "rare"])])
+    together = sentence_pieces._put_together(Shared, "test", [b"", b" a", b" b", b"c"], ["doc_id", "ids"])
+    found = lambda ids: pa.table({"place": pa.array(range(len(ids)), pa.int32()), "ids": pa.array(ids, pa.list_(pa.int32()))})
+    assert together(batch, found([[2, 3]])).to_pylist() == [{"doc_id": 7, "ids": [1, 2, 3]}]
+    for wrong in ([[2]], []):
+        with pytest.raises(RuntimeError):
+            together(batch, found(wrong))
+    sentence_pieces._vocabularies.clear()
+
+
 def test_fingerprints(docs, odd):
     form = lambda t: re.sub(r"\s+", " ", unicodedata.normalize("NFC", unicodedata.normalize("NFC", t).casefold())).strip(" ")
     for df in (docs, odd):
